@@ -1,0 +1,71 @@
+"""One profile end to end: leads -> applications -> funnel.
+
+Everything is lazy; each function returns a DataFrame whose plan Catalyst
+optimises as a whole.  ``Run`` memoises the intermediate DataFrames (plans,
+not data) so reports of one run share one lineage.
+"""
+
+from __future__ import annotations
+
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leadflow import rules as R
+from leadflow.functions import canonical_id
+from leadflow.plans.applications import application_snapshot
+from leadflow.plans.funnel import funnel_daily, funnel_weekly, weekly_apps
+from leadflow.plans.leads import best_leads, lead_keys, typed_leads
+from leadflow.sources.standins import (APP_DATE_FLOOR, Servicing,
+                                       normalised_lead_rows)
+from leadflow.sources.tables import Tables
+
+
+class Run:
+    def __init__(self, spark: SparkSession, sf_dir: str, profile: str = "daily",
+                 mode: str = "faithful", raw_leads: DataFrame | None = None,
+                 rules: R.FunnelRules | None = None):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.tables = Tables(spark, sf_dir)
+        self.srv = Servicing(self.tables)
+        base = rules or R.PROFILES[profile]
+        if rules is None and raw_leads is None and base.app_date_floor is not None:
+            base = base.with_floor(APP_DATE_FLOOR)   # stand-in data (see standins)
+        self.rules = base.with_mode(mode)
+        self._raw = raw_leads
+
+    @cached_property
+    def raw_leads(self) -> DataFrame:
+        return self._raw if self._raw is not None else normalised_lead_rows(self.tables)
+
+    @cached_property
+    def leads(self) -> DataFrame:
+        return typed_leads(self.raw_leads, self.rules)
+
+    @cached_property
+    def best_leads(self) -> DataFrame:
+        return best_leads(self.leads, self.rules)
+
+    @cached_property
+    def persons(self) -> DataFrame:
+        keys = lead_keys(self.best_leads)
+        if self.rules.numeric_person_key:
+            keys = keys.select(canonical_id(F.col("ssn").cast("string")).alias("ssn"))
+        return keys
+
+    @cached_property
+    def snapshot(self) -> DataFrame:
+        return application_snapshot(self.srv, self.persons, self.rules.mode)
+
+    @cached_property
+    def apps(self) -> DataFrame:
+        if self.rules.name == "daily":
+            return self.snapshot
+        return weekly_apps(self.snapshot, self.rules)
+
+    @cached_property
+    def funnel(self) -> DataFrame:
+        if self.rules.name == "daily":
+            return funnel_daily(self.best_leads, self.snapshot, self.rules.mode)
+        return funnel_weekly(self.best_leads, self.apps, self.rules)
