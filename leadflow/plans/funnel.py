@@ -120,10 +120,10 @@ def weekly_apps(snapshot: DataFrame, rules: R.FunnelRules) -> DataFrame:
     return wb.drop("lead_app")
 
 
-def funnel_weekly(best_leads: DataFrame, apps: DataFrame,
-                  rules: R.FunnelRules) -> DataFrame:
-    """weekly / weekly_v2: per app row flags, carry-over, best outcome."""
-    intended = rules.mode == "intended"
+def weekly_rows(best_leads: DataFrame, apps: DataFrame,
+                rules: R.FunnelRules) -> DataFrame:
+    """weekly / weekly_v2: one row per (lead, app) with the DATA step's
+    flags, amounts and the carried-over prequal flag (C17, E4)."""
     m = match_merge(best_leads, apps, "ssn")
     D, A = F.col("LEADDATE"), F.col("ApplicationEnterDate")
     pre = (A.isNull() & D.isNotNull()) | F.coalesce(A < D, F.lit(False))
@@ -168,8 +168,22 @@ def funnel_weekly(best_leads: DataFrame, apps: DataFrame,
             .cast("double").alias("RATE_FUNDED"),
         "APP_BEFORE_LEAD",
     ).withColumn("COST", cost_tier("AMOUNT_FUNDED", 0))
+    return out
+
+
+def best_outcome(rows: DataFrame, rules: R.FunnelRules) -> DataFrame:
+    """One row per person - before-lead first (as written; 'intended'
+    puts it last), then funded, then approved, then app order."""
+    intended = rules.mode == "intended"
+    out = rows
     before = F.col("APP_BEFORE_LEAD").asc() if intended else F.col("APP_BEFORE_LEAD").desc()
     best = best_per_key(out, ["ssn"], [before, F.col("IS_FUNDED").desc(),
                                       F.col("IS_APPROVE").desc(), *app_order(desc=False)])
-    return best.drop("task_refno", "CustomerType", "LoanStatus", "StatusCodes",
+    return best.drop("CustomerType", "LoanStatus", "StatusCodes",
                      "FinalLoanAmount", "SSNo")
+
+
+def funnel_weekly(best_leads: DataFrame, apps: DataFrame,
+                  rules: R.FunnelRules) -> DataFrame:
+    """weekly / weekly_v2: per app row flags, carry-over, best outcome."""
+    return best_outcome(weekly_rows(best_leads, apps, rules), rules)

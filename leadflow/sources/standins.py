@@ -59,30 +59,39 @@ def code_table(spark: SparkSession, rows, key: str, value: str) -> DataFrame:
 # --------------------------------------------------------------------------
 # Lead file
 # --------------------------------------------------------------------------
-def lead_file_rows(t: Tables) -> DataFrame:
-    """Lead rows as a partner file carries them: text columns, raw headers."""
-    o = t.orders.filter(F.col("o_orderpriority").isin(*LEAD_PRIORITIES))
+def lead_file_columns() -> list[Column]:
+    """The partner file's columns (text, raw header names) over an
+    ``orders`` row."""
     date_txt = F.date_format("o_orderdate", "M/d/yyyy H:mm")
     score = F.when(F.col("o_totalprice") < 20000, F.lit(None).cast("string")) \
         .otherwise(F.floor(F.col("o_totalprice") / 1000).cast("string"))
-    return o.select(
-        F.when(F.col("o_orderstatus") == "P", F.lit(OTHER_PARTNER))
-         .otherwise(F.lit(PARTNER)).alias("IRMPName"),
-        F.col("o_custkey").cast("string").alias("Applicant SSN"),
-        F.concat(F.lit("IR"), F.col("o_orderkey").cast("string")).alias("IRPID"),
-        F.col("o_orderkey").cast("string").alias("Application Number"),
-        F.lpad((F.col("o_custkey") % 100000).cast("string"), 5, "0").alias("Applicant Address Zip"),
-        F.lit(None).cast("string").alias("App. Cell Phone"),
+    exprs = [
+        F.when(F.col("o_orderstatus") == "P", F.lit(OTHER_PARTNER)).otherwise(F.lit(PARTNER)),
+        F.col("o_custkey").cast("string"),
+        F.concat(F.lit("IR"), F.col("o_orderkey").cast("string")),
+        F.col("o_orderkey").cast("string"),
+        F.lpad((F.col("o_custkey") % 100000).cast("string"), 5, "0"),
+        F.lit(None).cast("string"),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Auto Approved"))
-         .otherwise(F.lit("Declined")).alias("Decision Status"),
-        F.lit("Personal").alias("Loan Type"),
-        F.lit("SC").alias("Applicant Address State"),
-        F.col("o_orderkey").cast("string").alias("Sub ID"),
-        date_txt.alias("Application Date"),
-        date_txt.alias("Decision Date/Time"),
-        score.alias("Applicant Credit Score"),
-        F.col("o_totalprice").cast("string").alias("Amt. Fin."),
-    )
+         .otherwise(F.lit("Declined")),
+        F.lit("Personal"),
+        F.lit("SC"),
+        F.col("o_orderkey").cast("string"),
+        date_txt,
+        date_txt,
+        score,
+        money_text(cents(F.col("o_totalprice"))),
+    ]
+    return [e.alias(n) for e, n in zip(exprs, LEAD_FILE_HEADER)]
+
+
+def lead_orders(t: Tables) -> DataFrame:
+    return t.orders.filter(F.col("o_orderpriority").isin(*LEAD_PRIORITIES))
+
+
+def lead_file_rows(t: Tables) -> DataFrame:
+    """Lead rows as a partner file carries them: text columns, raw headers."""
+    return lead_orders(t).select(*lead_file_columns())
 
 
 def normalised_lead_rows(t: Tables) -> DataFrame:
@@ -146,6 +155,7 @@ def task_detail(t: Tables) -> DataFrame:
         (F.when(s == "F", F.concat(F.lit("LN"), k.cast("string")))
           .when((s == "O") & (p >= 400000), F.lit("CLOSE BRANCH"))
           .when((s == "O") & (p >= 300000), F.lit(""))
+          .when((s == "P") & (p >= 450000), F.lit(""))
           .otherwise(null)).alias("userdef100"),
         money_text((c / 20).cast("bigint")).alias("userdef34"),
         F.when((s == "P") & (p < 100000), null).otherwise(money_text((c / 40).cast("bigint"))).alias("userdef10"),
