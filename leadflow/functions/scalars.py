@@ -22,7 +22,7 @@ __all__ = [
     "to_double", "to_decimal", "score_parse", "amount_text_cut",
     "final_loan_amount", "customer_type", "row_max", "fallback_offer",
     "cost_tier", "sas_text", "DATE_FORMATS", "cents", "money",
-    "money_text",
+    "money_text", "code_lookup",
 ]
 
 
@@ -78,6 +78,9 @@ DATE_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy",
 
 def parse_dates(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Text -> timestamp_ntz by a named list of formats."""
+    if isinstance(c, str):
+        tries = ", ".join(f"try_to_timestamp(trim(CAST(`{c}` AS STRING)), {_sql_lit(f)})" for f in formats)
+        return F.expr(f"CAST(coalesce({tries}) AS TIMESTAMP_NTZ)")
     s = F.trim(col_(c).cast("string"))
     parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
     return parsed.cast("timestamp_ntz")
@@ -148,6 +151,26 @@ def customer_type(result_id: Column) -> Column:
     return out
 
 
+def code_lookup(c, pairs) -> Column:
+    """Value of a small fixed code table (pairs of code, text) as a CASE
+    expression: a projection instead of a join, so no exchange at all.
+    Unknown codes give null (a left join's miss)."""
+    if isinstance(c, str):
+        arms = " ".join(f"WHEN {_sql_lit(code)} THEN {_sql_lit(text)}" for code, text in pairs)
+        return F.expr(f"CASE `{c}` {arms} END")
+    c = col_(c)
+    out = None
+    for code, text in pairs:
+        out = F.when(c == code, F.lit(text)) if out is None else out.when(c == code, F.lit(text))
+    return out
+
+
+def _sql_lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
 def row_max(*cols) -> Column:
     """Row-wise max ignoring nulls; all null -> null."""
     return F.greatest(*[col_(c) for c in cols])

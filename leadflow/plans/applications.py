@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadflow import rules as R
-from leadflow.functions import (canonical_id, final_loan_amount, score_parse,
-                                text_coercion, to_decimal, to_double)
+from leadflow.functions import (canonical_id, code_lookup, final_loan_amount,
+                                score_parse, text_coercion, to_decimal,
+                                to_double)
 from leadflow.operators import (coalesced_key_join, earliest_balance,
                                 history_pivot, left_join_left_pred, semi_join,
                                 stage, status_codes)
@@ -36,11 +37,12 @@ def application_tasks(srv: Servicing, borrowers: DataFrame) -> DataFrame:
     c = srv.cif.join(borrowers.select("SSNo", "ssn", F.col("Cifno").alias("b_cifno")),
                      F.col("cifno") == F.col("b_cifno"), "inner").drop("b_cifno")
     links = srv.tmr.filter(F.col("tmr_code_id") == 1)
+    known = [code for code, _ in srv.task_status_pairs]
     ta = (c.join(links, F.col("cifno") == F.col("child_refno"), "inner")
-           .join(srv.task, F.col("parent_refno") == F.col("task_refno"), "inner")
+           .join(srv.task.filter(F.col("status_code_id").isin(*known)),
+                 F.col("parent_refno") == F.col("task_refno"), "inner")
            .drop("child_refno", "parent_refno")
-           .join(F.broadcast(srv.task_status_codes.withColumnRenamed("status_code", "TaskStatus")),
-                 "status_code_id", "inner"))
+           .withColumn("TaskStatus", code_lookup("status_code_id", srv.task_status_pairs)))
     td = (srv.task_detail.withColumnRenamed("task_refno", "td_task_refno")
           .withColumnRenamed("userdef05", "td_userdef05"))
     return left_join_left_pred(ta, td, F.col("task_refno") == F.col("td_task_refno"),
@@ -63,31 +65,32 @@ def loan_rows(srv: Servicing, loans: DataFrame) -> DataFrame:
     ``loans`` is the staged candidate set; each big loan table is scanned
     once and filtered by it before any aggregation or join.
     """
+    # Filter before the two aggregations; the plain lookups are filtered by
+    # the left joins themselves.
     st = status_codes(semi_join(srv.loanacct_statuses, loans.select("acctrefno"), "acctrefno"),
-                      srv.loan_status_codes)
+                      srv.loan_status_pairs)
     bal = earliest_balance(semi_join(
         srv.aged_balance, loans.select(F.col("loan_number").alias("loannumber")), "loannumber"))
-    codes = srv.loan_status_codes.withColumnRenamed("status_code", "ls_status_code")
-    detail = semi_join(srv.loanacct_detail, loans.select("acctrefno"), "acctrefno") \
-        .withColumnRenamed("userdef11", "ld_userdef11")
-    setup = semi_join(srv.loanacct_setup, loans.select("acctrefno"), "acctrefno")
+    detail = srv.loanacct_detail.withColumnRenamed("userdef11", "ld_userdef11")
     return (loans.join(detail, "acctrefno", "left")
-            .join(setup, "acctrefno", "left")
+            .join(srv.loanacct_setup, "acctrefno", "left")
             .join(st, "acctrefno", "left")
-            .join(F.broadcast(codes), "status_code_no", "left")
             .join(bal, F.col("loan_number") == F.col("loannumber"), "left")
+            .withColumn("ls_status_code", code_lookup("status_code_no", srv.loan_status_pairs))
             .select("loan_number", "loan_group_no", "ls_status_code", "statflags",
                     "netbalance", "interest_method", "original_note_amount",
                     "addonint_total", "ld_userdef11"))
 
 
 def application_snapshot(srv: Servicing, persons: DataFrame | None = None,
-                         mode: str = "faithful") -> DataFrame:
+                         mode: str = "faithful", distinct: bool = True) -> DataFrame:
     """Every application row of the lead persons (before per-person dedupe).
 
     ``persons`` (column ``ssn``) restricts the whole query to the leads'
     people up front; the reference ran the query for everyone and filtered
-    in the later merge - the result is the same.  The candidate tasks and
+    in the later merge - the result is the same.  ``distinct=False`` skips
+    the final whole-row DISTINCT for consumers that pick one row per person
+    by a total order (identical rows cannot change that pick).  The candidate tasks and
     their loans are staged once (small, shared by several scans); every big
     servicing table is then read once and filtered by them.
     """
@@ -99,15 +102,14 @@ def application_snapshot(srv: Servicing, persons: DataFrame | None = None,
 
     # All history lookups in one pass, only for the candidate tasks.
     hist = semi_join(srv.task_routing_history, tasks.select("task_refno"), "task_refno")
-    hp = history_pivot(hist, srv.workflow_action, srv.workflow_result,
+    hp = history_pivot(hist, srv.workflow_action_pairs, srv.workflow_result_pairs,
                        last_by_time=intended)
     # C11: an application needs an application-entered date; this makes the
     # task-detail join effectively inner (the lookups key on its task).
     hp = hp.filter(F.col("ApplicationEnterDate").isNotNull())
     rows = tasks.join(hp, F.col("td_task_refno") == hp["task_refno"], "inner").drop(hp["task_refno"])
 
-    detail = semi_join(srv.cif_detail, tasks.select(F.col("cifno")), "cifno") \
-        .withColumnRenamed("cifno", "h_cifno")
+    detail = srv.cif_detail.withColumnRenamed("cifno", "h_cifno")
     rows = rows.join(detail, F.col("cifno") == F.col("h_cifno"), "left")
 
     rows = coalesced_key_join(rows, loan_rows(srv, loans), "userdef100", "loan_number", "left")
@@ -154,7 +156,7 @@ def application_snapshot(srv: Servicing, persons: DataFrame | None = None,
         F.col("ssn"),
         F.lit("app").alias("lead_app"),
     )
-    return snap.distinct()
+    return snap.distinct() if distinct else snap
 
 
 def app_workbook(snapshot: DataFrame, rules: R.FunnelRules) -> DataFrame:

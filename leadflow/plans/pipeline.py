@@ -58,6 +58,12 @@ class Run:
     def snapshot(self) -> DataFrame:
         return application_snapshot(self.srv, self.persons, self.rules.mode)
 
+    @cached_property
+    def snapshot_rows(self) -> DataFrame:
+        """The snapshot without its whole-row DISTINCT: enough for the
+        funnel, which keeps one row per person by a total order."""
+        return application_snapshot(self.srv, self.persons, self.rules.mode, distinct=False)
+
     @cached_property
     def apps(self) -> DataFrame:
         if self.rules.name == "daily":
@@ -67,5 +73,5 @@ class Run:
     @cached_property
     def funnel(self) -> DataFrame:
         if self.rules.name == "daily":
-            return funnel_daily(self.best_leads, self.snapshot, self.rules.mode)
-        return funnel_weekly(self.best_leads, self.apps, self.rules)
+            return funnel_daily(self.best_leads, self.snapshot_rows, self.rules.mode)
+        return funnel_weekly(self.best_leads, weekly_apps(self.snapshot_rows, self.rules), self.rules)

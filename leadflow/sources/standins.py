@@ -21,12 +21,13 @@ are safe to broadcast.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadflow.functions import cents, money, money_text
 from leadflow.sources.tables import Tables
 
 # Fixed values of the stand-in data set.
@@ -56,33 +57,52 @@ def code_table(spark: SparkSession, rows, key: str, value: str) -> DataFrame:
     return spark.createDataFrame(list(rows), f"{key} int, {value} string")
 
 
+# SQL snippets shared by the stand-in definitions (exact integer cents).
+CENTS = "CAST(round({x} * 100) AS BIGINT)"
+
+
+def _money(x: str) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(18,2)) * 0.01 AS DECIMAL(18,2))"
+
+
+def _money_text(x: str) -> str:
+    return f"concat(CAST(({x}) div 100 AS STRING), '.', lpad(CAST(({x}) % 100 AS STRING), 2, '0'))"
+
+
+C = CENTS.format(x="o_totalprice")
+_APP = "('" + "', '".join(APP_PRIORITIES) + "')"
+_LEAD = "('" + "', '".join(LEAD_PRIORITIES) + "')"
+
+
 # --------------------------------------------------------------------------
 # Lead file
 # --------------------------------------------------------------------------
-def lead_file_columns() -> list[Column]:
+def lead_file_exprs() -> list[str]:
     """The partner file's columns (text, raw header names) over an
-    ``orders`` row."""
-    date_txt = F.date_format("o_orderdate", "M/d/yyyy H:mm")
-    score = F.when(F.col("o_totalprice") < 20000, F.lit(None).cast("string")) \
-        .otherwise(F.floor(F.col("o_totalprice") / 1000).cast("string"))
+    ``orders`` row, as SQL expressions."""
+    date_txt = "date_format(o_orderdate, 'M/d/yyyy H:mm')"
     exprs = [
-        F.when(F.col("o_orderstatus") == "P", F.lit(OTHER_PARTNER)).otherwise(F.lit(PARTNER)),
-        F.col("o_custkey").cast("string"),
-        F.concat(F.lit("IR"), F.col("o_orderkey").cast("string")),
-        F.col("o_orderkey").cast("string"),
-        F.lpad((F.col("o_custkey") % 100000).cast("string"), 5, "0"),
-        F.lit(None).cast("string"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Auto Approved"))
-         .otherwise(F.lit("Declined")),
-        F.lit("Personal"),
-        F.lit("SC"),
-        F.col("o_orderkey").cast("string"),
+        f"CASE WHEN o_orderstatus = 'P' THEN '{OTHER_PARTNER}' ELSE '{PARTNER}' END",
+        "CAST(o_custkey AS STRING)",
+        "concat('IR', CAST(o_orderkey AS STRING))",
+        "CAST(o_orderkey AS STRING)",
+        "lpad(CAST(o_custkey % 100000 AS STRING), 5, '0')",
+        "CAST(NULL AS STRING)",
+        "CASE WHEN o_orderpriority = '1-URGENT' THEN 'Auto Approved' ELSE 'Declined' END",
+        "'Personal'",
+        "'SC'",
+        "CAST(o_orderkey AS STRING)",
         date_txt,
         date_txt,
-        score,
-        money_text(cents(F.col("o_totalprice"))),
+        "CASE WHEN o_totalprice < 20000 THEN CAST(NULL AS STRING) "
+        "ELSE CAST(floor(o_totalprice / 1000) AS STRING) END",
+        _money_text(C),
     ]
-    return [e.alias(n) for e, n in zip(exprs, LEAD_FILE_HEADER)]
+    return [f"{e} AS `{n}`" for e, n in zip(exprs, LEAD_FILE_HEADER)]
+
+
+def lead_file_columns() -> list[Column]:
+    return [F.expr(e) for e in lead_file_exprs()]
 
 
 def lead_orders(t: Tables) -> DataFrame:
@@ -91,7 +111,7 @@ def lead_orders(t: Tables) -> DataFrame:
 
 def lead_file_rows(t: Tables) -> DataFrame:
     """Lead rows as a partner file carries them: text columns, raw headers."""
-    return lead_orders(t).select(*lead_file_columns())
+    return lead_orders(t).selectExpr(*lead_file_exprs())
 
 
 def normalised_lead_rows(t: Tables) -> DataFrame:
@@ -101,148 +121,124 @@ def normalised_lead_rows(t: Tables) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# Servicing relations
+# Servicing relations (each one projection of a driver table)
 # --------------------------------------------------------------------------
 def cif(t: Tables) -> DataFrame:
-    return t.customer.select(F.col("c_custkey").alias("cifno"),
-                             F.col("c_mktsegment").alias("firstname1"),
-                             F.col("c_name").alias("lastname1"))
+    return t.customer.selectExpr("c_custkey AS cifno", "c_mktsegment AS firstname1",
+                                 "c_name AS lastname1")
 
 
 def borrower(t: Tables) -> DataFrame:
     """Person key <-> customer number view."""
-    return t.customer.select(F.col("c_custkey").cast("string").alias("SSNo"),
-                             F.col("c_custkey").alias("Cifno"))
+    return t.customer.selectExpr("CAST(c_custkey AS STRING) AS SSNo", "c_custkey AS Cifno")
 
 
 def cif_detail(t: Tables) -> DataFrame:
-    bal = F.col("c_acctbal")
-    score = (F.when(bal < 0, F.lit(None).cast("string"))
-             .when(bal < 1000, F.lit("NO SCORE"))
-             .when(F.col("c_mktsegment") == "AUTOMOBILE",
-                   F.concat(F.lit("Score "), F.lower("c_mktsegment"), F.lit(".01")))
-             .otherwise(F.concat(
-                 F.lit("FICO08-"),
-                 F.lpad((F.lit(300) + F.floor(bal).cast("bigint") % 550).cast("string"), 4, "0"),
-                 F.lit("."), F.col("c_nationkey").cast("string"), F.lit("X"))))
-    return t.customer.select(F.col("c_custkey").alias("cifno"), score.alias("userdef05"))
+    return t.customer.selectExpr("c_custkey AS cifno", """
+        CASE WHEN c_acctbal < 0 THEN CAST(NULL AS STRING)
+             WHEN c_acctbal < 1000 THEN 'NO SCORE'
+             WHEN c_mktsegment = 'AUTOMOBILE' THEN concat('Score ', lower(c_mktsegment), '.01')
+             ELSE concat('FICO08-', lpad(CAST(300 + CAST(floor(c_acctbal) AS BIGINT) % 550 AS STRING), 4, '0'),
+                         '.', CAST(c_nationkey AS STRING), 'X') END AS userdef05""")
 
 
 def tmr(t: Tables) -> DataFrame:
     """Customer -> task link; code 1 marks application tasks."""
-    return t.orders.select(
-        F.when(F.col("o_orderpriority").isin(*APP_PRIORITIES), F.lit(1))
-         .otherwise(F.lit(2)).alias("tmr_code_id"),
-        F.col("o_custkey").alias("child_refno"),
-        F.col("o_orderkey").alias("parent_refno"))
+    return t.orders.selectExpr(
+        f"CASE WHEN o_orderpriority IN {_APP} THEN 1 ELSE 2 END AS tmr_code_id",
+        "o_custkey AS child_refno", "o_orderkey AS parent_refno")
 
 
 def task(t: Tables) -> DataFrame:
-    return t.orders.select(
-        F.col("o_orderkey").alias("task_refno"),
-        F.when(F.col("o_totalprice") < 20000, F.lit(2)).otherwise(F.lit(1)).alias("task_template_no"),
-        F.when(F.col("o_orderstatus") == "F", F.lit(1))
-         .when(F.col("o_orderstatus") == "O", F.lit(2))
-         .otherwise(F.lit(3)).alias("status_code_id"))
+    return t.orders.selectExpr(
+        "o_orderkey AS task_refno",
+        "CASE WHEN o_totalprice < 20000 THEN 2 ELSE 1 END AS task_template_no",
+        "CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS status_code_id")
 
 
 def task_detail(t: Tables) -> DataFrame:
-    c = cents(F.col("o_totalprice"))
-    p, s, k = F.col("o_totalprice"), F.col("o_orderstatus"), F.col("o_orderkey")
-    null = F.lit(None).cast("string")
-    return t.orders.select(
-        k.alias("task_refno"),
-        (F.when(s == "F", F.concat(F.lit("LN"), k.cast("string")))
-          .when((s == "O") & (p >= 400000), F.lit("CLOSE BRANCH"))
-          .when((s == "O") & (p >= 300000), F.lit(""))
-          .when((s == "P") & (p >= 450000), F.lit(""))
-          .otherwise(null)).alias("userdef100"),
-        money_text((c / 20).cast("bigint")).alias("userdef34"),
-        F.when((s == "P") & (p < 100000), null).otherwise(money_text((c / 40).cast("bigint"))).alias("userdef10"),
-        F.when(s == "P", null).when(p < 50000, F.lit("0.00"))
-         .otherwise(money_text((c / 20).cast("bigint"))).alias("userdef19"),
-        (F.lit(12) + (c % 4) * 6).cast("string").alias("userdef12"),
-        F.when(s == "P", null).when(p < 150000, F.lit("0"))
-         .otherwise((F.lit(24) + (c % 3) * 12).cast("string")).alias("userdef20"),
-        F.concat((F.lit(20) + c % 10).cast("string"), F.lit(".99")).alias("userdef14"),
-        F.when(s == "P", null).when(p < 150000, F.lit("0"))
-         .otherwise(F.concat((F.lit(15) + c % 10).cast("string"), F.lit(".49"))).alias("userdef21"),
-        F.when((s == "P") & (p >= 250000), F.lit("DTI TOO HIGH"))
-         .when((s == "O") & (p < 60000), F.lit("INSUFFICIENT INCOME"))
-         .otherwise(null).alias("userdef11"),
-        F.when(s == "F", (F.lit(12) * (F.lit(1) + c % 5)).cast("string")).otherwise(null).alias("userdef54"),
-        F.concat((F.lit(5) + c % 20).cast("string"), F.lit(".5")).alias("userdef55"),
-        F.when(s == "F", F.concat((F.lit(10) + c % 25).cast("string"), F.lit(".99")))
-         .otherwise(null).alias("userdef57"),
-        money_text((c / 50).cast("bigint")).alias("userdef04"),
-        money_text((c / 60).cast("bigint")).alias("userdef05"),
-        money_text((c / 200).cast("bigint")).alias("userdef07"),
-    )
+    """Application details as text fields (money, terms, rates, loan number)."""
+    return t.orders.selectExpr("*", f"{C} AS c").selectExpr(
+        "o_orderkey AS task_refno",
+        """CASE WHEN o_orderstatus = 'F' THEN concat('LN', CAST(o_orderkey AS STRING))
+                WHEN o_orderstatus = 'O' AND o_totalprice >= 400000 THEN 'CLOSE BRANCH'
+                WHEN o_orderstatus = 'O' AND o_totalprice >= 300000 THEN ''
+                WHEN o_orderstatus = 'P' AND o_totalprice >= 450000 THEN ''
+                ELSE CAST(NULL AS STRING) END AS userdef100""",
+        f"{_money_text('c div 20')} AS userdef34",
+        f"""CASE WHEN o_orderstatus = 'P' AND o_totalprice < 100000 THEN CAST(NULL AS STRING)
+                 ELSE {_money_text('c div 40')} END AS userdef10""",
+        f"""CASE WHEN o_orderstatus = 'P' THEN CAST(NULL AS STRING) WHEN o_totalprice < 50000 THEN '0.00'
+                 ELSE {_money_text('c div 20')} END AS userdef19""",
+        "CAST(12 + (c % 4) * 6 AS STRING) AS userdef12",
+        """CASE WHEN o_orderstatus = 'P' THEN CAST(NULL AS STRING) WHEN o_totalprice < 150000 THEN '0'
+                ELSE CAST(24 + (c % 3) * 12 AS STRING) END AS userdef20""",
+        "concat(CAST(20 + c % 10 AS STRING), '.99') AS userdef14",
+        """CASE WHEN o_orderstatus = 'P' THEN CAST(NULL AS STRING) WHEN o_totalprice < 150000 THEN '0'
+                ELSE concat(CAST(15 + c % 10 AS STRING), '.49') END AS userdef21""",
+        """CASE WHEN o_orderstatus = 'P' AND o_totalprice >= 250000 THEN 'DTI TOO HIGH'
+                WHEN o_orderstatus = 'O' AND o_totalprice < 60000 THEN 'INSUFFICIENT INCOME'
+                ELSE CAST(NULL AS STRING) END AS userdef11""",
+        """CASE WHEN o_orderstatus = 'F' THEN CAST(12 * (1 + c % 5) AS STRING)
+                ELSE CAST(NULL AS STRING) END AS userdef54""",
+        "concat(CAST(5 + c % 20 AS STRING), '.5') AS userdef55",
+        """CASE WHEN o_orderstatus = 'F' THEN concat(CAST(10 + c % 25 AS STRING), '.99')
+                ELSE CAST(NULL AS STRING) END AS userdef57""",
+        f"{_money_text('c div 50')} AS userdef04",
+        f"{_money_text('c div 60')} AS userdef05",
+        f"{_money_text('c div 200')} AS userdef07")
 
 
 def _loan_orders(t: Tables) -> DataFrame:
-    return t.orders.filter(F.col("o_orderstatus") == "F")
+    return t.orders.filter(F.col("o_orderstatus") == "F").selectExpr("*", f"{C} AS c")
 
 
 def loanacct(t: Tables) -> DataFrame:
-    c = cents(F.col("o_totalprice"))
-    p = F.col("o_totalprice")
-    return _loan_orders(t).select(
-        F.col("o_orderkey").alias("acctrefno"),
-        F.concat(F.lit("LN"), F.col("o_orderkey").cast("string")).alias("loan_number"),
-        F.when(p >= 480000, F.lit(6)).when(p < 30000, F.lit(None).cast("int"))
-         .otherwise((F.lit(1) + c % 5).cast("int")).alias("loan_group_no"),
-        (F.lit(1) + c % 6).cast("int").alias("status_code_no"),
-        money(F.when(p > 490000, c * 3).otherwise((c / 20).cast("bigint"))).alias("original_note_amount"),
-        F.when(c % 3 == 0, F.lit(None).cast("decimal(18,2)"))
-         .otherwise(money((c / 200).cast("bigint"))).alias("addonint_total"))
+    return _loan_orders(t).selectExpr(
+        "o_orderkey AS acctrefno",
+        "concat('LN', CAST(o_orderkey AS STRING)) AS loan_number",
+        """CASE WHEN o_totalprice >= 480000 THEN 6 WHEN o_totalprice < 30000 THEN CAST(NULL AS INT)
+                ELSE CAST(1 + c % 5 AS INT) END AS loan_group_no""",
+        "CAST(1 + c % 6 AS INT) AS status_code_no",
+        f"{_money('CASE WHEN o_totalprice > 490000 THEN c * 3 ELSE c div 20 END')} AS original_note_amount",
+        f"CASE WHEN c % 3 = 0 THEN CAST(NULL AS DECIMAL(18,2)) ELSE {_money('c div 200')} END AS addonint_total")
 
 
 def loanacct_detail(t: Tables) -> DataFrame:
-    c = cents(F.col("o_totalprice"))
-    return _loan_orders(t).select(
-        F.col("o_orderkey").alias("acctrefno"),
-        F.when(c % 2 == 0, F.format_number(money((c / 20).cast("bigint") + 12345), 2))
-         .otherwise(F.lit(None).cast("string")).alias("userdef11"))
+    """Payoff amount as text with thousands separators."""
+    return _loan_orders(t).selectExpr(
+        "o_orderkey AS acctrefno",
+        f"CASE WHEN c % 2 = 0 THEN format_number({_money('c div 20 + 12345')}, 2) "
+        "ELSE CAST(NULL AS STRING) END AS userdef11")
 
 
 def loanacct_setup(t: Tables) -> DataFrame:
-    c = cents(F.col("o_totalprice"))
-    m = c % 4
-    return _loan_orders(t).select(
-        F.col("o_orderkey").alias("acctrefno"),
-        F.when(m == 0, F.lit("SI")).when(m == 1, F.lit("78")).when(m == 2, F.lit("FA"))
-         .otherwise(F.lit("AC")).alias("interest_method"))
+    return _loan_orders(t).selectExpr(
+        "o_orderkey AS acctrefno",
+        "CASE c % 4 WHEN 0 THEN 'SI' WHEN 1 THEN '78' WHEN 2 THEN 'FA' ELSE 'AC' END AS interest_method")
 
 
 def loanacct_statuses(t: Tables) -> DataFrame:
-    li = t.lineitem
-    code = (F.when(F.col("l_returnflag") == "A", F.lit(1))
-            .when(F.col("l_returnflag") == "N", F.lit(2)).otherwise(F.lit(3))
-            + F.when(F.col("l_linestatus") == "F", F.lit(3)).otherwise(F.lit(0)))
-    return li.select(F.col("l_orderkey").alias("acctrefno"), code.cast("int").alias("status_code_no"))
+    return t.lineitem.selectExpr(
+        "l_orderkey AS acctrefno",
+        """CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END
+                + CASE WHEN l_linestatus = 'F' THEN 3 ELSE 0 END AS INT) AS status_code_no""")
 
 
 def task_routing_history(t: Tables) -> DataFrame:
-    li = t.lineitem
-    action = (F.when(F.col("l_returnflag") == "N", F.lit(1))
-              .when(F.col("l_returnflag") == "A", F.lit(2)).otherwise(F.lit(3)))
-    result = (F.when(F.col("l_linestatus") == "F", F.lit(2))
-              .when(F.col("l_tax") == 0, F.lit(9))
-              .when(F.col("l_discount") >= 0.08, F.lit(28))
-              .when(F.col("l_discount") >= 0.05, F.lit(32))
-              .otherwise(F.lit(3)))
-    return li.select(F.col("l_orderkey").alias("task_refno"),
-                     action.alias("workflow_action_id"),
-                     result.alias("workflow_result_id"),
-                     F.col("l_shipdate").alias("created_date"))
+    return t.lineitem.selectExpr(
+        "l_orderkey AS task_refno",
+        "CASE l_returnflag WHEN 'N' THEN 1 WHEN 'A' THEN 2 ELSE 3 END AS workflow_action_id",
+        """CASE WHEN l_linestatus = 'F' THEN 2 WHEN l_tax = 0 THEN 9 WHEN l_discount >= 0.08 THEN 28
+                WHEN l_discount >= 0.05 THEN 32 ELSE 3 END AS workflow_result_id""",
+        "l_shipdate AS created_date")
 
 
 def aged_balance(t: Tables) -> DataFrame:
-    li = t.lineitem.filter(F.col("l_returnflag") == "R")
-    return li.select(F.concat(F.lit("LN"), F.col("l_orderkey").cast("string")).alias("loannumber"),
-                     money(cents(F.col("l_extendedprice"))).alias("netbalance"),
-                     F.to_date("l_shipdate").alias("rundate"))
+    return t.lineitem.filter(F.col("l_returnflag") == "R").selectExpr(
+        "concat('LN', CAST(l_orderkey AS STRING)) AS loannumber",
+        f"{_money(CENTS.format(x='l_extendedprice'))} AS netbalance",
+        "to_date(l_shipdate) AS rundate")
 
 
 def task_status_codes(spark: SparkSession) -> DataFrame:
@@ -262,24 +258,34 @@ def loan_status_codes(spark: SparkSession) -> DataFrame:
 
 
 class Servicing:
-    """All servicing relations of one data set, built lazily."""
+    """All servicing relations of one data set, built lazily.
+
+    The four code tables are fixed (code, text) pairs here; the plans use
+    them as CASE lookups.  Relations are memoised per instance so one plan
+    references one DataFrame per relation.
+    """
 
     def __init__(self, t: Tables):
         self.t, self.spark = t, t.spark
 
-    cif = property(lambda s: cif(s.t))
-    borrower = property(lambda s: borrower(s.t))
-    cif_detail = property(lambda s: cif_detail(s.t))
-    tmr = property(lambda s: tmr(s.t))
-    task = property(lambda s: task(s.t))
-    task_detail = property(lambda s: task_detail(s.t))
-    loanacct = property(lambda s: loanacct(s.t))
-    loanacct_detail = property(lambda s: loanacct_detail(s.t))
-    loanacct_setup = property(lambda s: loanacct_setup(s.t))
-    loanacct_statuses = property(lambda s: loanacct_statuses(s.t))
-    task_routing_history = property(lambda s: task_routing_history(s.t))
-    aged_balance = property(lambda s: aged_balance(s.t))
-    task_status_codes = property(lambda s: task_status_codes(s.spark))
-    workflow_action = property(lambda s: workflow_action(s.spark))
-    workflow_result = property(lambda s: workflow_result(s.spark))
-    loan_status_codes = property(lambda s: loan_status_codes(s.spark))
+    task_status_pairs = TASK_STATUS_CODES
+    workflow_action_pairs = WORKFLOW_ACTIONS
+    workflow_result_pairs = WORKFLOW_RESULTS
+    loan_status_pairs = LOAN_STATUS_CODES
+
+    cif = cached_property(lambda s: cif(s.t))
+    borrower = cached_property(lambda s: borrower(s.t))
+    cif_detail = cached_property(lambda s: cif_detail(s.t))
+    tmr = cached_property(lambda s: tmr(s.t))
+    task = cached_property(lambda s: task(s.t))
+    task_detail = cached_property(lambda s: task_detail(s.t))
+    loanacct = cached_property(lambda s: loanacct(s.t))
+    loanacct_detail = cached_property(lambda s: loanacct_detail(s.t))
+    loanacct_setup = cached_property(lambda s: loanacct_setup(s.t))
+    loanacct_statuses = cached_property(lambda s: loanacct_statuses(s.t))
+    task_routing_history = cached_property(lambda s: task_routing_history(s.t))
+    aged_balance = cached_property(lambda s: aged_balance(s.t))
+    task_status_codes = cached_property(lambda s: task_status_codes(s.spark))
+    workflow_action = cached_property(lambda s: workflow_action(s.spark))
+    workflow_result = cached_property(lambda s: workflow_result(s.spark))
+    loan_status_codes = cached_property(lambda s: loan_status_codes(s.spark))
