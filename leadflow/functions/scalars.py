@@ -71,7 +71,7 @@ def sentinel_to_null(c, sentinels: Iterable[str] = ("None",),
 
 
 # Named formats tried in order (B4); the first that parses wins.
-DATE_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy",
+DATE_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy",
                 "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss",
                 "yyyy-MM-dd HH:mm", "yyyy-MM-dd")
 

@@ -43,7 +43,11 @@ def application_tasks(srv: Servicing, borrowers: DataFrame) -> DataFrame:
                  F.col("parent_refno") == F.col("task_refno"), "inner")
            .drop("child_refno", "parent_refno")
            .withColumn("TaskStatus", code_lookup("status_code_id", srv.task_status_pairs)))
-    td = (srv.task_detail.withColumnRenamed("task_refno", "td_task_refno")
+    # Only details of candidate tasks can match; the semi-join is pushed
+    # below the detail projection, so its text fields are derived for those
+    # rows only.  The left join keeps C5's semantics.
+    td = (semi_join(srv.task_detail, ta.select("task_refno"), "task_refno")
+          .withColumnRenamed("task_refno", "td_task_refno")
           .withColumnRenamed("userdef05", "td_userdef05"))
     return left_join_left_pred(ta, td, F.col("task_refno") == F.col("td_task_refno"),
                                F.col("task_template_no") == 1)

@@ -29,13 +29,16 @@ def _zero0() -> Column:
     return F.lit(Decimal("0")).cast("decimal(18,0)")
 
 
+APP_ORDER_COLS = ("ApplicationEnterDate", "task_refno", "CustomerType", "LoanStatus",
+                  "StatusCodes", "FinalLoanAmount", "SSNo")
+
+
 def app_order(desc: bool) -> list[Column]:
     """Total order of one person's application rows: by application date and
     task number, then the columns a fanned-out task row can differ in."""
     d = "desc_nulls_last" if desc else "asc_nulls_first"
-    first = [getattr(F.col("ApplicationEnterDate"), d)(), getattr(F.col("task_refno"), d)()]
-    rest = [F.col(c).asc_nulls_first() for c in
-            ("CustomerType", "LoanStatus", "StatusCodes", "FinalLoanAmount", "SSNo")]
+    first = [getattr(F.col(c), d)() for c in APP_ORDER_COLS[:2]]
+    rest = [F.col(c).asc_nulls_first() for c in APP_ORDER_COLS[2:]]
     return first + rest
 
 
@@ -147,7 +150,7 @@ def weekly_rows(best_leads: DataFrame, apps: DataFrame,
         _flag(approve).alias("IS_APPROVE"),
         _flag(funded).alias("IS_FUNDED"),
     )
-    rows = sticky_flag(rows, ["ssn"], app_order(desc=False),
+    rows = sticky_flag(rows, ["ssn"], APP_ORDER_COLS,
                        (F.col("LEAD_PREQUAL") == 1) | (F.col("IS_APPL") == 1), "IS_PREQUAL")
     amount_funded = zero_if_pre(F.col("FinalLoanAmount"), _zero2()).cast("decimal(18,2)")
     out = rows.select(

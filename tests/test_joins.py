@@ -36,6 +36,14 @@ def test_best_per_key_and_sticky(spark):
                                "k string, seq int, f int")
     best = best_per_key(df, ["k"], [F.col("seq").desc()])
     assert sorted((r.k, r.seq) for r in best.collect()) == [("p", 3), ("q", 1)]
-    st = sticky_flag(df, ["k"], [F.col("seq")], F.col("f") == 1, "s")
+    st = sticky_flag(df, ["k"], ["seq"], F.col("f") == 1, "s")
     assert sorted((r.k, r.seq, r.s) for r in st.collect()) == [
         ("p", 1, 0), ("p", 2, 1), ("p", 3, 1), ("q", 1, 0)]
+
+
+def test_sticky_null_key_is_one_group(spark):
+    df = spark.createDataFrame([(None, 1, 0), (None, 2, 1), (None, 3, 0), ("a", 1, 0)],
+                               "k string, seq int, f int")
+    st = sticky_flag(df, ["k"], ["seq"], F.col("f") == 1, "s")
+    assert sorted((r.k or "", r.seq, r.s) for r in st.collect()) == [
+        ("", 1, 0), ("", 2, 1), ("", 3, 1), ("a", 1, 0)]
