@@ -71,7 +71,13 @@ def match_merge(leads: DataFrame, apps: DataFrame, key: str) -> DataFrame:
     nn = leads.filter(F.col(key).isNotNull()).join(a.filter(F.col(key).isNotNull()), key, "left")
     ln = leads.filter(F.col(key).isNull()).withColumn("_nk", F.lit(1))
     an = a.filter(F.col(key).isNull()).drop(key).withColumn("_nk", F.lit(1))
-    nulls = an.join(F.broadcast(ln), "_nk", "right").drop("_nk")
+    # Inner join with the (at most one row) null-key lead broadcast: the
+    # null-key apps stay where they are.  A null-key lead without any such
+    # app is kept through a one-row existence count (partial aggregation).
+    paired = an.join(F.broadcast(ln), "_nk", "inner")
+    has_apps = an.groupBy("_nk").agg(F.count(F.lit(1)).alias("_n"))
+    alone = ln.join(F.broadcast(has_apps), "_nk", "left").filter(F.col("_n").isNull()).drop("_n")
+    nulls = paired.unionByName(alone, allowMissingColumns=True).drop("_nk")
     out = nn.unionByName(nulls.select(*[_q(c) for c in nn.columns]))
     for c in shared:
         out = out.withColumn(c, F.coalesce(_q(f"_app_{c}"), _q(c))).drop(f"_app_{c}")

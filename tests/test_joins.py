@@ -29,6 +29,11 @@ def test_match_merge_null_keys(spark):
                                  "ssn long, app string")
     got = sorted((r.lead, r.app) for r in match_merge(leads, apps, "ssn").collect())
     assert got == [("L1", "A1"), ("L1", "A2"), ("LN", "AM"), ("LN", "AN")]
+    lonely = match_merge(leads, apps.filter("ssn is not null"), "ssn")
+    assert sorted((r.lead, r.app or "") for r in lonely.collect()) == [
+        ("L1", "A1"), ("L1", "A2"), ("LN", "")]
+    plan = match_merge(leads, apps, "ssn")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin BuildRight, Inner" in plan   # null-key lead broadcast, apps stay put
 
 
 def test_best_per_key_and_sticky(spark):
