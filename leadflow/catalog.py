@@ -285,6 +285,11 @@ def q_funnel_daily(spark, d):
     return run(spark, d).funnel.select(*FUNNEL_DAILY_COLS)
 
 
+@query("funnel_daily_intended")
+def q_funnel_daily_intended(spark, d):
+    return run(spark, d, "daily", "intended").funnel.select(*FUNNEL_DAILY_COLS)
+
+
 @query("funnel_weekly")
 def q_funnel_weekly(spark, d):
     return run(spark, d, "weekly").funnel.select(*FUNNEL_WEEKLY_COLS)
@@ -315,6 +320,11 @@ def q_application_snapshot(spark, d):
     return run(spark, d).snapshot
 
 
+@query("application_snapshot_intended")
+def q_application_snapshot_intended(spark, d):
+    return run(spark, d, "daily", "intended").snapshot
+
+
 @query("borrower_semi_join")
 def q_borrower_semi_join(spark, d):
     r = run(spark, d)

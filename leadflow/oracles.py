@@ -268,26 +268,28 @@ CTES["snapshot_weekly_v2"] = _snapshot("persons_weekly_v2")
 APP_TIE = ("CustomerType ASC NULLS FIRST, LoanStatus ASC NULLS FIRST, StatusCodes ASC NULLS FIRST, "
            "FinalLoanAmount ASC NULLS FIRST, SSNo ASC NULLS FIRST")
 
-CTES["apps_daily"] = f"""
+def _daily(sfx: str = "", intended: bool = False) -> dict[str, str]:
+    """The daily program's chain; ``intended`` compares days and zeroes all
+    amounts of before-lead rows."""
+    out = {}
+    lead_cmp = "CAST(l.LEADDATE AS DATE)" if intended else "l.LEADDATE"
+    out[f"apps_daily{sfx}"] = f"""
   SELECT * EXCLUDE (rn, lead_app) FROM (
     SELECT *, row_number() OVER (PARTITION BY ssn ORDER BY ApplicationEnterDate DESC NULLS LAST,
-           task_refno DESC NULLS LAST, {APP_TIE}) AS rn FROM snapshot) WHERE rn = 1"""
-
-CTES["joined_daily"] = """
+           task_refno DESC NULLS LAST, {APP_TIE}) AS rn FROM snapshot{sfx}) WHERE rn = 1"""
+    out[f"joined_daily{sfx}"] = f"""
   SELECT l.*, a.* EXCLUDE (ssn), a.ApplicationEnterDate AS A0,
-         COALESCE(a.ApplicationEnterDate < l.LEADDATE, FALSE) AS pre0
-  FROM best_daily l LEFT JOIN apps_daily a ON l.ssn = a.ssn"""
-
-# Ordered pandas assignments, encoded as "last write wins" CASE chains.
-CTES["funnel_daily_s1"] = """
+         COALESCE(a.ApplicationEnterDate < {lead_cmp}, FALSE) AS pre0
+  FROM best_daily l LEFT JOIN apps_daily{sfx} a ON l.ssn = a.ssn"""
+    # Ordered pandas assignments, encoded as "last write wins" CASE chains.
+    out[f"funnel_daily_s1{sfx}"] = f"""
   SELECT *,
     CASE WHEN pre0 THEN NULL ELSE A0 END AS A2,
     CASE WHEN pre0 THEN NULL ELSE FundedDate END AS F2,
     CASE WHEN pre0 THEN CAST(0 AS DECIMAL(18,2))
          ELSE COALESCE(greatest(SmallApprovedAmount, LargeApprovedAmount), CAST(0 AS DECIMAL(18,2))) END AS AMT_APPROVED
-  FROM joined_daily"""
-
-CTES["funnel_daily_s2"] = """
+  FROM joined_daily{sfx}"""
+    out[f"funnel_daily_s2{sfx}"] = f"""
   SELECT *,
     CASE WHEN A2 IS NULL THEN 0 WHEN A2 < LEADDATE THEN 0
          WHEN AMT_APPROVED > 0 AND ReasonDeclined IS NULL THEN 1
@@ -295,32 +297,46 @@ CTES["funnel_daily_s2"] = """
     CASE WHEN A2 IS NULL THEN 0 WHEN A2 < LEADDATE THEN 0
          WHEN NULLIF(LoanNumber, 'None') IS NOT NULL THEN 1
          WHEN TaskStatus = 'FUNDED' THEN 1 ELSE 0 END AS IS_FUNDED
-  FROM funnel_daily_s1"""
-
-CTES["funnel_daily_s3"] = """
+  FROM funnel_daily_s1{sfx}"""
+    if intended:
+        # a before-lead app on the lead's day is not before under day compare;
+        # A2 < LEADDATE above would then wrongly reset it, so compare days.
+        out[f"funnel_daily_s2{sfx}"] = out[f"funnel_daily_s2{sfx}"].replace(
+            "A2 < LEADDATE", "A2 < CAST(LEADDATE AS DATE)")
+    out[f"funnel_daily_s3{sfx}"] = f"""
   SELECT *,
-    CASE WHEN IS_APPROVE = 1 THEN 1 WHEN A2 IS NULL THEN 0 WHEN A2 < LEADDATE THEN 0
+    CASE WHEN IS_APPROVE = 1 THEN 1 WHEN A2 IS NULL THEN 0 WHEN A2 < {'CAST(LEADDATE AS DATE)' if intended else 'LEADDATE'} THEN 0
          WHEN trunc(COALESCE(AmountRequested, 0)) > 0 THEN 1 WHEN A2 IS NOT NULL THEN 1 ELSE 0 END AS IS_APPL
-  FROM funnel_daily_s2"""
-
-CTES["funnel_daily"] = """
+  FROM funnel_daily_s2{sfx}"""
+    term = ("CASE WHEN pre0 THEN 0.0 WHEN LargeTerm <= 0 THEN SmallTerm WHEN LargeTerm > 0 THEN LargeTerm END"
+            if intended else
+            "CASE WHEN LargeTerm <= 0 THEN SmallTerm WHEN LargeTerm > 0 THEN LargeTerm WHEN pre0 THEN 0.0 END")
+    rate = term.replace("LargeTerm", "LargeAPR").replace("SmallTerm", "SmallAPR")
+    amount = ("CASE WHEN pre0 THEN CAST(0 AS DECIMAL(18,2)) ELSE FinalLoanAmount END"
+              if intended else "FinalLoanAmount")
+    out[f"funnel_daily{sfx}"] = f"""
   SELECT ssn, CK_TRACKING_ID, LEADDATE, LEAD_SCORE, PQ_DECISION,
     A2 AS ApplicationEnterDate, F2 AS FundedDate, 1 AS ISPQAPP,
     CASE WHEN IS_APPL = 1 THEN 1 WHEN IS_APPROVE = 1 THEN 1
          WHEN PQ_DECISION = 'Auto Approved' THEN 1 ELSE 0 END AS IS_PREQUAL,
     IS_APPL, IS_APPROVE, IS_FUNDED, AMT_APPLIED, AMT_APPROVED,
-    CASE WHEN LargeTerm <= 0 THEN SmallTerm WHEN LargeTerm > 0 THEN LargeTerm
-         WHEN pre0 THEN 0.0 END AS TERM_APPROVED,
-    CASE WHEN LargeAPR <= 0 THEN SmallAPR WHEN LargeAPR > 0 THEN LargeAPR
-         WHEN pre0 THEN 0.0 END AS RATE_APPROVED,
-    CAST(FinalLoanAmount AS DECIMAL(18,2)) AS AMOUNT_FUNDED,
+    {term} AS TERM_APPROVED,
+    {rate} AS RATE_APPROVED,
+    CAST({amount} AS DECIMAL(18,2)) AS AMOUNT_FUNDED,
     CAST(CASE WHEN IS_FUNDED = 1 THEN FinalTerm ELSE 0 END AS DECIMAL(18,0)) AS TERM_FUNDED,
     CAST(CASE WHEN IS_FUNDED = 1 THEN FinalAPR ELSE 0 END AS DOUBLE) AS RATE_FUNDED,
     0 AS APP_BEFORE_LEAD,
     CASE WHEN pre0 THEN 1 ELSE 0 END AS _pre,
-    CASE WHEN FinalLoanAmount > 2500 THEN 200 WHEN FinalLoanAmount = 0 THEN 0
-         WHEN FinalLoanAmount <= 2500 THEN 125 ELSE 0 END AS COST
-  FROM funnel_daily_s3"""
+    CASE WHEN {amount} > 2500 THEN 200 WHEN {amount} = 0 THEN 0
+         WHEN {amount} <= 2500 THEN 125 ELSE 0 END AS COST
+  FROM funnel_daily_s3{sfx}"""
+    return out
+
+
+CTES["app_table_intended"] = _app_table(intended=True)
+CTES["snapshot_intended"] = _snapshot("persons_daily", "app_table_intended")
+CTES.update(_daily())
+CTES.update(_daily("_intended", intended=True))
 
 
 def _weekly(profile: str) -> dict[str, str]:
@@ -526,6 +542,8 @@ SELECTS: dict[str, str] = {
   FROM funnel_daily""",
     "funded_terms": "SELECT ssn, IS_FUNDED, TERM_FUNDED, RATE_FUNDED FROM funnel_daily",
     "application_snapshot": "SELECT * FROM snapshot",
+    "application_snapshot_intended": "SELECT * FROM snapshot_intended",
+    "funnel_daily_intended": f"SELECT {FUNNEL_COLS} FROM funnel_daily_intended",
     "borrower_semi_join": f"""
   SELECT SSNo, Cifno, {pad('SSNo')} AS ssn FROM borrower
   WHERE {pad('SSNo')} IN (SELECT ssn FROM persons_daily WHERE ssn IS NOT NULL)""",
