@@ -20,4 +20,5 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "stage", name, unique=True)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: no footer-reading job when reading it back
+    return spark.read.schema(df.schema).parquet(path)

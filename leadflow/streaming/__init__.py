@@ -1,5 +1,5 @@
 """Incremental pick-up of new lead files (A10)."""
 
-from leadflow.streaming.ingest import ingest_lead_files
+from leadflow.streaming.ingest import best_leads_from_history, ingest_lead_files
 
-__all__ = ["ingest_lead_files"]
+__all__ = ["ingest_lead_files", "best_leads_from_history"]

@@ -47,3 +47,13 @@ def ingest_lead_files(spark: SparkSession, folder: str, header: Sequence[str],
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(history_path)
+
+
+def best_leads_from_history(history: DataFrame, rules) -> DataFrame:
+    """Best lead per person over everything ingested so far.
+
+    Re-derived from the whole history, not per micro-batch: a lead in a
+    later file can replace an earlier best lead of the same person.
+    """
+    from leadflow.plans.leads import best_leads, typed_leads
+    return best_leads(typed_leads(history, rules), rules)

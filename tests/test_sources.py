@@ -1,7 +1,6 @@
 """Lenient CSV, header normalisation, union, newest/oldest pick (A1-A4)."""
 
 import os
-import time
 
 from leadflow.sources.files import (list_files, newest_and_oldest,
                                     normalise_headers, normalise_name,

@@ -5,7 +5,6 @@ import datetime as dt
 import itertools
 from decimal import Decimal as D
 
-from pyspark.sql import functions as F
 
 from leadflow import rules as R
 from leadflow.plans.funnel import best_outcome, funnel_daily, weekly_rows
