@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from leadflow import rules as R
 from leadflow.functions import canonical_id
+from leadflow.operators import stage
 from leadflow.plans.applications import application_snapshot
 from leadflow.plans.funnel import funnel_daily, funnel_weekly, weekly_apps
 from leadflow.plans.leads import best_leads, lead_keys, typed_leads
@@ -66,12 +67,15 @@ class Run:
 
     @cached_property
     def apps(self) -> DataFrame:
+        """daily: the snapshot.  weekly: the apps table as the weekly program
+        reads it, staged - the match-merge splits it by null key and the
+        carry-over joins back to it, so it is read several times."""
         if self.rules.name == "daily":
             return self.snapshot
-        return weekly_apps(self.snapshot, self.rules)
+        return stage(weekly_apps(self.snapshot, self.rules), f"apps_{self.rules.name}")
 
     @cached_property
     def funnel(self) -> DataFrame:
         if self.rules.name == "daily":
             return funnel_daily(self.best_leads, self.snapshot_rows, self.rules.mode)
-        return funnel_weekly(self.best_leads, weekly_apps(self.snapshot_rows, self.rules), self.rules)
+        return funnel_weekly(self.best_leads, self.apps, self.rules)
