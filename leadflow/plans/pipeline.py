@@ -46,7 +46,13 @@ class Run:
 
     @cached_property
     def best_leads(self) -> DataFrame:
-        return best_leads(self.leads, self.rules)
+        """One row per lead person.  The weekly match-merge reads it in three
+        null/non-null parts and the carry-over joins back to it, so there it
+        is staged once; the daily plan reads it twice and recomputes."""
+        best = best_leads(self.leads, self.rules)
+        if self.rules.name == "daily":
+            return best
+        return stage(best, f"best_leads_{self.rules.name}")
 
     @cached_property
     def persons(self) -> DataFrame:
