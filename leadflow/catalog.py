@@ -470,6 +470,11 @@ def q_funnel_frequency(spark, d):
     return funnel_frequency(run(spark, d).funnel)
 
 
+@query("funnel_frequency_weekly")
+def q_funnel_frequency_weekly(spark, d):
+    return funnel_frequency(run(spark, d, "weekly").funnel)
+
+
 @query("funnel_gaps")
 def q_funnel_gaps(spark, d):
     return funnel_gaps(run(spark, d).funnel)

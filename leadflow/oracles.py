@@ -618,6 +618,12 @@ SELECTS: dict[str, str] = {
   FROM (SELECT {FLAGS}, Funnel, sum(Funnel) OVER () AS total,
                sum(Funnel) OVER (ORDER BY {FLAGS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
         FROM (SELECT {FLAGS}, count(*) AS Funnel FROM funnel_daily GROUP BY ALL))""",
+    "funnel_frequency_weekly": f"""
+  SELECT {FLAGS}, Funnel, Funnel * 100.0 / total AS Percent, cum AS Cumulative_Frequency,
+         cum * 100.0 / total AS Cumulative_Percent
+  FROM (SELECT {FLAGS}, Funnel, sum(Funnel) OVER () AS total,
+               sum(Funnel) OVER (ORDER BY {FLAGS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+        FROM (SELECT {FLAGS}, count(*) AS Funnel FROM funnel_weekly GROUP BY ALL))""",
     "funnel_gaps": f"""
   SELECT {FLAGS}, GAP, count(*) AS Funnel FROM (
     SELECT *, CASE WHEN ISPQAPP = 0 AND IS_PREQUAL = 1 THEN 'IS_PREQUAL without ISPQAPP'

@@ -65,6 +65,16 @@ def test_snapshot_sink_and_feed_sink(spark, tmpdir_path):
     assert back.count() == r.funnel.count()
 
 
+def test_summary_sink(spark, tmpdir_path):
+    from leadflow.plans.reports import daily_summary
+    from leadflow.plans.sinks import write_summary
+    summ = daily_summary(Run(spark, SMALL, "weekly").funnel)
+    write_summary(summ, f"{tmpdir_path}/summary")
+    back = spark.read.option("header", True).csv(f"{tmpdir_path}/summary")
+    assert back.count() == summ.count()
+    assert back.columns == summ.columns
+
+
 def test_entry_smoke(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
