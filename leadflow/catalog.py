@@ -51,7 +51,7 @@ def query(name: str):
 
 _RUNS: dict = {}
 # Bump when the layout of the derived drop folders changes (they are reused).
-FIXTURE_VERSION = "v2"
+FIXTURE_VERSION = "v3"
 
 
 def run(spark: SparkSession, d: str, profile: str = "daily", mode: str = "faithful") -> Run:
