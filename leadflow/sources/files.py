@@ -1,4 +1,4 @@
-"""Drop-folder and delimited-file sources (A1-A4) and the CSV sinks."""
+"""Drop-folder and delimited-file sources (A1-A4)."""
 
 from __future__ import annotations
 
@@ -95,54 +95,35 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p
 
 
-def set_file_times(spark: SparkSession, folder: str, mtime_ms_by_name: dict) -> None:
-    """Stamp modification times through the Hadoop FileSystem (any FS)."""
-    fs, root = _hadoop_fs(spark, folder)
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        for key, ms in mtime_ms_by_name.items():
-            if key in name:
-                fs.setTimes(st.getPath(), int(ms), -1)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _hadoop_fs(spark, path)
     return bool(fs.exists(p))
 
 
-def write_drop_folder(df: DataFrame, folder: str, batch_col: str,
-                      batches: Sequence, base_mtime_ms: int = 1_600_000_000_000,
-                      step_ms: int = 60_000) -> str:
-    """Write ``df`` as one CSV file per batch value (oldest batch first).
-
-    Builds a partner drop folder from table data (used by the stand-in
-    sources, tests and the stream demo).  Each batch is one delivered file,
-    so ``coalesce(1)`` per batch mirrors the delivery; file times are then
-    stamped in batch order.  Idempotent: a finished folder has ``_DONE``.
-    """
-    spark = df.sparkSession
-    if path_exists(spark, f"{folder}/_DONE"):
-        return folder
-    names = {}
-    for i, b in enumerate(batches):
-        tag = f"batch-{i:05d}"
-        sub = f"{folder}/_staging/{tag}"
-        (df.filter(F.col(batch_col) == F.lit(b)).drop(batch_col).coalesce(1)
-         .write.mode("overwrite").option("header", True).option("escape", '"')
-         .option("encoding", "ISO-8859-1").csv(sub))
-        fs, root = _hadoop_fs(spark, sub)
-        for st in fs.listStatus(root):
-            n = st.getPath().getName()
-            if n.startswith("part-"):
-                dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{tag}.csv")
-                fs.rename(st.getPath(), dst)
-        names[tag] = base_mtime_ms + i * step_ms
-    set_file_times(spark, folder, names)
-    fs, _ = _hadoop_fs(spark, folder)
-    fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_staging"), True)
-    fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_DONE")).close()
-    return folder
-
-
 def safe_name(s: str) -> str:
     return re.sub(r"[^A-Za-z0-9_.-]+", "_", s)
+
+
+def read_header(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> list[str]:
+    """The header fields of one delimited file (its first record only)."""
+    import csv
+    import io
+    fs, p = _hadoop_fs(spark, path)
+    stream = fs.open(p)
+    try:
+        raw = bytearray()
+        while True:
+            b = stream.read()
+            if b < 0 or b == 10:
+                break
+            raw.append(b)
+    finally:
+        stream.close()
+    return next(csv.reader(io.StringIO(raw.decode(encoding).rstrip("\r"))))
+
+
+def read_lead_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """A2-A4 as the reference does them: each file read leniently with its
+    own header, headers normalised, files concatenated by column name."""
+    frames = [normalise_headers(read_lenient_csv(spark, p, read_header(spark, p))) for p in paths]
+    return union_by_name(frames)
