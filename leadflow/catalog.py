@@ -57,7 +57,7 @@ FIXTURE_VERSION = "v3"
 def run(spark: SparkSession, d: str, profile: str = "daily", mode: str = "faithful") -> Run:
     """One memoised Run per (session, data set, profile, mode): queries of
     the same profile share the staged candidate tasks."""
-    key = (id(spark), d, profile, mode)
+    key = (spark.sparkContext.applicationId, id(spark), d, profile, mode)
     if key not in _RUNS:
         _RUNS[key] = Run(spark, d, profile, mode)
     return _RUNS[key]
