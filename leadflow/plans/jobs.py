@@ -26,7 +26,8 @@ from leadflow.sources.files import (list_files, newest_and_oldest,
 def daily_job(spark: SparkSession, sf_dir: str, drop_folder: str, out_dir: str,
               run_date: dt.date, rules: R.FunnelRules = R.PROFILES["daily"]) -> dict:
     files = newest_and_oldest(list_files(spark, drop_folder))
-    run = Run(spark, sf_dir, raw_leads=read_lead_files(spark, files), rules=rules)
+    raw = read_lead_files(spark, files, missing_text=R.PANDAS_MISSING_TEXT)
+    run = Run(spark, sf_dir, raw_leads=raw, rules=rules)
     out = {"files": files,
            "snapshot": f"{out_dir}/app_snapshot",
            "frequency": f"{out_dir}/frequency_{run_date:%m%d%Y}"}

@@ -31,6 +31,7 @@ COST_BREAK = 2500
 COST_LOW = 125
 COST_HIGH = 200
 WEEKLY_APP_DATE_FLOOR = _dt.date(2018, 1, 1)
+# pandas read_csv's default missing-value strings (daily program's reader)
 PANDAS_MISSING_TEXT = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN",
                        "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
                        "NA", "NULL", "NaN", "None", "n/a", "nan", "null")

@@ -122,8 +122,17 @@ def read_header(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") ->
     return next(csv.reader(io.StringIO(raw.decode(encoding).rstrip("\r"))))
 
 
-def read_lead_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_lead_files(spark: SparkSession, paths: Sequence[str],
+                    missing_text: Sequence[str] | None = None) -> DataFrame:
     """A2-A4 as the reference does them: each file read leniently with its
-    own header, headers normalised, files concatenated by column name."""
+    own header, headers normalised, files concatenated by column name.
+
+    ``missing_text``: field values read as missing (B10); the daily program's
+    pandas reader treats its default NA strings so, the SAS import does not.
+    """
     frames = [normalise_headers(read_lenient_csv(spark, p, read_header(spark, p))) for p in paths]
-    return union_by_name(frames)
+    df = union_by_name(frames)
+    if missing_text:
+        from leadflow.functions import sentinel_to_null
+        df = df.select(*[sentinel_to_null(c, missing_text, trim=False).alias(c) for c in df.columns])
+    return df

@@ -54,3 +54,17 @@ def test_newest_and_oldest(spark, tmpdir_path):
     assert [os.path.basename(p) for p in picked] == ["c.csv", "b.csv"]
     assert newest_and_oldest([("only", 5)]) == ["only"]
     assert newest_and_oldest([]) == []
+
+
+def test_read_lead_files_missing_text(spark, tmpdir_path):
+    from leadflow import rules as R
+    from leadflow.sources.files import read_lead_files
+    p1 = os.path.join(tmpdir_path, "a.csv")
+    p2 = os.path.join(tmpdir_path, "b.csv")
+    write(p1, "Applicant SSN,Sub ID,Amt. Fin.\n123,1,NA\n124,2,NULL\n")
+    write(p2, "Sub ID,Applicant SSN\n3,n/a\n")
+    got = sorted((tuple(r) for r in read_lead_files(spark, [p1, p2], R.PANDAS_MISSING_TEXT).collect()),
+                 key=lambda t: t[1])
+    assert got == [("123", "1", None), ("124", "2", None), (None, "3", None)]
+    kept = sorted(tuple(r) for r in read_lead_files(spark, [p1]).collect())
+    assert kept == [("123", "1", "NA"), ("124", "2", "NULL")]
