@@ -73,7 +73,7 @@ def match_merge(leads: DataFrame, apps: DataFrame, key: str) -> DataFrame:
     """
     shared = [c for c in apps.columns if c in leads.columns and c != key]
     a = apps.select(*[_q(c).alias(f"_app_{c}") if c in shared else _q(c)
-                      for c in apps.columns])
+                      for c in apps.columns], F.lit(True).alias("_app_row"))
     nn = leads.filter(F.col(key).isNotNull()).join(a.filter(F.col(key).isNotNull()), key, "left")
     ln = leads.filter(F.col(key).isNull()).withColumn("_nk", F.lit(1))
     an = a.filter(F.col(key).isNull()).drop(key).withColumn("_nk", F.lit(1))
@@ -85,9 +85,10 @@ def match_merge(leads: DataFrame, apps: DataFrame, key: str) -> DataFrame:
     alone = ln.join(F.broadcast(has_apps), "_nk", "left").filter(F.col("_n").isNull()).drop("_n")
     nulls = paired.unionByName(alone, allowMissingColumns=True).drop("_nk")
     out = nn.unionByName(nulls.select(*[_q(c) for c in nn.columns]))
-    for c in shared:
-        out = out.withColumn(c, F.coalesce(_q(f"_app_{c}"), _q(c))).drop(f"_app_{c}")
-    return out
+    if shared:
+        out = out.withColumns({c: F.when(F.col("_app_row"), _q(f"_app_{c}")).otherwise(_q(c))
+                               for c in shared}).drop(*[f"_app_{c}" for c in shared])
+    return out.drop("_app_row")
 
 
 def _q(name: str) -> Column:

@@ -52,3 +52,11 @@ def test_sticky_null_key_is_one_group(spark):
     st = sticky_flag(df, ["k"], ["seq"], F.col("f") == 1, "s")
     assert sorted((r.k or "", r.seq, r.s) for r in st.collect()) == [
         ("", 1, 0), ("", 2, 1), ("", 3, 1), ("a", 1, 0)]
+
+
+def test_match_merge_shared_column_app_wins(spark):
+    leads = spark.createDataFrame([(1, "lead", "x"), (2, "lead", "y")], "ssn long, src string, only_l string")
+    apps = spark.createDataFrame([(1, None)], "ssn long, src string")
+    got = sorted((r.ssn, r.src) for r in match_merge(leads, apps, "ssn").collect())
+    # an app row exists for 1: its (missing) value wins; none for 2: lead value
+    assert got == [(1, None), (2, "lead")]
