@@ -28,7 +28,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "8g"))
+         .config("spark.driver.memory", os.environ.get("LEADFLOW_DRIVER_MEMORY", "4g")))
     for k, v in {**SCALE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
