@@ -25,7 +25,7 @@ from leadflow.operators import (coalesced_key_join, earliest_balance,
 from leadflow.plans.applications import borrowers_for
 from leadflow.plans.funnel import best_outcome, latest_apps, weekly_rows
 from leadflow.plans.leads import partner_filter
-from leadflow.plans.pipeline import Run
+from leadflow.plans.profile_run import Run
 from leadflow.plans.reports import (daily_summary, daily_summary_total,
                                     funnel_frequency, funnel_gaps,
                                     partner_feed, weekly_summary)

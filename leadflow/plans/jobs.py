@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from leadflow import rules as R
-from leadflow.plans.pipeline import Run
+from leadflow.plans.profile_run import Run
 from leadflow.plans.reports import (daily_summary, funnel_frequency,
                                     partner_feed, weekly_summary)
 from leadflow.plans.sinks import (write_partner_feed, write_snapshot,

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadflow import rules as R
-from leadflow.plans.pipeline import Run
+from leadflow.plans.profile_run import Run
 from leadflow.plans.reports import daily_summary_total, partner_feed
 
 SMALL = "/root/testdata/sf0.001"
