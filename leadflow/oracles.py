@@ -1,10 +1,10 @@
 """DuckDB SQL twins of the registered queries (the correctness gate).
 
-Written independently of the Spark code: the servicing query keeps the
-reference's shape (correlated lookups, top-1 subqueries, LATERAL for the
-OUTER APPLYs, string_agg for the XML PATH concatenation) and the funnel
-rules are encoded as "last write wins" CASE chains of the ordered
-assignments, instead of our closed forms.  Tables are the driver's views.
+Written independently of the Spark code: every top-1 lookup of the
+servicing query is its own row_number() CTE (the Spark plan folds them into
+one aggregation), status codes use string_agg, and the funnel rules are
+encoded as "last write wins" CASE chains of the ordered assignments instead
+of our closed forms.  Tables are the driver's views.
 """
 
 from __future__ import annotations
@@ -192,62 +192,97 @@ CTES["statflags"] = """
   GROUP BY s.acctrefno"""
 
 
-def _app_table(intended: bool = False) -> str:
-    last_order = ("x.created_date DESC NULLS LAST, x.action DESC NULLS LAST, x.result DESC NULLS LAST"
-                  if intended else "x.action DESC NULLS LAST, x.result DESC NULLS LAST")
-    keep = "" if intended else ", 9"
-    total = "CAST(l.original_note_amount + COALESCE(l.addonint_total, CAST(0.00 AS DECIMAL(18,2))) AS VARCHAR)"
-    cut = total if intended else f"left({total}{keep})"
+def _lookup_ctes(sfx: str, intended: bool) -> dict[str, str]:
+    """Per-task and per-loan top-1 lookups as row_number() over the history
+    and balance relations (one CTE per lookup)."""
+    last_order = ("created_date DESC NULLS LAST, action DESC NULLS LAST, result DESC NULLS LAST"
+                  if intended else "action DESC NULLS LAST, result DESC NULLS LAST")
+    total = "CAST(acct.original_note_amount + COALESCE(acct.addonint_total, CAST(0.00 AS DECIMAL(18,2))) AS VARCHAR)"
+    total_txt = total if intended else f"left({total}, 9)"
+    return {
+        f"enter_first{sfx}": """
+  SELECT task_refno, CAST(created_date AS DATE) AS enter_day FROM (
+    SELECT task_refno, created_date,
+           row_number() OVER (PARTITION BY task_refno ORDER BY created_date NULLS FIRST) AS k
+    FROM hist WHERE action = 'ENTER APPLICATION DATA') WHERE k = 1""",
+        f"booked_last{sfx}": """
+  SELECT task_refno, CAST(created_date AS DATE) AS booked_day FROM (
+    SELECT task_refno, created_date,
+           row_number() OVER (PARTITION BY task_refno ORDER BY created_date DESC NULLS LAST) AS k
+    FROM hist WHERE action = 'BOOK LOAN' AND result = 'yes') WHERE k = 1""",
+        f"pulled{sfx}": """
+  SELECT DISTINCT task_refno FROM hist WHERE action = 'PULL CREDIT REPORT' AND result = 'yes'""",
+        f"top_action{sfx}": f"""
+  SELECT task_refno, action AS top_action, result AS top_result FROM (
+    SELECT task_refno, action, result,
+           row_number() OVER (PARTITION BY task_refno ORDER BY {last_order}) AS k FROM hist) WHERE k = 1""",
+        f"types{sfx}": """
+  SELECT task_refno, CASE workflow_result_id WHEN 2 THEN 'FB' WHEN 3 THEN 'NB'
+                          WHEN 28 THEN 'PB' WHEN 32 THEN 'PB' END AS ctype
+  FROM trh WHERE workflow_action_id = 2""",
+        f"first_balance{sfx}": """
+  SELECT loannumber, netbalance FROM (
+    SELECT loannumber, netbalance,
+           row_number() OVER (PARTITION BY loannumber ORDER BY rundate NULLS FIRST, netbalance) AS k
+    FROM aged_balance) WHERE k = 1""",
+        f"loan_side{sfx}": f"""
+  SELECT acct.loan_number, acct.loan_group_no, codes.status_code AS acct_status, sf.statflags,
+    bal.netbalance,
+    CASE WHEN setup.interest_method = 'SI' THEN {total_txt}
+         ELSE COALESCE(replace(det.userdef11, ',', ''), {total_txt}) END AS amount_txt
+  FROM loanacct acct
+    LEFT JOIN loanacct_detail det USING (acctrefno)
+    LEFT JOIN loanacct_setup setup USING (acctrefno)
+    LEFT JOIN statflags sf USING (acctrefno)
+    LEFT JOIN loan_status_codes codes ON codes.status_code_no = acct.status_code_no
+    LEFT JOIN first_balance{sfx} bal ON bal.loannumber = acct.loan_number""",
+    }
+
+
+def _app_table(sfx: str = "") -> str:
+    """All application rows: every customer's code-1 tasks with detail,
+    lookups and loan side; DISTINCT over the output columns."""
     return f"""
   SELECT DISTINCT
-    c.firstname1 AS firstname, c.lastname1 AS lastname, ta.task_refno,
-    td.userdef100 AS LoanNumber, st.statflags AS StatusCodes, ts.status_code AS TaskStatus,
-    CASE WHEN td.userdef100 IS NULL THEN NULL ELSE ls1.status_code END AS LoanStatus,
-    COALESCE((SELECT DISTINCT 'Yes' FROM hist x WHERE x.task_refno = td.task_refno
-              AND x.action = 'PULL CREDIT REPORT' AND x.result = 'yes'), 'No') AS WasCreditReportPulled,
-    (SELECT CAST(x.created_date AS DATE) FROM hist x WHERE x.task_refno = td.task_refno
-       AND x.action = 'BOOK LOAN' AND x.result = 'yes' ORDER BY x.created_date DESC NULLS LAST LIMIT 1) AS FundedDate,
-    CASE WHEN h.userdef05 IS NULL OR length(rtrim(h.userdef05)) < 13
-              OR regexp_matches(h.userdef05, ' [a-zA-Z]') THEN 0
-         WHEN strpos(h.userdef05, '.') > 0 THEN TRY_CAST(right(split_part(h.userdef05, '.', 1), 4) AS INTEGER)
+    cust.firstname1 AS firstname, cust.lastname1 AS lastname, tk.task_refno,
+    det.userdef100 AS LoanNumber, ln.statflags AS StatusCodes, tsc.status_code AS TaskStatus,
+    CASE WHEN det.userdef100 IS NOT NULL THEN ln.acct_status END AS LoanStatus,
+    CASE WHEN pc.task_refno IS NULL THEN 'No' ELSE 'Yes' END AS WasCreditReportPulled,
+    bk.booked_day AS FundedDate,
+    CASE WHEN cd.userdef05 IS NULL OR length(rtrim(cd.userdef05)) < 13
+              OR regexp_matches(cd.userdef05, ' [a-zA-Z]') THEN 0
+         WHEN strpos(cd.userdef05, '.') > 0 THEN TRY_CAST(right(split_part(cd.userdef05, '.', 1), 4) AS INTEGER)
     END AS CreditScore,
-    CAST(COALESCE(atb.netbalance,
-      CASE WHEN td.userdef100 IS NULL THEN CAST(0 AS DECIMAL(18,2)) ELSE
-        TRY_CAST(CASE WHEN (CASE WHEN lsp.interest_method IN ('7S', '78', 'FA') THEN 'P'
-                                 WHEN lsp.interest_method = 'SI' THEN 'I' ELSE '0' END) = 'I'
-                      THEN {cut}
-                      ELSE COALESCE(replace(ld.userdef11, ',', ''), {cut}) END AS DECIMAL(18,2)) END)
-      AS DECIMAL(18,2)) AS FinalLoanAmount,
-    (SELECT CAST(x.created_date AS DATE) FROM hist x WHERE x.task_refno = td.task_refno
-       AND x.action = 'ENTER APPLICATION DATA' ORDER BY x.created_date NULLS FIRST LIMIT 1) AS ApplicationEnterDate,
-    td.FinalTerm, td.InterestRate, td.FinalAPR,
-    act.action AS LastAction, act.result AS LastResult,
-    td.AmountRequested, td.SmallApprovedAmount, td.LargeApprovedAmount,
-    td.SmallAPR, td.LargeAPR, td.SmallTerm, td.LargeTerm,
-    c.cifno AS Cifno, td.ReasonDeclined, td.FreeIncome, td.MonthlyGrossIncome, td.MonthlyNetIncome,
-    CASE trh2.workflow_result_id WHEN 2 THEN 'FB' WHEN 3 THEN 'NB' WHEN 28 THEN 'PB' WHEN 32 THEN 'PB' END AS CustomerType
-  FROM cif c
-    JOIN tmr t ON t.tmr_code_id = 1 AND c.cifno = t.child_refno
-    LEFT JOIN cif_detail h ON c.cifno = h.cifno
-    JOIN task ta ON t.parent_refno = ta.task_refno
-    LEFT JOIN task_detail td ON ta.task_refno = td.task_refno AND ta.task_template_no = 1
-    LEFT JOIN loanacct l ON t.tmr_code_id = 1 AND COALESCE(l.loan_number, '') = COALESCE(td.userdef100, '')
-    LEFT JOIN loanacct_detail ld ON ld.acctrefno = l.acctrefno
-    LEFT JOIN LATERAL (SELECT x.action, x.result FROM hist x WHERE x.task_refno = ta.task_refno
-                       ORDER BY {last_order} LIMIT 1) act ON TRUE
-    LEFT JOIN loanacct_setup lsp ON l.acctrefno = lsp.acctrefno
-    LEFT JOIN trh trh2 ON trh2.task_refno = ta.task_refno AND trh2.workflow_action_id = 2
-    LEFT JOIN loan_status_codes ls1 ON ls1.status_code_no = l.status_code_no
-    JOIN task_status_codes ts ON ts.status_code_id = ta.status_code_id
-    LEFT JOIN LATERAL (SELECT b.netbalance FROM aged_balance b WHERE b.loannumber = l.loan_number
-                       ORDER BY b.rundate NULLS FIRST, b.netbalance LIMIT 1) atb ON TRUE
-    LEFT JOIN statflags st ON st.acctrefno = l.acctrefno
-  WHERE COALESCE(td.userdef100, '') <> 'CLOSE BRANCH'
-    AND COALESCE(l.loan_group_no, 1) <> 6
-    AND (SELECT CAST(x.created_date AS DATE) FROM hist x WHERE x.task_refno = td.task_refno
-           AND x.action = 'ENTER APPLICATION DATA' ORDER BY x.created_date NULLS FIRST LIMIT 1) IS NOT NULL"""
-
-
+    CAST(CASE WHEN ln.netbalance IS NOT NULL THEN ln.netbalance
+              WHEN det.userdef100 IS NULL THEN CAST(0 AS DECIMAL(18,2))
+              ELSE TRY_CAST(ln.amount_txt AS DECIMAL(18,2)) END AS DECIMAL(18,2)) AS FinalLoanAmount,
+    ef.enter_day AS ApplicationEnterDate,
+    det.FinalTerm, det.InterestRate, det.FinalAPR,
+    ta.top_action AS LastAction, ta.top_result AS LastResult,
+    det.AmountRequested, det.SmallApprovedAmount, det.LargeApprovedAmount,
+    det.SmallAPR, det.LargeAPR, det.SmallTerm, det.LargeTerm,
+    cust.cifno AS Cifno, det.ReasonDeclined, det.FreeIncome, det.MonthlyGrossIncome, det.MonthlyNetIncome,
+    ty.ctype AS CustomerType
+  FROM tmr link
+    JOIN cif cust ON cust.cifno = link.child_refno
+    JOIN task tk ON tk.task_refno = link.parent_refno
+    JOIN task_status_codes tsc ON tsc.status_code_id = tk.status_code_id
+    LEFT JOIN task_detail det ON det.task_refno = tk.task_refno AND tk.task_template_no = 1
+    LEFT JOIN cif_detail cd ON cd.cifno = cust.cifno
+    LEFT JOIN loan_side{sfx} ln ON COALESCE(ln.loan_number, '') = COALESCE(det.userdef100, '')
+    LEFT JOIN pulled{sfx} pc ON pc.task_refno = det.task_refno
+    LEFT JOIN booked_last{sfx} bk ON bk.task_refno = det.task_refno
+    LEFT JOIN enter_first{sfx} ef ON ef.task_refno = det.task_refno
+    LEFT JOIN top_action{sfx} ta ON ta.task_refno = tk.task_refno
+    LEFT JOIN types{sfx} ty ON ty.task_refno = tk.task_refno
+  WHERE link.tmr_code_id = 1
+    AND ef.enter_day IS NOT NULL
+    AND COALESCE(det.userdef100, '') <> 'CLOSE BRANCH'
+    AND COALESCE(ln.loan_group_no, 1) <> 6"""
+
+
+CTES.update(_lookup_ctes("", intended=False))
+CTES.update(_lookup_ctes("_i", intended=True))
 CTES["app_table"] = _app_table()
 
 
@@ -333,7 +368,7 @@ def _daily(sfx: str = "", intended: bool = False) -> dict[str, str]:
     return out
 
 
-CTES["app_table_intended"] = _app_table(intended=True)
+CTES["app_table_intended"] = _app_table("_i")
 CTES["snapshot_intended"] = _snapshot("persons_daily", "app_table_intended")
 CTES.update(_daily())
 CTES.update(_daily("_intended", intended=True))
@@ -563,16 +598,14 @@ SELECTS: dict[str, str] = {
   WHERE t.tmr_code_id = 1""",
     "history_pivot": """
   SELECT k.task_refno,
-    COALESCE((SELECT DISTINCT 'Yes' FROM hist x WHERE x.task_refno = k.task_refno
-              AND x.action = 'PULL CREDIT REPORT' AND x.result = 'yes'), 'No') AS WasCreditReportPulled,
-    (SELECT CAST(x.created_date AS DATE) FROM hist x WHERE x.task_refno = k.task_refno
-       AND x.action = 'BOOK LOAN' AND x.result = 'yes' ORDER BY x.created_date DESC NULLS LAST LIMIT 1) AS FundedDate,
-    (SELECT CAST(x.created_date AS DATE) FROM hist x WHERE x.task_refno = k.task_refno
-       AND x.action = 'ENTER APPLICATION DATA' ORDER BY x.created_date NULLS FIRST LIMIT 1) AS ApplicationEnterDate,
-    act.action AS LastAction, act.result AS LastResult
+    CASE WHEN pc.task_refno IS NULL THEN 'No' ELSE 'Yes' END AS WasCreditReportPulled,
+    bk.booked_day AS FundedDate, ef.enter_day AS ApplicationEnterDate,
+    ta.top_action AS LastAction, ta.top_result AS LastResult
   FROM (SELECT DISTINCT task_refno FROM trh) k
-  LEFT JOIN LATERAL (SELECT x.action, x.result FROM hist x WHERE x.task_refno = k.task_refno
-                     ORDER BY x.action DESC NULLS LAST, x.result DESC NULLS LAST LIMIT 1) act ON TRUE""",
+    LEFT JOIN pulled pc ON pc.task_refno = k.task_refno
+    LEFT JOIN booked_last bk ON bk.task_refno = k.task_refno
+    LEFT JOIN enter_first ef ON ef.task_refno = k.task_refno
+    LEFT JOIN top_action ta ON ta.task_refno = k.task_refno""",
     "last_action_top1": """
   SELECT task_refno, action AS LastAction, result AS LastResult FROM (
     SELECT task_refno, action, result, row_number() OVER (PARTITION BY task_refno
