@@ -38,9 +38,22 @@ def daily_job(spark: SparkSession, sf_dir: str, drop_folder: str, out_dir: str,
     return out
 
 
+def read_snapshot(spark: SparkSession, path: str, run_date: dt.date):
+    """One day's application snapshot written by ``daily_job`` (hand-off)."""
+    from pyspark.sql import functions as F
+    return (spark.read.parquet(path).filter(F.col("run_date") == F.lit(run_date))
+            .drop("run_date"))
+
+
 def weekly_job(spark: SparkSession, sf_dir: str, lead_paths, out_dir: str,
-               run_date: dt.date, rules: R.FunnelRules = R.PROFILES["weekly"]) -> dict:
-    run = Run(spark, sf_dir, raw_leads=read_lead_files(spark, list(lead_paths)), rules=rules)
+               run_date: dt.date, rules: R.FunnelRules = R.PROFILES["weekly"],
+               snapshot_path: str | None = None,
+               snapshot_date: dt.date | None = None) -> dict:
+    """``snapshot_path``: read the apps from the daily job's snapshot of
+    ``snapshot_date`` (the weekly_v2 hand-off) instead of querying them."""
+    snap = read_snapshot(spark, snapshot_path, snapshot_date) if snapshot_path else None
+    run = Run(spark, sf_dir, raw_leads=read_lead_files(spark, list(lead_paths)), rules=rules,
+              snapshot=snap)
     out = {"summary": f"{out_dir}/summary_{run_date:%m%d%Y}",
            "weekly_summary": f"{out_dir}/weekly_summary_{run_date:%m%d%Y}"}
     out["feed"] = write_partner_feed(partner_feed(run.funnel), f"{out_dir}/feed", run_date)

@@ -26,7 +26,7 @@ from leadflow.sources.tables import Tables
 class Run:
     def __init__(self, spark: SparkSession, sf_dir: str, profile: str = "daily",
                  mode: str = "faithful", raw_leads: DataFrame | None = None,
-                 rules: R.FunnelRules | None = None):
+                 rules: R.FunnelRules | None = None, snapshot: DataFrame | None = None):
         self.spark, self.sf_dir = spark, sf_dir
         self.tables = Tables(spark, sf_dir)
         self.srv = Servicing(self.tables)
@@ -35,6 +35,7 @@ class Run:
             base = base.with_floor(APP_DATE_FLOOR)   # stand-in data (see standins)
         self.rules = base.with_mode(mode)
         self._raw = raw_leads
+        self._snapshot = snapshot       # a snapshot written earlier (hand-off)
 
     @cached_property
     def raw_leads(self) -> DataFrame:
@@ -63,12 +64,16 @@ class Run:
 
     @cached_property
     def snapshot(self) -> DataFrame:
+        if self._snapshot is not None:
+            return self._snapshot
         return application_snapshot(self.srv, self.persons, self.rules.mode)
 
     @cached_property
     def snapshot_rows(self) -> DataFrame:
         """The snapshot without its whole-row DISTINCT: enough for the
         funnel, which keeps one row per person by a total order."""
+        if self._snapshot is not None:
+            return self._snapshot
         return application_snapshot(self.srv, self.persons, self.rules.mode, distinct=False)
 
     @cached_property
