@@ -101,8 +101,8 @@ def application_snapshot(srv: Servicing, persons: DataFrame | None = None,
     intended = mode == "intended"
     borrowers = borrowers_for(srv, persons)
     tasks = stage(application_tasks(srv, borrowers).filter(
-        F.coalesce(F.col("userdef100"), F.lit("")) != R.LOAN_NUMBER_CLOSED_BRANCH), "tasks")
-    loans = stage(candidate_loans(srv, tasks), "loans")
+        F.coalesce(F.col("userdef100"), F.lit("")) != R.LOAN_NUMBER_CLOSED_BRANCH), "tasks", srv.scope)
+    loans = stage(candidate_loans(srv, tasks), "loans", srv.scope)
 
     # All history lookups in one pass, only for the candidate tasks.
     hist = semi_join(srv.task_routing_history, tasks.select("task_refno"), "task_refno")

@@ -31,10 +31,13 @@ def daily_job(spark: SparkSession, sf_dir: str, drop_folder: str, out_dir: str,
     out = {"files": files,
            "snapshot": f"{out_dir}/app_snapshot",
            "frequency": f"{out_dir}/frequency_{run_date:%m%d%Y}"}
-    write_snapshot(run.snapshot, out["snapshot"], run_date)
-    out["feed"] = write_partner_feed(partner_feed(run.funnel), f"{out_dir}/feed", run_date)
-    (funnel_frequency(run.funnel).coalesce(1).write.mode("overwrite")
-     .option("header", True).csv(out["frequency"]))
+    try:
+        write_snapshot(run.snapshot, out["snapshot"], run_date)
+        out["feed"] = write_partner_feed(partner_feed(run.funnel), f"{out_dir}/feed", run_date)
+        (funnel_frequency(run.funnel).coalesce(1).write.mode("overwrite")
+         .option("header", True).csv(out["frequency"]))
+    finally:
+        run.cleanup()          # outputs are written; staged pivots go
     return out
 
 
@@ -56,8 +59,11 @@ def weekly_job(spark: SparkSession, sf_dir: str, lead_paths, out_dir: str,
               snapshot=snap)
     out = {"summary": f"{out_dir}/summary_{run_date:%m%d%Y}",
            "weekly_summary": f"{out_dir}/weekly_summary_{run_date:%m%d%Y}"}
-    out["feed"] = write_partner_feed(partner_feed(run.funnel), f"{out_dir}/feed", run_date)
-    write_summary(daily_summary(run.funnel), out["summary"])
-    (weekly_summary(run.funnel).orderBy("IS_TOTAL", "LEAD_WEEK").coalesce(1)
-     .write.mode("overwrite").option("header", True).csv(out["weekly_summary"]))
+    try:
+        out["feed"] = write_partner_feed(partner_feed(run.funnel), f"{out_dir}/feed", run_date)
+        write_summary(daily_summary(run.funnel), out["summary"])
+        (weekly_summary(run.funnel).orderBy("IS_TOTAL", "LEAD_WEEK").coalesce(1)
+         .write.mode("overwrite").option("header", True).csv(out["weekly_summary"]))
+    finally:
+        run.cleanup()
     return out

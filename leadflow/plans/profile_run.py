@@ -7,6 +7,7 @@ not data) so reports of one run share one lineage.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from leadflow import rules as R
 from leadflow.functions import canonical_id
 from leadflow.operators import stage
+from leadflow.operators.stage import drop_scope
 from leadflow.plans.applications import application_snapshot
 from leadflow.plans.funnel import funnel_daily, funnel_weekly, weekly_apps
 from leadflow.plans.leads import best_leads, lead_keys, typed_leads
@@ -29,7 +31,8 @@ class Run:
                  rules: R.FunnelRules | None = None, snapshot: DataFrame | None = None):
         self.spark, self.sf_dir = spark, sf_dir
         self.tables = Tables(spark, sf_dir)
-        self.srv = Servicing(self.tables)
+        self.scope = uuid.uuid4().hex[:12]
+        self.srv = Servicing(self.tables, self.scope)
         base = rules or R.PROFILES[profile]
         if rules is None and raw_leads is None and base.app_date_floor is not None:
             base = base.with_floor(APP_DATE_FLOOR)   # stand-in data (see standins)
@@ -53,7 +56,7 @@ class Run:
         best = best_leads(self.leads, self.rules)
         if self.rules.name == "daily":
             return best
-        return stage(best, f"best_leads_{self.rules.name}")
+        return stage(best, f"best_leads_{self.rules.name}", self.scope)
 
     @cached_property
     def persons(self) -> DataFrame:
@@ -83,10 +86,15 @@ class Run:
         carry-over joins back to it, so it is read several times."""
         if self.rules.name == "daily":
             return self.snapshot
-        return stage(weekly_apps(self.snapshot, self.rules), f"apps_{self.rules.name}")
+        return stage(weekly_apps(self.snapshot, self.rules), f"apps_{self.rules.name}", self.scope)
 
     @cached_property
     def funnel(self) -> DataFrame:
         if self.rules.name == "daily":
             return funnel_daily(self.best_leads, self.snapshot_rows, self.rules.mode)
         return funnel_weekly(self.best_leads, self.apps, self.rules)
+
+    def cleanup(self) -> None:
+        """Delete this run's staged tables.  Call it only after every
+        DataFrame of the run has been written or collected."""
+        drop_scope(self.spark, self.scope)

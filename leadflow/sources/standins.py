@@ -265,8 +265,9 @@ class Servicing:
     references one DataFrame per relation.
     """
 
-    def __init__(self, t: Tables):
+    def __init__(self, t: Tables, scope: str | None = None):
         self.t, self.spark = t, t.spark
+        self.scope = scope          # staging scope of the run using these
 
     task_status_pairs = TASK_STATUS_CODES
     workflow_action_pairs = WORKFLOW_ACTIONS

@@ -24,8 +24,13 @@ def test_read_header(spark):
 
 def test_daily_and_weekly_jobs(spark, tmpdir_path):
     folder = lead_drop_folder(spark, SMALL)
+    from leadflow.session import scratch_path
+    stage_root = scratch_path(spark, "stage")
+    before = set(os.listdir(stage_root)) if os.path.isdir(stage_root) else set()
     out = daily_job(spark, SMALL, folder, f"{tmpdir_path}/daily", dt.date(2020, 1, 3))
     assert len(out["files"]) == 2
+    after = set(os.listdir(stage_root)) if os.path.isdir(stage_root) else set()
+    assert after <= before                      # the job's staged pivots were removed
     leads = (spark.read.option("header", True).csv(out["files"])
              .filter(F.col("IRMPName") == R.PROFILES["daily"].partner))
     persons = leads.select("Applicant SSN").distinct().count()
