@@ -40,17 +40,30 @@ def feed_for_csv(feed: DataFrame, date_fmt: str = "yyyy-MM-dd") -> DataFrame:
 
 
 def write_partner_feed(feed: DataFrame, folder: str, run_date: dt.date) -> str:
-    """One UTF-8 CSV, funded rows first, named with MMDDYYYY.
+    """One UTF-8 CSV file ``feed_MMDDYYYY.csv``, funded rows first.
 
     The feed is one row per lead person of one delivery (small), so a
     single output file is what the partner receives; the sort is applied
     only here, at the sink.
     """
-    path = f"{folder.rstrip('/')}/feed_{run_date.strftime('%m%d%Y')}"
+    base = folder.rstrip("/")
+    staging = f"{base}/_feed_{run_date.strftime('%m%d%Y')}"
+    target = f"{base}/feed_{run_date.strftime('%m%d%Y')}.csv"
     (feed_for_csv(feed).orderBy(F.col("IS_FUNDED").desc(), F.col("CK_TRACKING_ID").asc())
      .coalesce(1).write.mode("overwrite").option("header", True)
-     .option("encoding", "UTF-8").option("nullValue", "").csv(path))
-    return path
+     .option("encoding", "UTF-8").option("nullValue", "").csv(staging))
+    # deliver one named file: move the single part file (metadata only)
+    from leadflow.sources.files import _hadoop_fs
+    spark = feed.sparkSession
+    fs, root = _hadoop_fs(spark, staging)
+    dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    if fs.exists(dst):
+        fs.delete(dst, False)
+    for st in fs.listStatus(root):
+        if st.getPath().getName().startswith("part-"):
+            fs.rename(st.getPath(), dst)
+    fs.delete(root, True)
+    return target
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
