@@ -38,15 +38,20 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset.
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder; every intermediate table we write lives under it.  Tests and
-    local runs get a fresh ``mktemp`` folder.
+    Every intermediate table we write lives under it.  Only a local master
+    (tests, a laptop) may leave it unset and gets a fresh ``mktemp`` folder;
+    on any other master that folder would exist on one machine only, so an
+    unset value is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share "
+                             f"(master is {master})")
         d = tempfile.mkdtemp(prefix="leadflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
@@ -56,9 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
-    """A path under the shared checkpoint folder (never machine-local)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    if base.startswith("file:"):
-        base = base[len("file:"):]
+    """A path under the shared checkpoint folder, in that folder's own
+    filesystem (the scheme is kept)."""
     tail = list(parts) + ([uuid.uuid4().hex[:12]] if unique else [])
-    return os.path.join(base, "leadflow", *tail)
+    return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), "leadflow", *tail])
