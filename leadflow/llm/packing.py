@@ -113,9 +113,9 @@ def _pack_partition(vocabulary: str, kind: str, end_id: int, length: int, most:
 
 
 def _merge(length: int, most: int):
-    """Merge the open windows of a group of partitions: whole windows go in
-    order of size, largest first, cutting at each boundary; what is left at
-    the end is cut into power-of-two lengths, which need no padding."""
+    """Merge the open windows of a group of partitions: their pieces follow one
+    another and are cut where a sequence is full; what is left at the end is
+    cut into power-of-two lengths, which need no padding."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["part", "window", "offset"], kind="stable")
         group = int(pdf["part"].iloc[0]) // most

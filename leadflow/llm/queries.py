@@ -37,3 +37,19 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
 def op10(spark: SparkSession, d: str) -> DataFrame:
     from leadflow.llm.quality import judge
     return judge(table(spark, d, "documents"))
+
+
+@query("op5_packing")
+def op5(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers
+
+    from leadflow.llm.packing import pieces
+    return pieces(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op6_token_output")
+def op6(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers
+
+    from leadflow.llm.token_store import token_output
+    return token_output(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
