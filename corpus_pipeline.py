@@ -22,6 +22,12 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_first_copies(docs)
 
 
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by word shingles (five words, 0.8)."""
+    from leadflow.llm.ngram_join import keep_one_of_each
+    return keep_one_of_each(docs, shingle=5, percent=80)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out so that sources meet their target weights."""
     from leadflow.llm.mixing import mixed_documents
@@ -36,7 +42,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_dedup),
+STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_dedup), ("ngram_join", ngram_join),
           ("mixing", mixing), ("packing", packing)]
 
 

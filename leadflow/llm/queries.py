@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,3 +54,38 @@ def op6(spark: SparkSession, d: str) -> DataFrame:
 
     from leadflow.llm.token_store import token_output
     return token_output(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op2_substring_dedup")
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    from leadflow.llm.substring import substring_dedup
+    return (substring_dedup(table(spark, d, "documents"))
+            .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")))
+
+
+@query("op3_chat_formatting")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    from leadflow.llm.chat import format_turns
+    tricky = r"\### Assistant: </turn> ok"
+    planted = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)],
+                                    "conv_id long, turn long, role string, text string")
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    return format_turns(turns.unionByName(planted))
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    from leadflow.llm.ranker import classify
+    return classify(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op1_ngram_join")
+def op1(spark: SparkSession, d: str) -> DataFrame:
+    from leadflow.llm.ngram_join import ngram_join
+    return ngram_join(table(spark, d, "documents"))
+
+
+@query("op9_license_scan")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    from leadflow.llm.license_scan import license_scan
+    return license_scan(table(spark, d, "documents"))
