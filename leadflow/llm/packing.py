@@ -98,8 +98,8 @@ def _pack_partition(vocabulary: str, kind: str, end_id: int, length: int, most:
         end = np.array([end_id], np.uint32)
         open_, done = OpenWindows(length, most, min_cut), 0
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), texts(b.column(1))):
-                ids = np.concatenate([enc.ids(text), end]).astype("<u4")
+            for doc, ids in zip(b.column(0).to_pylist(), enc.encode(texts(b.column(1)))):
+                ids = np.concatenate([ids, end]).astype("<u4")
                 open_.add((doc, 0, len(ids), ids))
                 if len(open_.closed) >= 512:
                     yield pa.RecordBatch.from_pylist(_rows(part, open_.closed, done, False), schema=_ARROW)

@@ -132,8 +132,8 @@ def _write_partition(vocabulary: str, kind: str, end_id: int, width: int, segmen
         end = np.array([end_id], np.uint32)
         ids, docs, held = [], [], 0
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), texts(b.column(1))):
-                one = np.concatenate([enc.ids(text), end])
+            for doc, ids_ in zip(b.column(0).to_pylist(), enc.encode(texts(b.column(1)))):
+                one = np.concatenate([ids_, end])
                 if ids and held + len(one) > segment_ids:
                     yield _segment(shard, seq, ids, docs, width)
                     ids, docs, held, seq = [], [], 0, seq + 1
