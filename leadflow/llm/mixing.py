@@ -5,7 +5,8 @@ copies is target / source size.  Within a source the documents are put in
 order of size, their expected copies are prefix-summed, one random offset is
 added, and a document is emitted once for every whole number its share of the
 line crosses.  Ordering by size keeps the words taken within about one
-document of the target.
+document of the target, and of ``DRAWS`` random offsets the one that comes
+nearest is the source's.
 
 Main path: DataFrame functions only.  The prefix sum has two levels (range
 partitions, then rows inside one), so a source with a third of all rows is
@@ -24,6 +25,8 @@ from leadflow.operators.stage import stage
 
 WEIGHTS = (5, 2, 1)      # by rank of the source, repeating
 MAX_COPIES = 3
+DRAWS = 16
+BROADCAST_ROWS = 1_000_000
 _ROW_BITS = 33           # monotonically_increasing_id: row number in the low bits
 
 
@@ -59,9 +62,9 @@ def targets(source_sizes: DataFrame, weights: Sequence[float] = WEIGHTS,
                     .alias("target"))
 
 
-def _offset(source: Column, seed: int) -> Column:
-    """The source's one random offset, in (0, 1) and off both ends."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.concat(F.lit("="), source), F.lit("null"))))
+def _offset(source: Column, seed: int, draw: int) -> Column:
+    """A random offset of the source, in (0, 1) and off both ends."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:{draw}:"), F.coalesce(F.concat(F.lit("="), source), F.lit("null"))))
     return (F.conv(F.substring(digest, 1, 7), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 28))
 
 
@@ -88,15 +91,30 @@ def _mix_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     per_part = (per_part.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
                 .select(F.col("source").alias("p_source"), F.col("part").alias("p_part"), "first", "before"))
     goal = goal.withColumnsRenamed({"source": "g_source"})
-    per_part = per_part.join(goal, F.col("p_source").eqNullSafe(F.col("g_source"))).drop("g_source")
-    # broadcast: its rows are bounded by range partitions + sources, not by documents
-    d = placed.join(F.broadcast(per_part), F.col("source").eqNullSafe(F.col("p_source"))
+    per_part = stage(per_part.join(goal, F.col("p_source").eqNullSafe(F.col("g_source"))).drop("g_source"),
+                     "mix_parts")
+    # counted: broadcast up to BROADCAST_ROWS rows, beyond that an ordinary
+    # join whose hot keys the skew handling splits
+    small = F.broadcast if per_part.count() <= BROADCAST_ROWS else (lambda df: df)
+    d = placed.join(small(per_part), F.col("source").eqNullSafe(F.col("p_source"))
                     & (F.col("part") == F.col("p_part")))
     # prefix sum of equal expectations: rank * rate, exact in the rank
     rank = F.col("before") + F.col("row") - F.col("first") + 1
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    line = lambda k: F.floor(k * rate + _offset(F.col("source"), seed))
-    return (d.withColumn("copies", (line(rank) - line(rank - 1)).cast("long"))
+    d = d.withColumn("rank", rank).withColumn("rate", rate)
+
+    def copies(offset: Column) -> Column:
+        line = lambda k: F.floor(k * F.col("rate") + offset)
+        return (line(F.col("rank")) - line(F.col("rank") - 1)).cast("long")
+
+    # words each drawn offset would take: one row per source
+    drawn = d.groupBy("source").agg(F.first("target").alias("target"), *[
+        F.sum(copies(_offset(F.col("source"), seed, k)) * F.col("size")).alias(f"take{k}") for k in range(DRAWS)])
+    nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"take{k}") - F.col("target")), F.lit(k),
+                                             _offset(F.col("source"), seed, k).alias("offset")) for k in range(DRAWS)]))
+    drawn = drawn.select(F.col("source").alias("o_source"), nearest["offset"].alias("offset"))
+    d = d.join(small(drawn), F.col("source").eqNullSafe(F.col("o_source")))
+    return (d.withColumn("copies", copies(F.col("offset")))
             .select("doc_id", "source", "digest", "size", "source_size", "target", "copies",
                     (F.col("copies") * F.col("size")).alias("taken")))
 

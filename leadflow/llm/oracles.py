@@ -61,13 +61,21 @@ l AS (SELECT min(level) AS level FROM (
   SELECT level FROM c WHERE level * weight <= cap ORDER BY cap / weight, level LIMIT 1)),
 g AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), l.level * weight) AS target FROM c, l),
 p AS (
-  SELECT doc_id, size, source_size, target,
+  SELECT doc_id, size, source_size, target, d.source AS source,
          row_number() OVER (PARTITION BY d.source ORDER BY size, doc_id NULLS LAST) AS k,
-         CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-         (CAST('0x' || substr(md5('17:' || coalesce('=' || d.source, 'null')), 1, 7) AS BIGINT) + 0.5::DOUBLE)
-          / 268435456.0::DOUBLE AS u
-  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
-SELECT doc_id, size, source_size, target,
-       CAST(floor(k * rate + u) - floor((k - 1) * rate + u) AS BIGINT) * size AS taken
-FROM p
+         CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+o AS (
+  SELECT source, j, (CAST('0x' || substr(md5('17:' || j || ':' || coalesce('=' || source, 'null')), 1, 7) AS BIGINT)
+                     + 0.5::DOUBLE) / 268435456.0::DOUBLE AS u
+  FROM g, (SELECT unnest(range(16)) AS j)),
+x AS (
+  SELECT doc_id, size, source_size, target, p.source AS source, j,
+         CAST(floor(k * rate + u) - floor((k - 1) * rate + u) AS BIGINT) * size AS taken
+  FROM p JOIN o ON p.source IS NOT DISTINCT FROM o.source),
+b AS (
+  SELECT source, j FROM (SELECT source, j, abs(sum(taken) - any_value(target)) AS gap FROM x GROUP BY source, j)
+  QUALIFY row_number() OVER (PARTITION BY source ORDER BY gap, j) = 1)
+SELECT doc_id, size, source_size, target, taken
+FROM x JOIN b ON x.source IS NOT DISTINCT FROM b.source AND x.j = b.j
 """

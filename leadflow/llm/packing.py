@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -116,16 +115,16 @@ def _merge(length: int, most: int):
     """Merge the open windows of a group of partitions: their pieces follow one
     another and are cut where a sequence is full; what is left at the end is
     cut into power-of-two lengths, which need no padding."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["part", "window", "offset"], kind="stable")
-        group = int(pdf["part"].iloc[0]) // most
+    def run(table: pa.Table) -> pa.Table:
+        held = sorted(table.to_pylist(), key=lambda r: (r["part"], r["window"], r["offset"]))
+        group = held[0]["part"] // most
         sequences: list[list[Piece]] = [[]]
         room = length
-        for r in pdf.itertuples(index=False):
-            ids, start = np.frombuffer(r.ids, "<u4"), r.start
+        for r in held:
+            ids, start = np.frombuffer(r["ids"], "<u4"), r["start"]
             while len(ids):
                 take = ids[:room]
-                sequences[-1].append((r.doc_id, start, r.doc_tokens, take))
+                sequences[-1].append((r["doc_id"], start, r["doc_tokens"], take))
                 ids, start, room = ids[len(take):], start + len(take), room - len(take)
                 if not room:
                     sequences.append([])
@@ -143,9 +142,7 @@ def _merge(length: int, most: int):
                     seq.append((doc, start, total, ids))
                     want -= len(ids)
                 sequences.append(seq)
-        rows = _rows(group, sequences, 0, True)
-        out = pd.DataFrame(rows, columns=[f.name for f in _ARROW])
-        return out.astype({"doc_id": "Int64"})
+        return pa.Table.from_pylist(_rows(group, sequences, 0, True), schema=_ARROW)
     return run
 
 
@@ -166,8 +163,8 @@ def pack(docs: DataFrame, vocabulary: str, kind: str = "byte", end_id: int = 0,
     (d.mapInArrow(_pack_partition(vocabulary, kind, end_id, length, open_windows, min_cut), PIECE_SCHEMA)
      .write.option("compression", "zstd").partitionBy("leftover").parquet(f"{folder}/first"))
     first = spark.read.schema(PIECE_SCHEMA).parquet(f"{folder}/first")
-    (first.filter("leftover").withColumn("group", F.floor(F.col("part") / MERGE_PARTITIONS)).groupBy("group")
-     .applyInPandas(_merge(length, MERGE_PARTITIONS), PIECE_SCHEMA)
+    (first.filter("leftover").groupBy(F.floor(F.col("part") / MERGE_PARTITIONS).alias("group"))
+     .applyInArrow(_merge(length, MERGE_PARTITIONS), PIECE_SCHEMA)
      .write.option("compression", "zstd").parquet(f"{folder}/merged"))
     merged = spark.read.schema(PIECE_SCHEMA).parquet(f"{folder}/merged")
     # sequence ids: place in the partition, then a parity bit for merged ones

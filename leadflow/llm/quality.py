@@ -175,15 +175,19 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text has no words: base_failed.  The base rules read measures
     that are reported anyway; the cascade runs on what they leave."""
     order = cascade_order(rules, estimate(docs, text_col, rules, sample_rows))
-    t, w = F.col("_t"), F.col("_w")
-    d = (docs.select(F.col(id_col).alias("doc_id"),
-                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t"))
-         .withColumn("_w", words(F.col("_t"))))
-    d = d.select("doc_id", "_t", "_w", *[f(t, w).alias(n) for n, f in MEASURES.items()])
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    d = d.withColumn("base_failed", failed)
-    verdict = F.when(F.col("base_failed"), F.lit(False)).otherwise(first_rejection(order, t, w).isNull())
-    return d.select("doc_id", *MEASURES, "base_failed", verdict.alias("kept"))
+    t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+
+    def verdict(m: Column, w: Column) -> Column:
+        failed = (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
+        kept = F.when(failed, F.lit(False)).otherwise(first_rejection(order, t, w).isNull())
+        return F.struct(*[m[n].alias(n) for n in MEASURES], failed.alias("base_failed"), kept.alias("kept"))
+
+    # one bound value for all: a later filter cannot copy the word split into
+    # the loops over words
+    judged = let(words(t), lambda w: let(F.struct(*[f(t, w).alias(n) for n, f in MEASURES.items()]),
+                                         lambda m: verdict(m, w)))
+    return docs.select(F.col(id_col).alias("doc_id"), judged.alias("m")).select(
+        "doc_id", *[F.col(f"m.{c}").alias(c) for c in (*MEASURES, "base_failed", "kept")])
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES,
