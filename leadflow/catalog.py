@@ -26,6 +26,7 @@ from leadflow.plans.applications import borrowers_for
 from leadflow.plans.funnel import best_outcome, latest_apps, weekly_rows
 from leadflow.plans.leads import partner_filter
 from leadflow.plans.profile_run import Run
+from leadflow.plans.sinks import feed_for_csv
 from leadflow.plans.reports import (daily_summary, daily_summary_total,
                                     funnel_frequency, funnel_gaps,
                                     partner_feed, weekly_summary)
@@ -34,7 +35,7 @@ from leadflow.sources import standins as S
 from leadflow.sources.dropfolder import csv_line, write_batched_files
 from leadflow.sources.files import (list_files, newest_and_oldest,
                                     normalise_headers, read_lenient_csv,
-                                    safe_name, union_by_name)
+                                    union_by_name)
 from leadflow.sources.tables import Tables
 from leadflow.streaming import ingest_lead_files
 
@@ -49,30 +50,20 @@ def query(name: str):
     return deco
 
 
-_RUNS: dict = {}
-# Bump when the layout of the derived drop folders changes (they are reused).
-FIXTURE_VERSION = "v3"
-
-
 def run(spark: SparkSession, d: str, profile: str = "daily", mode: str = "faithful") -> Run:
-    """One memoised Run per (session, data set, profile, mode): queries of
-    the same profile share the staged candidate tasks."""
-    key = (spark.sparkContext.applicationId, id(spark), d, profile, mode)
-    if key not in _RUNS:
-        _RUNS[key] = Run(spark, d, profile, mode)
-    return _RUNS[key]
+    """One profile's run over the stand-ins of ``d``; nothing is kept between
+    queries, so a rewritten table is seen by the next one."""
+    return Run(spark, d, profile, mode)
 
 
 # --------------------------------------------------------------------------
 # Sources (A1-A4, A10, A11)
 # --------------------------------------------------------------------------
 def lead_drop_folder(spark: SparkSession, d: str) -> str:
-    """A partner drop folder: one lead file per lead month, from ``orders``."""
-    t = Tables(spark, d)
-    o = t.orders.filter(F.col("o_orderpriority").isin(*S.LEAD_PRIORITIES))
-    lines = o.select(F.trunc("o_orderdate", "month").alias("batch"),
+    """A partner drop folder: one lead file per month of ``orders``."""
+    lines = Tables(spark, d).orders.select(F.trunc("o_orderdate", "month").alias("batch"),
                      csv_line(S.lead_file_columns()).alias("value"))
-    folder = scratch_path(spark, "fixtures", FIXTURE_VERSION, safe_name(d), "lead_drop")
+    folder = scratch_path(spark, "fixtures", "lead_drop", unique=True)
     return write_batched_files(lines, folder, ",".join(S.LEAD_FILE_HEADER))
 
 
@@ -87,18 +78,20 @@ def q_src_newest_oldest(spark, d):
 
 @query("src_lenient_csv")
 def q_src_lenient_csv(spark, d):
-    t = Tables(spark, d)
-    o = t.orders.filter(F.col("o_orderpriority").isin(*S.LEAD_PRIORITIES))
+    o = Tables(spark, d).orders
     p, s = F.col("o_totalprice"), F.col("o_orderstatus")
     base = list(S.LEAD_FILE_HEADER)
     exprs = dict(zip(base, S.lead_file_columns()))
     exprs["Loan Type"] = F.when((s == "F") & (p > 450000), F.lit('Personal\nLoan "Plus"')) \
+        .when((s == "O") & (p > 450000), F.lit("Pr\u00eat personnel")) \
         .otherwise(F.lit("Personal")).alias("Loan Type")
     fields = [exprs[c] for c in base]
-    line = (F.when((s == "P") & (p > 400000), F.concat(csv_line(fields), F.lit(',"surplus"')))
+    line = (F.when((s == "P") & (p > 450000), F.concat(csv_line(fields), F.lit(',"surplus"')))
+            .when((s == "P") & (p > 400000), F.concat(csv_line(fields), F.lit(",")))
+            .when((s == "P") & (p > 350000), F.concat(csv_line(fields), F.lit(",,")))
             .when(p < 20000, csv_line(fields[:-2]))
             .otherwise(csv_line(fields)))
-    folder = scratch_path(spark, "fixtures", FIXTURE_VERSION, safe_name(d), "ragged_drop")
+    folder = scratch_path(spark, "fixtures", "ragged_drop", unique=True)
     write_batched_files(o.select(F.trunc("o_orderdate", "month").alias("batch"), line.alias("value")),
                       folder, ",".join(S.LEAD_FILE_HEADER))
     df = normalise_headers(read_lenient_csv(spark, folder, S.LEAD_FILE_HEADER))
@@ -107,7 +100,7 @@ def q_src_lenient_csv(spark, d):
 
 @query("union_by_name")
 def q_union_by_name(spark, d):
-    rows = S.normalised_lead_rows(Tables(spark, d))
+    rows = normalise_headers(Tables(spark, d).orders.selectExpr(*S.lead_file_exprs()))
     a = rows.filter(F.col("decision_status") == "Auto Approved").select("sub_id", "applicant_ssn", "decision_status")
     b = rows.filter(F.col("decision_status") != "Auto Approved").select("decision_status", "sub_id")
     return union_by_name([a, b])
@@ -115,14 +108,20 @@ def q_union_by_name(spark, d):
 
 @query("normalise_headers")
 def q_normalise_headers(spark, d):
-    return normalise_headers(S.lead_file_rows(Tables(spark, d)))
+    return normalise_headers(Tables(spark, d).orders.selectExpr(*S.lead_file_exprs()))
 
 
 @query("ingest_stream")
 def q_ingest_stream(spark, d):
-    folder = lead_drop_folder(spark, d)
+    month = F.trunc("o_orderdate", "month")
+    names, cols = list(S.LEAD_FILE_HEADER), S.lead_file_columns()
+    folder = scratch_path(spark, "fixtures", "mixed_drop", unique=True)
+    for odd, step in ((0, 1), (1, -1)):          # every other month has its columns the other way round
+        lines = Tables(spark, d).orders.filter(F.month("o_orderdate") % 2 == odd).select(
+            month.alias("batch"), csv_line(cols[::step]).alias("value"))
+        write_batched_files(lines, folder, ",".join(names[::step]))
     work = scratch_path(spark, "stream", unique=True)
-    hist = ingest_lead_files(spark, folder, S.LEAD_FILE_HEADER, f"{work}/history", f"{work}/checkpoint")
+    hist = ingest_lead_files(spark, folder, f"{work}/history", f"{work}/checkpoint")
     return hist.select("irmpname", "applicant_ssn", "sub_id", "application_date")
 
 
@@ -135,26 +134,30 @@ def q_partner_filter(spark, d):
 # --------------------------------------------------------------------------
 # Scalars (B2-B27)
 # --------------------------------------------------------------------------
-def _lead_orders(spark, d):
-    return S.lead_orders(Tables(spark, d))
+def _edge_rows(spark, d):
+    """Every order with a number as a careless file has it: one kind per
+    residue of the order key."""
+    k, c = F.col("o_orderkey") % 11, F.col("o_custkey").cast("string")
+    texts = {0: F.lit("NaN"), 1: F.lit("Infinity"), 2: F.lit("123456789012345678901234567890"),
+             3: F.concat(c, F.lit(".0")), 4: F.concat(F.lit("  "), c, F.lit(" ")), 5: F.lit(""),
+             6: F.lit("99999999999"), 7: F.lit("-17.9"), 8: F.lit(None).cast("string"), 9: F.concat(c, F.lit("X"))}
+    text = c
+    for r, t in texts.items():
+        text = F.when(k == r, t).otherwise(text)
+    return Tables(spark, d).orders.select("o_orderkey", text.alias("edge_text"))
 
 
 @query("canonical_id")
 def q_canonical_id(spark, d):
-    p, k = F.col("o_totalprice"), F.col("o_custkey").cast("string")
-    key = (F.when(p > 450000, F.concat(k, F.lit("12345678")))
-           .when(p < 30000, F.lit(None).cast("string")).otherwise(k))
-    return _lead_orders(spark, d).select(
-        F.col("o_orderkey"), key.alias("key_text"), canonical_id(key).alias("ssn"))
+    return _edge_rows(spark, d).select(
+        "o_orderkey", F.col("edge_text").alias("key_text"), canonical_id("edge_text").alias("ssn"))
 
 
 @query("canonical_id_numeric")
 def q_canonical_id_numeric(spark, d):
-    p, k = F.col("o_totalprice"), F.col("o_custkey").cast("string")
-    key = (F.when(p > 450000, F.concat(k, F.lit("X")))
-           .when(p < 30000, F.lit(None).cast("string")).otherwise(k))
-    return _lead_orders(spark, d).select(
-        F.col("o_orderkey"), key.alias("key_text"), canonical_id_numeric(key).alias("ssn"))
+    number = canonical_id_numeric("edge_text")
+    return _edge_rows(spark, d).select(
+        "o_orderkey", F.col("edge_text").alias("key_text"), number.alias("ssn"), canonical_id(number).alias("ssn_text"))
 
 
 @query("text_coercion")
@@ -170,7 +173,7 @@ def q_text_coercion(spark, d):
 
 @query("parse_dates")
 def q_parse_dates(spark, d):
-    o = _lead_orders(spark, d)
+    o = Tables(spark, d).orders
     s, p = F.col("o_orderstatus"), F.col("o_totalprice")
     txt = (F.when(p < 5000, F.lit("not a date"))
            .when(s == "F", F.date_format("o_orderdate", "M/d/yyyy H:mm"))
@@ -181,16 +184,12 @@ def q_parse_dates(spark, d):
 
 @query("int_fill")
 def q_int_fill(spark, d):
-    rows = S.normalised_lead_rows(Tables(spark, d))
-    return rows.select("sub_id", "applicant_credit_score",
-                       int_fill("applicant_credit_score").alias("LEAD_SCORE"))
+    return _edge_rows(spark, d).select("o_orderkey", "edge_text", int_fill("edge_text").alias("LEAD_SCORE"))
 
 
 @query("int_strict")
 def q_int_strict(spark, d):
-    o = _lead_orders(spark, d)
-    txt = F.when(F.col("o_totalprice") < 5000, F.lit("n/a")).otherwise(money_text(cents(F.col("o_totalprice"))))
-    return o.select(F.col("o_orderkey"), txt.alias("amt_text"), int_strict(txt).alias("AMT_APPLIED"))
+    return _edge_rows(spark, d).select("o_orderkey", "edge_text", int_strict("edge_text").alias("AMT_APPLIED"))
 
 
 @query("lead_projection")
@@ -338,7 +337,7 @@ def _app_tasks(srv):
 
 @query("left_join_left_pred")
 def q_left_join_left_pred(spark, d):
-    srv = S.Servicing(Tables(spark, d))
+    srv = S.stand_in_servicing(Tables(spark, d))
     td = srv.task_detail.select(F.col("task_refno").alias("td_task_refno"), "userdef100")
     out = left_join_left_pred(_app_tasks(srv), td, F.col("task_refno") == F.col("td_task_refno"),
                               F.col("task_template_no") == 1)
@@ -348,7 +347,7 @@ def q_left_join_left_pred(spark, d):
 @query("coalesced_key_join")
 def q_coalesced_key_join(spark, d):
     t = Tables(spark, d)
-    srv = S.Servicing(t)
+    srv = S.stand_in_servicing(t)
     left = (_app_tasks(srv).select("task_refno")
             .join(srv.task_detail.select("task_refno", "userdef100"), "task_refno", "inner"))
     blank_loans = t.region.select(
@@ -360,7 +359,7 @@ def q_coalesced_key_join(spark, d):
 
 
 def _pivot(spark, d, by_time=False):
-    srv = S.Servicing(Tables(spark, d))
+    srv = S.stand_in_servicing(Tables(spark, d))
     return history_pivot(srv.task_routing_history, srv.workflow_action, srv.workflow_result,
                          last_by_time=by_time)
 
@@ -382,7 +381,7 @@ def q_earliest_balance(spark, d):
 
 @query("status_codes")
 def q_status_codes(spark, d):
-    srv = S.Servicing(Tables(spark, d))
+    srv = S.stand_in_servicing(Tables(spark, d))
     return status_codes(srv.loanacct_statuses, srv.loan_status_codes, accounts=srv.loanacct)
 
 
@@ -450,6 +449,17 @@ def q_partner_feed(spark, d):
     return partner_feed(run(spark, d).funnel)
 
 
+def _feed_text(profile: str):
+    def q(spark, d):
+        r = run(spark, d, profile)
+        return feed_for_csv(partner_feed(r.funnel), r.rules)
+    return q
+
+
+for _p in ("daily", "weekly", "weekly_v2"):
+    QUERIES[f"feed_text_{_p}"] = _feed_text(_p)
+
+
 @query("daily_summary")
 def q_daily_summary(spark, d):
     return daily_summary(run(spark, d, "weekly").funnel)

@@ -48,8 +48,9 @@ def canonical_id(c, width: int = R.PERSON_KEY_WIDTH,
 
 
 def canonical_id_numeric(c) -> Column:
-    """B2n: numeric person key (text * 1); bad text becomes null."""
-    return F.trim(col_(c).cast("string")).try_cast("double").cast("bigint")
+    """B2n: numeric person key (text * 1); bad text, NaN, infinity and
+    numbers beyond a long become null."""
+    return F.trim(col_(c).cast("string")).try_cast("double").try_cast("bigint")
 
 
 def text_coercion(c, null_text: str | None = None) -> Column:
@@ -77,13 +78,36 @@ DATE_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy",
 
 
 def parse_dates(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Text -> timestamp_ntz by a named list of formats."""
+    """Text -> timestamp_ntz by a named list of formats.
+
+    The text is rewritten as an ISO date and time by its format's fields and
+    cast without a zone, so the session's time zone, and the hours that it
+    skips, play no part."""
     if isinstance(c, str):
-        tries = ", ".join(f"try_to_timestamp(trim(CAST(`{c}` AS STRING)), {_sql_lit(f)})" for f in formats)
-        return F.expr(f"CAST(coalesce({tries}) AS TIMESTAMP_NTZ)")
-    s = F.trim(col_(c).cast("string"))
-    parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
-    return parsed.cast("timestamp_ntz")
+        c = col_(c)
+    s = F.trim(c.cast("string"))
+    return F.coalesce(*[_parse_ntz(s, f) for f in formats])
+
+
+# Fields of the formats as digit patterns, and how each is written in ISO.
+_FIELDS = {"yyyy": r"(\d{4})", "MM": r"(\d{2})", "dd": r"(\d{2})", "HH": r"(\d{2})", "mm": r"(\d{2})",
+           "ss": r"(\d{2})", "M": r"(\d{1,2})", "d": r"(\d{1,2})", "H": r"(\d{1,2})"}
+
+
+def _parse_ntz(s: Column, fmt: str) -> Column:
+    """``s`` as timestamp_ntz if it has exactly the format ``fmt``, else null."""
+    import re
+    order, pattern = [], ""
+    for part in re.findall(r"yyyy|MM|dd|HH|mm|ss|M|d|H|'[^']*'|.", fmt):
+        if part in _FIELDS:
+            order.append(part[0])
+            pattern += _FIELDS[part]
+        else:
+            pattern += re.escape(part.strip("'"))
+    at = {f: F.lpad(F.regexp_extract(s, f"^{pattern}$", i + 1), 2 if f != "y" else 4, "0") for i, f in enumerate(order)}
+    clock = [at.get(f, F.lit("00")) for f in "Hms"]
+    iso = F.concat(at["y"], F.lit("-"), at["M"], F.lit("-"), at["d"], F.lit(" "), F.concat_ws(":", *clock))
+    return F.when(s.rlike(f"^{pattern}$"), iso.try_cast("timestamp_ntz"))
 
 
 def to_double(c) -> Column:
@@ -97,12 +121,13 @@ def to_decimal(c, precision: int = 18, scale: int = 2) -> Column:
 
 def int_fill(c) -> Column:
     """Null -> 0, then truncate toward zero."""
-    return F.coalesce(to_double(c).cast("int"), F.lit(0))
+    return F.coalesce(to_double(c).try_cast("int"), F.lit(0))
 
 
 def int_strict(c) -> Column:
-    """Truncate toward zero; null or bad text stays null (reject set)."""
-    return to_double(c).cast("int")
+    """Truncate toward zero; null, bad text and numbers beyond an int
+    are null (``reject_reasons`` lists them)."""
+    return to_double(c).try_cast("int")
 
 
 def score_parse(c) -> Column:

@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on the tasks the empty-key bucket of a coalesced-key join is
-# spread over (the other side's empty bucket is replicated once per salt).
-MAX_EMPTY_BUCKET_SALTS = 1024
-
 
 def semi_join(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys`` (no literal key list).
@@ -43,13 +39,12 @@ def coalesced_key_join(left: DataFrame, right: DataFrame, left_key: str,
     salt 0.  Joining on (key, salt) spreads the empty bucket over ``salts``
     tasks instead of one, in a single join (no second pass over either
     side).  By default ``salts`` follows ``spark.sql.shuffle.partitions``
-    (so the bucket can reach every reducer), capped at
-    ``MAX_EMPTY_BUCKET_SALTS``.  AQE still turns it into a broadcast when the runtime size of
+    (so the bucket can reach every reducer).  AQE still turns it into a broadcast when the runtime size of
     the right side is small.  Every pair the query defines is produced.
     """
     if salts is None:
         parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        salts = max(8, min(parts, MAX_EMPTY_BUCKET_SALTS))
+        salts = max(1, parts)
     lk = F.coalesce(_q(left_key), F.lit(""))
     rk = F.coalesce(_q(right_key), F.lit(""))
     l2 = left.withColumn("_ck", lk).withColumn(

@@ -6,19 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadflow import rules as R
-from leadflow.functions import code_lookup, customer_type
+from leadflow.functions import customer_type
 
 
-def history_pivot(history: DataFrame, actions, results,
+def history_pivot(history: DataFrame, actions: DataFrame, results: DataFrame,
                   last_by_time: bool = False) -> DataFrame:
     """Every correlated history lookup of a task in one aggregation.
 
     Replaces five correlated reads of the history table (credit pulled?,
     latest funded date, earliest application date, "last" action, customer
     types) by one ``groupBy(task_refno)`` with partial aggregation.  The
-    action/result code tables are fixed, tiny lookups: given as (id, text)
-    pairs they become CASE expressions; given as DataFrames they are joined
-    with a broadcast.
+    action/result code tables are left-joined (Spark broadcasts them when
+    they are as small as code tables are).
 
     * ``WasCreditReportPulled``: 'Yes' if a PULL CREDIT REPORT row has result
       'yes', else 'No' (C8).
@@ -32,13 +31,8 @@ def history_pivot(history: DataFrame, actions, results,
     * ``_types``: distinct customer types of the BOOK LOAN rows (C6), as an
       array of one-field structs so an unmapped (null) type survives.
     """
-    if isinstance(actions, DataFrame):
-        h = (history
-             .join(F.broadcast(actions), "workflow_action_id", "left")
-             .join(F.broadcast(results), "workflow_result_id", "left"))
-    else:
-        h = history.select("*", code_lookup("workflow_action_id", actions).alias("action"),
-                           code_lookup("workflow_result_id", results).alias("result"))
+    h = (history.join(actions, "workflow_action_id", "left")
+         .join(results, "workflow_result_id", "left"))
     action, result, created = F.col("action"), F.col("result"), F.col("created_date")
     is_enter = action == R.ACTION_ENTER_APPLICATION
     booked = (action == R.ACTION_BOOK_LOAN) & (result == R.RESULT_YES)
@@ -68,7 +62,7 @@ def history_pivot(history: DataFrame, actions, results,
         "_types")
 
 
-def status_codes(statuses: DataFrame, codes,
+def status_codes(statuses: DataFrame, codes: DataFrame,
                  accounts: DataFrame | None = None) -> DataFrame:
     """Comma-joined status codes per loan, blanks dropped, duplicates kept.
 
@@ -77,10 +71,7 @@ def status_codes(statuses: DataFrame, codes,
     with the loan table); when the result is only ever left-joined back to
     that table the restriction is implied and can be skipped.
     """
-    if isinstance(codes, DataFrame):
-        s = statuses.join(F.broadcast(codes), "status_code_no", "inner")
-    else:
-        s = statuses.select("*", code_lookup("status_code_no", codes).alias("status_code"))
+    s = statuses.join(codes, "status_code_no", "inner")
     s = s.filter(F.col("status_code").isNotNull() & (F.col("status_code") != ""))
     if accounts is not None:
         s = s.join(accounts.select("acctrefno"), "acctrefno", "left_semi")

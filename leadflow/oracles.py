@@ -32,7 +32,7 @@ FLOOR = "DATE '1996-01-01'"
 CTES: dict[str, str] = {}
 
 # --- lead file -----------------------------------------------------------
-CTES["lead_rows"] = f"""
+CTES["file_rows"] = f"""
   SELECT CASE WHEN o_orderstatus = 'P' THEN 'OtherPartner' ELSE 'CreditPartner' END AS irmpname,
          CAST(o_custkey AS VARCHAR) AS applicant_ssn,
          o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
@@ -41,7 +41,17 @@ CTES["lead_rows"] = f"""
          strftime(o_orderdate, '%-m/%-d/%Y %-H:%M') AS application_date,
          CASE WHEN o_totalprice < 20000 THEN NULL ELSE CAST(floor(o_totalprice / 1000) AS BIGINT) END AS score_num,
          {money_text(CENTS.format(x='o_totalprice'))} AS amt_text
-  FROM orders WHERE o_orderpriority IN {LEAD_PRIORITIES}"""
+  FROM orders"""
+
+CTES["lead_rows"] = f"SELECT * FROM file_rows WHERE o_orderpriority IN {LEAD_PRIORITIES}"
+
+# numbers as a careless file has them, one kind per residue of the order key
+CTES["edge_rows"] = """
+  SELECT o_orderkey, CASE o_orderkey % 11 WHEN 0 THEN 'NaN' WHEN 1 THEN 'Infinity'
+         WHEN 2 THEN '123456789012345678901234567890' WHEN 3 THEN CAST(o_custkey AS VARCHAR) || '.0'
+         WHEN 4 THEN '  ' || CAST(o_custkey AS VARCHAR) || ' ' WHEN 5 THEN '' WHEN 6 THEN '99999999999'
+         WHEN 7 THEN '-17.9' WHEN 8 THEN NULL WHEN 9 THEN CAST(o_custkey AS VARCHAR) || 'X'
+         ELSE CAST(o_custkey AS VARCHAR) END AS edge_text FROM orders"""
 
 CTES["leads_daily"] = f"""
   SELECT {pad('applicant_ssn')} AS ssn, decision_status AS PQ_DECISION, 'Personal' AS LEAD_TYPE,
@@ -64,7 +74,8 @@ CTES["leads_weekly"] = """
   FROM lead_rows"""
 
 CTES["leads_weekly_v2"] = f"""
-  SELECT {pad('applicant_ssn')} AS ssn, decision_status AS PQ_DECISION, sub_id AS CK_TRACKING_ID,
+  SELECT {pad("CAST(TRY_CAST(trunc(TRY_CAST(trim(applicant_ssn) AS DOUBLE)) AS BIGINT) AS VARCHAR)")} AS ssn,
+         decision_status AS PQ_DECISION, sub_id AS CK_TRACKING_ID,
          CAST(o_orderdate AS DATE) AS LEADDATE, CAST(score_num AS INTEGER) AS LEAD_SCORE,
          CAST(amt_text AS DOUBLE) AS AMT_APPLIED,
          CASE WHEN decision_status = 'Auto Approved' THEN 1 ELSE 0 END AS LEAD_PREQUAL
@@ -474,24 +485,44 @@ def _ratio(n: str, d: str) -> str:
     return f"CASE WHEN {d} = 0 OR {d} IS NULL THEN NULL ELSE CAST({n} AS DOUBLE) / CAST({d} AS DOUBLE) END"
 
 
+def _feed_text(day: str, two_decimals: bool, clock: str) -> str:
+    """The feed's columns as they are printed."""
+    def amount(c: str) -> str:
+        text = f"CAST(CAST({c} AS DECIMAL(18,2)) AS VARCHAR)"
+        return text if two_decimals else f"regexp_replace({text}, '\\.?0+$', '')"
+    out = []
+    for c in FEED_COLS.split(", "):
+        if c == "LEADDATE":
+            e = f"strftime({c}, '{day}{clock}')"
+        elif c.endswith("Date"):
+            e = f"strftime({c}, '{day}')"
+        elif c.startswith(("AMOUNT_", "AMT_APPROVED", "TERM_", "RATE_")) or (c == "AMT_APPLIED" and not two_decimals):
+            e = amount(c)
+        else:
+            e = f"CAST({c} AS VARCHAR)"
+        out.append(f"{e} AS {c}")
+    return ", ".join(out)
+
+
 SELECTS: dict[str, str] = {
     "src_newest_oldest": """
   SELECT irmpname, applicant_ssn, sub_id, application_date,
          CAST(score_num AS VARCHAR) AS applicant_credit_score, decision_status
-  FROM lead_rows
-  WHERE date_trunc('month', o_orderdate) IN ((SELECT min(date_trunc('month', o_orderdate)) FROM lead_rows),
-                                             (SELECT max(date_trunc('month', o_orderdate)) FROM lead_rows))""",
+  FROM file_rows
+  WHERE date_trunc('month', o_orderdate) IN ((SELECT min(date_trunc('month', o_orderdate)) FROM file_rows),
+                                             (SELECT max(date_trunc('month', o_orderdate)) FROM file_rows))""",
     "src_lenient_csv": """
   SELECT sub_id, irmpname,
          CASE WHEN o_orderstatus = 'F' AND o_totalprice > 450000 THEN 'Personal' || chr(10) || 'Loan "Plus"'
+              WHEN o_orderstatus = 'O' AND o_totalprice > 450000 THEN 'Pr\u00eat personnel'
               ELSE 'Personal' END AS loan_type,
          CASE WHEN o_totalprice < 20000 THEN NULL ELSE CAST(score_num AS VARCHAR) END AS applicant_credit_score,
          CASE WHEN o_totalprice < 20000 THEN NULL ELSE amt_text END AS "amt._fin."
-  FROM lead_rows WHERE NOT (o_orderstatus = 'P' AND o_totalprice > 400000)""",
+  FROM file_rows WHERE NOT (o_orderstatus = 'P' AND o_totalprice > 350000)""",
     "union_by_name": """
-  SELECT sub_id, applicant_ssn, decision_status FROM lead_rows WHERE decision_status = 'Auto Approved'
+  SELECT sub_id, applicant_ssn, decision_status FROM file_rows WHERE decision_status = 'Auto Approved'
   UNION ALL
-  SELECT sub_id, NULL AS applicant_ssn, decision_status FROM lead_rows WHERE decision_status <> 'Auto Approved'""",
+  SELECT sub_id, NULL AS applicant_ssn, decision_status FROM file_rows WHERE decision_status <> 'Auto Approved'""",
     "normalise_headers": """
   SELECT irmpname, applicant_ssn, 'IR' || CAST(o_orderkey AS VARCHAR) AS irpid,
          CAST(o_orderkey AS VARCHAR) AS application_number,
@@ -500,19 +531,14 @@ SELECTS: dict[str, str] = {
          'SC' AS applicant_address_state, sub_id, application_date,
          application_date AS "decision_date/time", CAST(score_num AS VARCHAR) AS applicant_credit_score,
          amt_text AS "amt._fin."
-  FROM lead_rows""",
-    "ingest_stream": "SELECT irmpname, applicant_ssn, sub_id, application_date FROM lead_rows",
+  FROM file_rows""",
+    "ingest_stream": "SELECT irmpname, applicant_ssn, sub_id, application_date FROM file_rows",
     "partner_filter": "SELECT irmpname, sub_id, applicant_ssn FROM lead_rows WHERE irmpname = 'CreditPartner'",
-    "canonical_id": f"""
-  SELECT o_orderkey, key_text, {pad('key_text')} AS ssn FROM (
-    SELECT o_orderkey, CASE WHEN o_totalprice > 450000 THEN CAST(o_custkey AS VARCHAR) || '12345678'
-                            WHEN o_totalprice < 30000 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS key_text
-    FROM lead_rows)""",
-    "canonical_id_numeric": """
-  SELECT o_orderkey, key_text, CAST(TRY_CAST(trim(key_text) AS DOUBLE) AS BIGINT) AS ssn FROM (
-    SELECT o_orderkey, CASE WHEN o_totalprice > 450000 THEN CAST(o_custkey AS VARCHAR) || 'X'
-                            WHEN o_totalprice < 30000 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS key_text
-    FROM lead_rows)""",
+    "canonical_id": f"SELECT o_orderkey, edge_text AS key_text, {pad('edge_text')} AS ssn FROM edge_rows",
+    "canonical_id_numeric": f"""
+  SELECT o_orderkey, key_text, ssn, {pad('CAST(ssn AS VARCHAR)')} AS ssn_text FROM (
+    SELECT o_orderkey, edge_text AS key_text,
+           TRY_CAST(trunc(TRY_CAST(trim(edge_text) AS DOUBLE)) AS BIGINT) AS ssn FROM edge_rows)""",
     "text_coercion": """
   SELECT task_refno, COALESCE(userdef100, 'None') AS LoanNumber, AmountRequested, SmallAPR, FinalTerm, InterestRate
   FROM task_detail""",
@@ -523,14 +549,13 @@ SELECTS: dict[str, str] = {
          WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
          ELSE strftime(o_orderdate, '%-m/%-d/%Y') END AS date_text,
     CASE WHEN o_totalprice < 5000 THEN NULL ELSE o_orderdate END AS LEADDATE
-  FROM lead_rows""",
+  FROM file_rows""",
     "int_fill": """
-  SELECT sub_id, CAST(score_num AS VARCHAR) AS applicant_credit_score,
-         CAST(COALESCE(score_num, 0) AS INTEGER) AS LEAD_SCORE FROM lead_rows""",
+  SELECT o_orderkey, edge_text,
+         COALESCE(TRY_CAST(trunc(TRY_CAST(trim(edge_text) AS DOUBLE)) AS INTEGER), 0) AS LEAD_SCORE FROM edge_rows""",
     "int_strict": """
-  SELECT o_orderkey, CASE WHEN o_totalprice < 5000 THEN 'n/a' ELSE amt_text END AS amt_text,
-         CASE WHEN o_totalprice < 5000 THEN NULL ELSE CAST(trunc(o_totalprice) AS INTEGER) END AS AMT_APPLIED
-  FROM lead_rows""",
+  SELECT o_orderkey, edge_text,
+         TRY_CAST(trunc(TRY_CAST(trim(edge_text) AS DOUBLE)) AS INTEGER) AS AMT_APPLIED FROM edge_rows""",
     "lead_projection": """
   SELECT ssn, PQ_DECISION, LEAD_TYPE, LEAD_STATE, CK_TRACKING_ID, LEADDATE,
          CAST(LEADDATE AS DATE) AS LEAD_DAY, 'lead' AS lead_app, 1 AS ISPQAPP FROM leads_daily""",
@@ -630,6 +655,9 @@ SELECTS: dict[str, str] = {
   SELECT ssn, task_refno, APP_BEFORE_LEAD, IS_FUNDED, IS_APPROVE, ApplicationEnterDate
   FROM funnel_weekly_intended""",
     "partner_feed": f"SELECT {FEED_COLS} FROM funnel_daily",
+    "feed_text_daily": f"SELECT {_feed_text('%Y-%m-%d', True, ' %H:%M:%S')} FROM funnel_daily",
+    "feed_text_weekly": f"SELECT {_feed_text('%m/%d/%Y', False, '').replace('AS FundedDate', 'AS FUNDDATE')} FROM funnel_weekly",
+    "feed_text_weekly_v2": f"SELECT {_feed_text('%m/%d/%Y', False, '')} FROM funnel_weekly_v2",
     "daily_summary": f"""
   SELECT CAST(LEADDATE AS DATE) AS LEADDATE, {SUMMARY_AGGS}
   FROM funnel_weekly WHERE LEADDATE IS NOT NULL GROUP BY CAST(LEADDATE AS DATE)""",

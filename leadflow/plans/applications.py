@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadflow import rules as R
-from leadflow.functions import (canonical_id, code_lookup, final_loan_amount,
+from leadflow.functions import (canonical_id, final_loan_amount, parse_dates,
                                 score_parse, text_coercion, to_decimal,
                                 to_double)
 from leadflow.operators import (coalesced_key_join, earliest_balance,
                                 history_pivot, left_join_left_pred, semi_join,
                                 stage, status_codes)
-from leadflow.sources.standins import Servicing
+from leadflow.sources.files import read_delimited
+from leadflow.sources.servicing import Servicing
 
 SNAPSHOT_COLUMNS = (
     "firstname", "lastname", "task_refno", "LoanNumber", "StatusCodes",
@@ -37,12 +38,11 @@ def application_tasks(srv: Servicing, borrowers: DataFrame) -> DataFrame:
     c = srv.cif.join(borrowers.select("SSNo", "ssn", F.col("Cifno").alias("b_cifno")),
                      F.col("cifno") == F.col("b_cifno"), "inner").drop("b_cifno")
     links = srv.tmr.filter(F.col("tmr_code_id") == 1)
-    known = [code for code, _ in srv.task_status_pairs]
     ta = (c.join(links, F.col("cifno") == F.col("child_refno"), "inner")
-           .join(srv.task.filter(F.col("status_code_id").isin(*known)),
-                 F.col("parent_refno") == F.col("task_refno"), "inner")
+           .join(srv.task, F.col("parent_refno") == F.col("task_refno"), "inner")
            .drop("child_refno", "parent_refno")
-           .withColumn("TaskStatus", code_lookup("status_code_id", srv.task_status_pairs)))
+           .join(srv.task_status_codes.withColumnRenamed("status_code", "TaskStatus"),
+                 "status_code_id", "inner"))
     # Only details of candidate tasks can match; the semi-join is pushed
     # below the detail projection, so its text fields are derived for those
     # rows only.  The left join keeps C5's semantics.
@@ -69,18 +69,17 @@ def loan_rows(srv: Servicing, loans: DataFrame) -> DataFrame:
     ``loans`` is the staged candidate set; each big loan table is scanned
     once and filtered by it before any aggregation or join.
     """
-    # Filter before the two aggregations; the plain lookups are filtered by
-    # the left joins themselves.
-    st = status_codes(semi_join(srv.loanacct_statuses, loans.select("acctrefno"), "acctrefno"),
-                      srv.loan_status_pairs)
+    accounts = loans.select("acctrefno")
+    st = status_codes(semi_join(srv.loanacct_statuses, accounts, "acctrefno"), srv.loan_status_codes)
     bal = earliest_balance(semi_join(
         srv.aged_balance, loans.select(F.col("loan_number").alias("loannumber")), "loannumber"))
-    detail = srv.loanacct_detail.withColumnRenamed("userdef11", "ld_userdef11")
+    detail = semi_join(srv.loanacct_detail, accounts, "acctrefno").withColumnRenamed("userdef11", "ld_userdef11")
     return (loans.join(detail, "acctrefno", "left")
-            .join(srv.loanacct_setup, "acctrefno", "left")
+            .join(semi_join(srv.loanacct_setup, accounts, "acctrefno"), "acctrefno", "left")
             .join(st, "acctrefno", "left")
             .join(bal, F.col("loan_number") == F.col("loannumber"), "left")
-            .withColumn("ls_status_code", code_lookup("status_code_no", srv.loan_status_pairs))
+            .join(srv.loan_status_codes.withColumnRenamed("status_code", "ls_status_code"),
+                  "status_code_no", "left")
             .select("loan_number", "loan_group_no", "ls_status_code", "statflags",
                     "netbalance", "interest_method", "original_note_amount",
                     "addonint_total", "ld_userdef11"))
@@ -106,14 +105,13 @@ def application_snapshot(srv: Servicing, persons: DataFrame | None = None,
 
     # All history lookups in one pass, only for the candidate tasks.
     hist = semi_join(srv.task_routing_history, tasks.select("task_refno"), "task_refno")
-    hp = history_pivot(hist, srv.workflow_action_pairs, srv.workflow_result_pairs,
-                       last_by_time=intended)
+    hp = history_pivot(hist, srv.workflow_action, srv.workflow_result, last_by_time=intended)
     # C11: an application needs an application-entered date; this makes the
     # task-detail join effectively inner (the lookups key on its task).
     hp = hp.filter(F.col("ApplicationEnterDate").isNotNull())
     rows = tasks.join(hp, F.col("td_task_refno") == hp["task_refno"], "inner").drop(hp["task_refno"])
 
-    detail = srv.cif_detail.withColumnRenamed("cifno", "h_cifno")
+    detail = semi_join(srv.cif_detail, tasks.select("cifno"), "cifno").withColumnRenamed("cifno", "h_cifno")
     rows = rows.join(detail, F.col("cifno") == F.col("h_cifno"), "left")
 
     rows = coalesced_key_join(rows, loan_rows(srv, loans), "userdef100", "loan_number", "left")
@@ -182,3 +180,37 @@ def app_workbook(snapshot: DataFrame, rules: R.FunnelRules) -> DataFrame:
          if rules.funded_date_text else F.col("FundedDate")).alias("FundedDate"),
     )
     return out
+
+
+# Types of the apps table's columns; the others are text.
+_APP_TYPES = {
+    "decimal(18,2)": ("FinalLoanAmount", "AmountRequested", "SmallApprovedAmount", "LargeApprovedAmount",
+                      "FreeIncome", "MonthlyGrossIncome", "MonthlyNetIncome"),
+    "decimal(18,0)": ("FinalTerm",),
+    "double": ("InterestRate", "FinalAPR", "SmallAPR", "LargeAPR", "SmallTerm", "LargeTerm"),
+    "bigint": ("task_refno", "Cifno", "SSNo"), "int": ("CreditScore",)}
+
+
+def read_apps_file(spark: SparkSession, paths, rules: R.FunnelRules) -> DataFrame:
+    """A5: apps table of exported files (CSV with a header, any column order).
+
+    Numbers that are none, the word for missing included, are missing;
+    ``ApplicationEnterDate`` is a date in MM/DD/YYYY or ISO form; missing
+    text keeps the file's spelling, and an empty one takes the profile's
+    word for missing.  Columns the file lacks are missing."""
+    files = read_delimited(spark, paths)
+    have = {c.lower(): c for c in files.columns}
+    kind = {c: t for t, cs in _APP_TYPES.items() for c in cs}
+    dates = ("MM/dd/yyyy", "M/d/yyyy", "yyyy-MM-dd")
+
+    def column(name: str):
+        src = F.col(f"`{have[name.lower()]}`") if name.lower() in have else F.lit(None).cast("string")
+        if name in kind:
+            return F.trim(src).try_cast(kind[name])
+        if name == "ApplicationEnterDate" or (name == "FundedDate" and not rules.funded_date_text):
+            return F.to_date(parse_dates(src, dates))
+        if name in ("LoanNumber", "TaskStatus", "FundedDate"):
+            return F.coalesce(src, F.lit(rules.null_text))
+        return F.coalesce(src, F.lit(rules.not_declined)) if name == "ReasonDeclined" else src
+
+    return files.select(*[column(c).alias(c) for c in SNAPSHOT_COLUMNS])

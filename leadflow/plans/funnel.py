@@ -109,8 +109,13 @@ def funnel_daily(best_leads: DataFrame, snapshot: DataFrame,
 def weekly_apps(snapshot: DataFrame, rules: R.FunnelRules) -> DataFrame:
     """Apps table of a weekly profile: workbook rendering, person key,
     date floor (B20: a missing date is below the floor), funded date."""
-    wb = app_workbook(snapshot, rules)
-    if rules.numeric_person_key:
+    return weekly_apps_of(app_workbook(snapshot, rules), rules)
+
+
+def weekly_apps_of(wb: DataFrame, rules: R.FunnelRules) -> DataFrame:
+    """``weekly_apps`` of the apps table as the weekly program reads it: the
+    rendered snapshot, or an apps file (``sources.files.read_apps_file``)."""
+    if rules.person_key == "number":
         wb = wb.withColumn("ssn", F.col("SSNo"))
     else:
         wb = wb.withColumn("ssn", canonical_id(F.col("SSNo").cast("string")))
@@ -123,10 +128,12 @@ def weekly_apps(snapshot: DataFrame, rules: R.FunnelRules) -> DataFrame:
     return wb.drop("lead_app")
 
 
-def weekly_rows(best_leads: DataFrame, apps: DataFrame,
-                rules: R.FunnelRules) -> DataFrame:
-    """weekly / weekly_v2: one row per (lead, app) with the DATA step's
-    flags, amounts and the carried-over prequal flag (C17, E4)."""
+def weekly_flagged(best_leads: DataFrame, apps: DataFrame,
+                   rules: R.FunnelRules) -> DataFrame:
+    """weekly / weekly_v2: one row per (lead, app) with the DATA step's own
+    flags and amounts (C17), before anything is carried over.  ``_pos`` is
+    the row's place in its person's applications, ``_prequal`` whether the
+    row itself sets the prequal flag."""
     m = match_merge(best_leads, apps, "ssn")
     D, A = F.col("LEADDATE"), F.col("ApplicationEnterDate")
     pre = (A.isNull() & D.isNotNull()) | F.coalesce(A < D, F.lit(False))
@@ -150,8 +157,6 @@ def weekly_rows(best_leads: DataFrame, apps: DataFrame,
         _flag(approve).alias("IS_APPROVE"),
         _flag(funded).alias("IS_FUNDED"),
     )
-    rows = sticky_flag(rows, ["ssn"], APP_ORDER_COLS,
-                       (F.col("LEAD_PREQUAL") == 1) | (F.col("IS_APPL") == 1), "IS_PREQUAL")
     amount_funded = zero_if_pre(F.col("FinalLoanAmount"), _zero2()).cast("decimal(18,2)")
     out = rows.select(
         "ssn", "CK_TRACKING_ID", "LEADDATE", "LEAD_SCORE", "PQ_DECISION",
@@ -159,7 +164,7 @@ def weekly_rows(best_leads: DataFrame, apps: DataFrame,
         zero_if_pre(A, F.lit(None).cast("date")).alias("ApplicationEnterDate"),
         zero_if_pre(F.col("FundedDate"), F.lit(None).cast("date")).alias("FundedDate"),
         F.lit(1).alias("ISPQAPP"),
-        "IS_PREQUAL", "IS_APPL", "IS_APPROVE", "IS_FUNDED",
+        "IS_APPL", "IS_APPROVE", "IS_FUNDED",
         F.col("AMT_APPLIED"),
         zero_if_pre(offer, _zero2()).cast("decimal(18,2)").alias("AMT_APPROVED"),
         zero_if_pre(fallback_offer("LargeTerm", "SmallTerm", True), F.lit(0.0)).alias("TERM_APPROVED"),
@@ -170,23 +175,49 @@ def weekly_rows(best_leads: DataFrame, apps: DataFrame,
         zero_if_pre(F.when(funded, F.col("FinalAPR")).otherwise(F.lit(0.0)), F.lit(0.0))
             .cast("double").alias("RATE_FUNDED"),
         "APP_BEFORE_LEAD",
+        F.struct(*APP_ORDER_COLS).alias("_pos"),
+        F.coalesce((F.col("LEAD_PREQUAL") == 1) | (F.col("IS_APPL") == 1), F.lit(False)).alias("_prequal"),
     ).withColumn("COST", cost_tier("AMOUNT_FUNDED", 0))
     return out
 
 
+def weekly_rows(best_leads: DataFrame, apps: DataFrame,
+                rules: R.FunnelRules) -> DataFrame:
+    """``weekly_flagged`` with the prequal flag carried over to every later
+    row of the person (E4)."""
+    rows = weekly_flagged(best_leads, apps, rules)
+    return sticky_flag(rows, ["ssn"], ["_pos"], F.col("_prequal"), "IS_PREQUAL").drop("_pos", "_prequal")
+
+
+_DETAIL_COLUMNS = ("CustomerType", "LoanStatus", "StatusCodes", "FinalLoanAmount", "SSNo")
+
+
 def best_outcome(rows: DataFrame, rules: R.FunnelRules) -> DataFrame:
     """One row per person - before-lead first (as written; 'intended'
     puts it last), then funded, then approved, then app order."""
-    intended = rules.mode == "intended"
-    out = rows
-    before = F.col("APP_BEFORE_LEAD").asc() if intended else F.col("APP_BEFORE_LEAD").desc()
-    best = best_per_key(out, ["ssn"], [before, F.col("IS_FUNDED").desc(),
-                                      F.col("IS_APPROVE").desc(), *app_order(desc=False)])
-    return best.drop("CustomerType", "LoanStatus", "StatusCodes",
-                     "FinalLoanAmount", "SSNo")
+    before = F.col("APP_BEFORE_LEAD").asc() if rules.mode == "intended" else F.col("APP_BEFORE_LEAD").desc()
+    best = best_per_key(rows, ["ssn"], [before, F.col("IS_FUNDED").desc(),
+                                        F.col("IS_APPROVE").desc(), *app_order(desc=False)])
+    return best.drop(*_DETAIL_COLUMNS)
 
 
 def funnel_weekly(best_leads: DataFrame, apps: DataFrame,
                   rules: R.FunnelRules) -> DataFrame:
-    """weekly / weekly_v2: per app row flags, carry-over, best outcome."""
-    return best_outcome(weekly_rows(best_leads, apps, rules), rules)
+    """weekly / weekly_v2: best outcome per person with the carried-over flag
+    (E4 and E6) in one aggregation.
+
+    Two minima per person: the best row, as a struct led by its rank, and the
+    first place whose row sets the prequal flag; the best row has the flag
+    if it is not before that place.  Both are partially aggregated below the
+    one exchange, so no person's rows - the missing key's included - come
+    together in one task."""
+    rows = weekly_flagged(best_leads, apps, rules)
+    before = F.col("APP_BEFORE_LEAD") if rules.mode == "intended" else -F.col("APP_BEFORE_LEAD")
+    rank = [before.alias("_1"), (-F.col("IS_FUNDED")).alias("_2"), (-F.col("IS_APPROVE")).alias("_3"),
+            F.struct(*APP_ORDER_COLS).alias("_4")]
+    payload = [c for c in rows.columns if c not in ("ssn", "_prequal", *_DETAIL_COLUMNS)]
+    per = rows.groupBy("ssn").agg(F.min(F.struct(*rank, *payload)).alias("w"),
+                                  F.min(F.when(F.col("_prequal"), F.col("_pos"))).alias("first"))
+    prequal = F.when(F.col("first").isNotNull() & (F.col("w._pos") >= F.col("first")), F.lit(1)).otherwise(F.lit(0))
+    return per.select("ssn", *[F.col(f"w.{c}").alias(c) for c in payload if c != "_pos"],
+                      prequal.alias("IS_PREQUAL"))

@@ -3,8 +3,9 @@
 ``daily_job``: newest + oldest lead file of a drop folder -> daily profile ->
 dated application snapshot (A7), partner feed (A8), frequency listing (D5).
 ``weekly_job``: lead files -> weekly profile -> partner feed, daily summary
-(A9) and weekly summary (D8).  Servicing relations come from the tables at
-``sf_dir`` (stand-ins); everything else is the same code the queries use.
+(A9) and weekly summary (D8).  Servicing relations are passed in, or derived
+from the tables at ``sf_dir`` (stand-ins).  Both write the rows they could
+not use, with a reason, and derive each intermediate table once.
 """
 
 from __future__ import annotations
@@ -14,30 +15,47 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from leadflow import rules as R
+from leadflow.plans.applications import read_apps_file
+from leadflow.plans.leads import lead_rejects
 from leadflow.plans.profile_run import Run
 from leadflow.plans.reports import (daily_summary, funnel_frequency,
                                     partner_feed, weekly_summary)
 from leadflow.plans.sinks import (write_partner_feed, write_snapshot,
                                   write_summary)
 from leadflow.sources.files import (list_files, newest_and_oldest,
-                                    read_lead_files)
+                                    read_lead_files, surplus_rows)
+from leadflow.sources.servicing import Servicing
+
+
+def write_rejects(spark: SparkSession, files, raw, rules: R.FunnelRules, path: str) -> None:
+    """Rows dropped by the reader (more fields than the header) and lead rows
+    with no person key or a bad amount, as JSON lines with file and reason."""
+    surplus_rows(spark, files).write.mode("overwrite").json(f"{path}/files")
+    lead_rejects(raw, rules).write.mode("overwrite").json(f"{path}/leads")
 
 
 def daily_job(spark: SparkSession, sf_dir: str, drop_folder: str, out_dir: str,
-              run_date: dt.date, rules: R.FunnelRules = R.PROFILES["daily"]) -> dict:
+              run_date: dt.date, rules: R.FunnelRules = R.PROFILES["daily"],
+              servicing: Servicing | None = None) -> dict:
+    """The snapshot is written first and read back, and the funnel is staged
+    once, so feed and frequency listing share one derivation."""
     files = newest_and_oldest(list_files(spark, drop_folder))
     raw = read_lead_files(spark, files, missing_text=R.PANDAS_MISSING_TEXT)
-    run = Run(spark, sf_dir, raw_leads=raw, rules=rules)
+    first = Run(spark, sf_dir, raw_leads=raw, rules=rules, servicing=servicing)
     out = {"files": files,
            "snapshot": f"{out_dir}/app_snapshot",
+           "rejects": f"{out_dir}/rejects_{run_date:%m%d%Y}",
            "frequency": f"{out_dir}/frequency_{run_date:%m%d%Y}"}
     try:
-        write_snapshot(run.snapshot, out["snapshot"], run_date)
-        out["feed"] = write_partner_feed(partner_feed(run.funnel), f"{out_dir}/feed", run_date)
-        (funnel_frequency(run.funnel).coalesce(1).write.mode("overwrite")
+        write_rejects(spark, files, raw, rules, out["rejects"])
+        write_snapshot(first.snapshot, out["snapshot"], run_date)
+        run = first.with_snapshot(read_snapshot(spark, out["snapshot"], run_date))
+        out["feed"] = write_partner_feed(partner_feed(run.staged_funnel), f"{out_dir}/feed", run_date, rules,
+                                         single_file=True)
+        (funnel_frequency(run.staged_funnel).coalesce(1).write.mode("overwrite")
          .option("header", True).csv(out["frequency"]))
     finally:
-        run.cleanup()          # outputs are written; staged pivots go
+        first.cleanup()          # outputs are written; staged pivots go
     return out
 
 
@@ -51,18 +69,25 @@ def read_snapshot(spark: SparkSession, path: str, run_date: dt.date):
 def weekly_job(spark: SparkSession, sf_dir: str, lead_paths, out_dir: str,
                run_date: dt.date, rules: R.FunnelRules = R.PROFILES["weekly"],
                snapshot_path: str | None = None,
-               snapshot_date: dt.date | None = None) -> dict:
-    """``snapshot_path``: read the apps from the daily job's snapshot of
-    ``snapshot_date`` (the weekly_v2 hand-off) instead of querying them."""
+               snapshot_date: dt.date | None = None,
+               servicing: Servicing | None = None, apps_files=None) -> dict:
+    """The apps come from ``apps_files`` (exported apps files), or from the
+    daily job's snapshot of ``snapshot_date`` at ``snapshot_path`` (the
+    weekly_v2 hand-off), or else from the servicing relations."""
     snap = read_snapshot(spark, snapshot_path, snapshot_date) if snapshot_path else None
-    run = Run(spark, sf_dir, raw_leads=read_lead_files(spark, list(lead_paths)), rules=rules,
-              snapshot=snap)
+    apps = read_apps_file(spark, apps_files, rules) if apps_files else None
+    files = list(lead_paths)
+    raw = read_lead_files(spark, files)
+    run = Run(spark, sf_dir, raw_leads=raw, rules=rules, snapshot=snap, servicing=servicing, apps=apps)
     out = {"summary": f"{out_dir}/summary_{run_date:%m%d%Y}",
+           "rejects": f"{out_dir}/rejects_{run_date:%m%d%Y}",
            "weekly_summary": f"{out_dir}/weekly_summary_{run_date:%m%d%Y}"}
     try:
-        out["feed"] = write_partner_feed(partner_feed(run.funnel), f"{out_dir}/feed", run_date)
-        write_summary(daily_summary(run.funnel), out["summary"])
-        (weekly_summary(run.funnel).orderBy("IS_TOTAL", "LEAD_WEEK").coalesce(1)
+        write_rejects(spark, files, raw, rules, out["rejects"])
+        funnel = run.staged_funnel
+        out["feed"] = write_partner_feed(partner_feed(funnel), f"{out_dir}/feed", run_date, rules, single_file=True)
+        write_summary(daily_summary(funnel), out["summary"])
+        (weekly_summary(funnel).orderBy("IS_TOTAL", "LEAD_WEEK").coalesce(1)
          .write.mode("overwrite").option("header", True).csv(out["weekly_summary"]))
     finally:
         run.cleanup()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadflow import rules as R
@@ -21,16 +21,32 @@ def partner_filter(df: DataFrame, partner: str | None) -> DataFrame:
     return df if partner is None else df.filter(F.col("irmpname") == F.lit(partner))
 
 
+def person_key(rules: R.FunnelRules) -> Column:
+    """B2/B2n: the lead's person key as its profile reads it.  ``number_text``
+    parses a number and writes it with 9 digits: text that is no number is a
+    missing key, a number of more digits keeps them all."""
+    number = canonical_id_numeric("applicant_ssn")
+    return {"text": canonical_id("applicant_ssn"), "number": number,
+            "number_text": canonical_id(number)}[rules.person_key]
+
+
+def lead_rejects(raw: DataFrame, rules: R.FunnelRules) -> DataFrame:
+    """The partner's lead rows that a profile cannot use as they are, with a
+    ``reject_reason``: no person key, or an amount that is no number."""
+    df = partner_filter(raw, rules.partner)
+    amount = col_("amt._fin.").cast("string")
+    reason = F.when(person_key(rules).isNull(), F.lit("no person key")).when(
+        (F.trim(amount) != "") & int_strict("amt._fin.").isNull(), F.lit("amount is not a number"))
+    return df.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull())
+
+
 def typed_leads(raw: DataFrame, rules: R.FunnelRules) -> DataFrame:
     """Normalised lead text columns -> typed lead rows of one profile."""
     df = partner_filter(raw, rules.partner)
-    if rules.numeric_person_key:
-        key = canonical_id_numeric("applicant_ssn")
-    else:
-        key = canonical_id("applicant_ssn")
+    key = person_key(rules)
     lead_ts = parse_dates("application_date")
     keep = [col_(c).cast("string").alias(c) for c in TEXT_COLUMNS if c in raw.columns]
-    if rules.name == "daily":
+    if not rules.sas:
         score = int_fill("applicant_credit_score")
         amount = int_strict("amt._fin.")
         lead_date = lead_ts
@@ -52,7 +68,7 @@ def typed_leads(raw: DataFrame, rules: R.FunnelRules) -> DataFrame:
         amount.alias("AMT_APPLIED"),
         F.lit("lead").alias("lead_app"),
     )
-    if rules.name != "daily":
+    if rules.sas:
         out = out.withColumn(
             "LEAD_PREQUAL", (sas_text("PQ_DECISION") == R.AUTO_APPROVED).cast("int"))
     return out

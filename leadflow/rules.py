@@ -54,18 +54,19 @@ class FunnelRules:
 
     name: str
     partner: str | None            # lead partner filter; None = no filter
-    numeric_person_key: bool       # weekly: key is a number, else 9-char text
+    person_key: str                # 'text' (9-char text), 'number', or
+                                   # 'number_text' (a number written as 9-char text)
     lead_order: str                # 'latest' (daily) or 'score' (weekly)
-    lead_date_as_day: bool         # weekly truncates the lead time to a day
-    missing_is_smallest: bool      # SAS: unmatched lead counts as before-lead
+    sas: bool                      # SAS data step: lead time cut to a day, missing
+                                   # values smallest, apps merged one to many
     loan_number_none: tuple        # loan-number texts meaning "no loan"
     not_declined: str | None       # decline-reason text meaning "not declined"
     null_text: str | None          # how the app workbook spells a missing text
     funded_date_text: bool         # funded date arrives as MM/DD/YYYY text
     app_date_floor: _dt.date | None
-    large_null_falls_back: bool    # weekly: large offer missing -> small offer
-    negative_amount_cost: int      # daily charges 125 on a negative amount
-    zero_before_lead_amounts: bool
+    feed_date_format: str          # dates of the delivered feed
+    feed_numbers: str              # 'two_decimals' or 'shortest'
+    funded_date_name: str          # the feed's name of the funded date
     mode: str = "faithful"
 
     def with_mode(self, mode: str) -> "FunnelRules":
@@ -81,23 +82,22 @@ class FunnelRules:
 
 
 DAILY = FunnelRules(
-    name="daily", partner="CreditPartner", numeric_person_key=False,
-    lead_order="latest", lead_date_as_day=False, missing_is_smallest=False,
+    name="daily", partner="CreditPartner", person_key="text",
+    lead_order="latest", sas=False,
     loan_number_none=(), not_declined=None, null_text="None",
-    funded_date_text=False, app_date_floor=None, large_null_falls_back=False,
-    negative_amount_cost=COST_LOW, zero_before_lead_amounts=False)
+    funded_date_text=False, app_date_floor=None, feed_date_format="yyyy-MM-dd",
+    feed_numbers="two_decimals", funded_date_name="FundedDate")
 
 WEEKLY = FunnelRules(
-    name="weekly", partner=None, numeric_person_key=True,
-    lead_order="score", lead_date_as_day=True, missing_is_smallest=True,
+    name="weekly", partner=None, person_key="number",
+    lead_order="score", sas=True,
     loan_number_none=("NULL", ""), not_declined="NULL", null_text="NULL",
     funded_date_text=True, app_date_floor=WEEKLY_APP_DATE_FLOOR,
-    large_null_falls_back=True, negative_amount_cost=0,
-    zero_before_lead_amounts=True)
+    feed_date_format="MM/dd/yyyy", feed_numbers="shortest", funded_date_name="FUNDDATE")
 
 WEEKLY_V2 = replace(
     WEEKLY, name="weekly_v2", partner="CreditPartner",
-    numeric_person_key=False, loan_number_none=("None", ""), not_declined="",
-    null_text="None", funded_date_text=False)
+    person_key="number_text", loan_number_none=("None", ""), not_declined="",
+    null_text="None", funded_date_text=False, funded_date_name="FundedDate")
 
 PROFILES = {p.name: p for p in (DAILY, WEEKLY, WEEKLY_V2)}

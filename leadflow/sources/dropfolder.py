@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadflow.sources.files import _hadoop_fs, path_exists
+from leadflow.sources.files import _hadoop_fs
 
 
 def csv_field(c: Column) -> Column:
@@ -26,14 +26,13 @@ def write_batched_files(lines: DataFrame, folder: str, header_line: str) -> str:
     file per batch date, header first, into ``folder/<yyyy-mm-dd>.csv``,
     and stamp each file's modification time with its date (newest batch =
     newest file).  One file per batch is the delivery unit; batches are
-    spread over tasks by the shuffle.  Idempotent: a finished folder holds
-    ``_DONE``.
+    spread over tasks by the shuffle.  ``folder`` must be a new one.
     """
     spark = lines.sparkSession
-    if path_exists(spark, f"{folder}/_DONE"):
-        return folder
     staging = f"{folder}/_staging"
-    keyed = lines.select(F.date_format("batch", "yyyy-MM-dd").alias("batch"), "value")
+    # lines leave as Latin-1 bytes, the encoding that deliveries have
+    latin = F.encode(F.col("value"), "ISO-8859-1").cast("string")
+    keyed = lines.select(F.date_format("batch", "yyyy-MM-dd").alias("batch"), latin.alias("value"))
     hdr = keyed.select("batch").distinct().select("batch", F.lit(0).alias("_o"),
                                                   F.lit(header_line).alias("value"))
     body = keyed.select("batch", F.lit(1).alias("_o"), "value")
@@ -53,8 +52,8 @@ def write_batched_files(lines: DataFrame, folder: str, header_line: str) -> str:
         for f in fs.listStatus(d.getPath()):
             if f.getPath().getName().startswith("part-"):
                 dst = jvm.org.apache.hadoop.fs.Path(f"{folder}/{day}.csv")
-                fs.rename(f.getPath(), dst)
+                if not fs.rename(f.getPath(), dst):
+                    raise OSError(f"cannot move {f.getPath()} to {dst}")
                 fs.setTimes(dst, ms, -1)
     fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
-    fs.create(jvm.org.apache.hadoop.fs.Path(f"{folder}/_DONE")).close()
     return folder

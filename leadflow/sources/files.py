@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,34 +29,63 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+RAW_COL = "_raw"
+
+
 def lenient_schema(header: Sequence[str]) -> T.StructType:
-    """All columns as text, plus one trailing catch-all for surplus fields."""
+    """All columns as text, one trailing column for a surplus field, and the
+    raw record of any row whose number of fields is not header + 1."""
     return T.StructType([T.StructField(c, T.StringType()) for c in header]
-                        + [T.StructField(EXTRA_COL, T.StringType())])
+                        + [T.StructField(EXTRA_COL, T.StringType()), T.StructField(RAW_COL, T.StringType())])
+
+
+def _records(spark: SparkSession, paths, header: Sequence[str], encoding: str, multi_line: bool) -> DataFrame:
+    return (spark.read.schema(lenient_schema(header))
+            .option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW_COL)
+            .option("encoding", encoding).option("multiLine", multi_line)
+            .option("escape", '"').option("enforceSchema", True)
+            .csv([paths] if isinstance(paths, str) else list(paths)))
+
+
+def _over_long(n_columns: int):
+    """Whether a record has more fields than columns.  The schema has one
+    column more than the header, so a row with exactly one surplus field
+    parses cleanly and has no raw record; any other row has one, and its
+    separators outside quotes are counted."""
+    unquoted = F.regexp_replace(F.col(RAW_COL), r'"(?:[^"]|"")*"', "")
+    fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
+    return F.col(EXTRA_COL).isNotNull() | F.col(RAW_COL).isNull() | (fields > n_columns)
 
 
 def read_lenient_csv(spark: SparkSession, paths, header: Sequence[str],
-                     encoding: str = "ISO-8859-1",
-                     with_file: bool = False) -> DataFrame:
+                     encoding: str = "ISO-8859-1", with_file: bool = False,
+                     multi_line: bool = True) -> DataFrame:
     """A2: Latin-1 CSV; over-long rows dropped, short rows padded with null.
 
-    PERMISSIVE mode with an explicit all-text schema plus one surplus column:
-    a row with a field too many fills ``_extra`` and is dropped, a short
-    row leaves its tail null.  (DROPMALFORMED would drop short rows too and
-    silently keeps bad rows under column pruning.)  Quotes are doubled as in
-    pandas output and quoted fields may span lines.
+    A row is over-long by its number of fields, also if the surplus ones are
+    empty; ``surplus_rows`` gives those rows.  (DROPMALFORMED would drop
+    short rows too and silently keeps bad rows under column pruning.)
+    Quotes are doubled as in pandas output.  ``multi_line``: quoted fields
+    may span lines, which makes each file one task; files without such
+    fields are better read with it off, in splits.
     """
-    if isinstance(paths, str):
-        paths = [paths]
-    df = (spark.read.schema(lenient_schema(header))
-          .option("header", True).option("mode", "PERMISSIVE")
-          .option("encoding", encoding).option("multiLine", True)
-          .option("escape", '"').option("enforceSchema", True)
-          .csv(list(paths)))
+    df = _records(spark, paths, header, encoding, multi_line)
     if with_file:
         df = df.withColumn("_file", F.col("_metadata.file_path")) \
                .withColumn("_mtime", F.col("_metadata.file_modification_time"))
-    return df.filter(F.col(EXTRA_COL).isNull()).drop(EXTRA_COL)
+    return df.filter(~_over_long(len(header))).drop(EXTRA_COL, RAW_COL)
+
+
+def surplus_rows(spark: SparkSession, paths, encoding: str = "ISO-8859-1", multi_line: bool = True) -> DataFrame:
+    """file, reject_reason, record: the over-long rows of the files."""
+    empty = spark.createDataFrame([], "file string, reject_reason string, record string")
+    for header, group in by_header(spark, paths, encoding).items():
+        df = _records(spark, group, header, encoding, multi_line).withColumn("file", F.col("_metadata.file_path"))
+        joined = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in (*header, EXTRA_COL)])
+        empty = empty.unionByName(df.filter(_over_long(len(header))).select(
+            "file", F.lit("more fields than the header").alias("reject_reason"),
+            F.coalesce(F.col(RAW_COL), joined).alias("record")))
+    return empty
 
 
 def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
@@ -95,44 +123,55 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _hadoop_fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def safe_name(s: str) -> str:
-    return re.sub(r"[^A-Za-z0-9_.-]+", "_", s)
-
-
 def read_header(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> list[str]:
-    """The header fields of one delimited file (its first record only)."""
+    """The header fields of one delimited file (its first line only)."""
     import csv
     import io
+    jvm = spark.sparkContext._jvm
     fs, p = _hadoop_fs(spark, path)
-    stream = fs.open(p)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), encoding))
     try:
-        raw = bytearray()
-        while True:
-            b = stream.read()
-            if b < 0 or b == 10:
-                break
-            raw.append(b)
+        line = reader.readLine()
     finally:
-        stream.close()
-    return next(csv.reader(io.StringIO(raw.decode(encoding).rstrip("\r"))))
+        reader.close()
+    return next(csv.reader(io.StringIO(line)), []) if line else []
+
+
+def by_header(spark: SparkSession, paths: Sequence[str],
+              encoding: str = "ISO-8859-1") -> dict[tuple[str, ...], list[str]]:
+    """The files by their header: files with the same one are one scan."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for p in [paths] if isinstance(paths, str) else paths:
+        header = tuple(read_header(spark, p, encoding))
+        if header:
+            groups.setdefault(header, []).append(p)
+    return groups
+
+
+def read_delimited(spark: SparkSession, paths: Sequence[str], encoding: str = "ISO-8859-1",
+                   multi_line: bool = True) -> DataFrame:
+    """Files read leniently, each by its own header, joined by column name."""
+    groups = by_header(spark, paths, encoding)
+    if not groups:
+        raise ValueError(f"no file with a header among {paths}")
+    return union_by_name([read_lenient_csv(spark, group, header, encoding, multi_line=multi_line)
+                          for header, group in groups.items()])
 
 
 def read_lead_files(spark: SparkSession, paths: Sequence[str],
-                    missing_text: Sequence[str] | None = None) -> DataFrame:
+                    missing_text: Sequence[str] | None = None, with_file: bool = False) -> DataFrame:
     """A2-A4 as the reference does them: each file read leniently with its
     own header, headers normalised, files concatenated by column name.
 
     ``missing_text``: field values read as missing (B10); the daily program's
     pandas reader treats its default NA strings so, the SAS import does not.
+    ``with_file`` adds ``_source_file``.
     """
-    frames = [normalise_headers(read_lenient_csv(spark, p, read_header(spark, p))) for p in paths]
+    frames = [normalise_headers(read_lenient_csv(spark, group, header, with_file=with_file))
+              for header, group in by_header(spark, paths).items()]
     df = union_by_name(frames)
     if missing_text:
         from leadflow.functions import sentinel_to_null
-        df = df.select(*[sentinel_to_null(c, missing_text, trim=False).alias(c) for c in df.columns])
-    return df
+        df = df.select(*[sentinel_to_null(c, missing_text, trim=False).alias(c)
+                         if c not in ("_file", "_mtime") else F.col(c) for c in df.columns])
+    return df.withColumnRenamed("_file", "_source_file").drop("_mtime") if with_file else df

@@ -15,19 +15,17 @@ Role mapping:
 * balances, statuses  - lineitem
 
 Code tables (task status, workflow action/result, loan status) are fixed
-literal lookups of a handful of rows: their size bound is known, so they
-are safe to broadcast.
+rows here; the plans join them like any other relation.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
-
 import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadflow.sources.servicing import Servicing
 from leadflow.sources.tables import Tables
 
 # Fixed values of the stand-in data set.
@@ -53,7 +51,7 @@ LEAD_FILE_HEADER = ("IRMPName", "Applicant SSN", "IRPID", "Application Number",
 
 
 def code_table(spark: SparkSession, rows, key: str, value: str) -> DataFrame:
-    """A fixed lookup table (a few rows; broadcast-safe by construction)."""
+    """A fixed lookup table of a few rows."""
     return spark.createDataFrame(list(rows), f"{key} int, {value} string")
 
 
@@ -257,36 +255,11 @@ def loan_status_codes(spark: SparkSession) -> DataFrame:
     return code_table(spark, LOAN_STATUS_CODES, "status_code_no", "status_code")
 
 
-class Servicing:
-    """All servicing relations of one data set, built lazily.
-
-    The four code tables are fixed (code, text) pairs here; the plans use
-    them as CASE lookups.  Relations are memoised per instance so one plan
-    references one DataFrame per relation.
-    """
-
-    def __init__(self, t: Tables, scope: str | None = None):
-        self.t, self.spark = t, t.spark
-        self.scope = scope          # staging scope of the run using these
-
-    task_status_pairs = TASK_STATUS_CODES
-    workflow_action_pairs = WORKFLOW_ACTIONS
-    workflow_result_pairs = WORKFLOW_RESULTS
-    loan_status_pairs = LOAN_STATUS_CODES
-
-    cif = cached_property(lambda s: cif(s.t))
-    borrower = cached_property(lambda s: borrower(s.t))
-    cif_detail = cached_property(lambda s: cif_detail(s.t))
-    tmr = cached_property(lambda s: tmr(s.t))
-    task = cached_property(lambda s: task(s.t))
-    task_detail = cached_property(lambda s: task_detail(s.t))
-    loanacct = cached_property(lambda s: loanacct(s.t))
-    loanacct_detail = cached_property(lambda s: loanacct_detail(s.t))
-    loanacct_setup = cached_property(lambda s: loanacct_setup(s.t))
-    loanacct_statuses = cached_property(lambda s: loanacct_statuses(s.t))
-    task_routing_history = cached_property(lambda s: task_routing_history(s.t))
-    aged_balance = cached_property(lambda s: aged_balance(s.t))
-    task_status_codes = cached_property(lambda s: task_status_codes(s.spark))
-    workflow_action = cached_property(lambda s: workflow_action(s.spark))
-    workflow_result = cached_property(lambda s: workflow_result(s.spark))
-    loan_status_codes = cached_property(lambda s: loan_status_codes(s.spark))
+def stand_in_servicing(t: Tables) -> Servicing:
+    """All servicing relations of one data set, derived from the driver's
+    tables; one plan references one DataFrame per relation."""
+    data = {f.__name__: f(t) for f in (
+        cif, borrower, cif_detail, tmr, task, task_detail, loanacct, loanacct_detail, loanacct_setup,
+        loanacct_statuses, task_routing_history, aged_balance)}
+    codes = {f.__name__: f(t.spark) for f in (task_status_codes, workflow_action, workflow_result, loan_status_codes)}
+    return Servicing(**data, **codes)

@@ -9,20 +9,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
-_READS: dict = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table; Catalyst prunes columns and pushes filters into it.
-
-    The DataFrame (a plan, not data) is memoised per Spark application, so
-    repeated plans over the same table do not list and read its footer
-    again."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    Read anew for each plan, so a rewritten table is seen."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:

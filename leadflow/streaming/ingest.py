@@ -18,35 +18,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadflow.sources.files import EXTRA_COL, lenient_schema, normalise_name
+from leadflow.sources.files import read_lead_files
 
 
-def ingest_lead_files(spark: SparkSession, folder: str, header: Sequence[str],
-                      history_path: str, checkpoint: str,
-                      archive_dir: str | None = None,
-                      max_files_per_trigger: int = 64) -> DataFrame:
+def ingest_lead_files(spark: SparkSession, folder: str, history_path: str, checkpoint: str,
+                      archive_dir: str | None = None, max_files_per_trigger: int = 64,
+                      missing_text: Sequence[str] | None = None) -> DataFrame:
     """Run the stream until every file present now is processed
-    (``availableNow``), then return the lead history table."""
-    reader = (spark.readStream.schema(lenient_schema(header))
-              .option("header", True).option("mode", "PERMISSIVE")
-              .option("encoding", "ISO-8859-1").option("multiLine", True)
-              .option("escape", '"').option("maxFilesPerTrigger", max_files_per_trigger))
+    (``availableNow``), then return the lead history table.
+
+    The stream says which files are new; each micro-batch reads its files
+    (``max_files_per_trigger`` at most) with the batch reader, every file by
+    its own header, so stream and batch give the same rows.  A column that
+    some files lack is null in theirs."""
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    stream = (reader.csv(folder)
-              .filter(F.col(EXTRA_COL).isNull()).drop(EXTRA_COL)
-              .withColumn("_source_file", F.col("_metadata.file_path")))
-    stream = stream.toDF(*[normalise_name(c) for c in stream.columns])
+    arrivals = reader.text(folder).select(F.col("_metadata.file_path").alias("file"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("_batch_id", F.lit(batch_id))
-         .write.mode("overwrite").parquet(f"{history_path}/_batch_id={batch_id}"))
+        files = sorted(r.file for r in batch.distinct().collect())     # names of one batch's files
+        if files:
+            (read_lead_files(spark, files, missing_text, with_file=True)
+             .write.mode("overwrite").parquet(f"{history_path}/_batch_id={batch_id}"))
 
-    q = (stream.writeStream.foreachBatch(write_batch)
+    q = (arrivals.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(history_path)
+    return spark.read.option("mergeSchema", True).parquet(history_path)
 
 
 def best_leads_from_history(history: DataFrame, rules) -> DataFrame:

@@ -93,3 +93,25 @@ def test_code_lookup(spark):
     got = one(spark, "c int", [(1,), (2,), (9,)], L.code_lookup("c", ((1, "A"), (2, "B'x"))),
               L.code_lookup(F.col("c"), ((1, "A"), (2, "B'x"))))
     assert got == [("A", "A"), ("B'x", "B'x"), (None, None)]
+
+
+def test_bad_numbers_never_raise(spark):
+    rows = [("NaN",), ("Infinity",), ("1" * 30,), ("99999999999",), ("123.0",), (" 7 ",), ("",), (None,)]
+    got = one(spark, "s string", rows, L.canonical_id_numeric("s"), L.int_fill("s"), L.int_strict("s"),
+              L.canonical_id(L.canonical_id_numeric("s")))
+    assert got == [(None, 0, None, None), (None, 0, None, None), (None, 0, None, None),
+                   (99999999999, 0, None, "99999999999"), (123, 123, 123, "000000123"), (7, 7, 7, "000000007"),
+                   (None, 0, None, None), (None, 0, None, None)]
+
+
+def test_dates_do_not_depend_on_the_zone(spark):
+    import datetime as dt
+    rows = [("3/12/2017 2:30",), ("2017-03-12T02:30:00",), ("13/1/2017",), ("2/30/2017",), ("3/12/2017 25:00",)]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = [r[0] for r in one(spark, "s string", rows, L.parse_dates("s").cast("string"))]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == ["2017-03-12 02:30:00", "2017-03-12 02:30:00", None, None, None]
+    assert dt.datetime.fromisoformat(got[0]) == dt.datetime(2017, 3, 12, 2, 30)

@@ -68,3 +68,26 @@ def test_read_lead_files_missing_text(spark, tmpdir_path):
     assert got == [("123", "1", None), ("124", "2", None), (None, "3", None)]
     kept = sorted(tuple(r) for r in read_lead_files(spark, [p1]).collect())
     assert kept == [("123", "1", "NA"), ("124", "2", "NULL")]
+
+
+def test_over_long_rows_by_number_of_fields(spark, tmpdir_path):
+    from leadflow.sources.files import surplus_rows
+    p = os.path.join(tmpdir_path, "a.csv")
+    write(p, 'a,b\n1,2\n3,4,\n5,6,,\n7\n"8,""x""\n9","y"\n10,11,12\n13,14,15,16\n"17,18",\n')
+    df = read_lenient_csv(spark, p, ["a", "b"])
+    want = [("1", "2"), ("17,18", None), ("7", None), ('8,"x"\n9', "y")]
+    assert sorted(tuple(r) for r in df.collect()) == want
+    assert df.select("b").count() == len(want)                    # pruned columns change nothing
+    assert sorted(r.b or "" for r in df.select("b").collect()) == ["", "", "2", "y"]
+    bad = surplus_rows(spark, [p]).collect()
+    assert len(bad) == 4 and {r.record.split(",")[0] for r in bad} == {"3", "5", "10", "13"}
+    assert all(r.file.endswith("a.csv") and r.reject_reason for r in bad)
+
+
+def test_files_of_one_header_are_one_scan(spark, tmpdir_path):
+    from leadflow.sources.files import by_header
+    for i, h in enumerate(["a,b", "b,a", "a,b"]):
+        write(os.path.join(tmpdir_path, f"{i}.csv"), h + "\n1,2\n")
+    write(os.path.join(tmpdir_path, "empty.csv"), "")
+    groups = by_header(spark, [os.path.join(tmpdir_path, n) for n in ("0.csv", "1.csv", "2.csv", "empty.csv")])
+    assert {k: len(v) for k, v in groups.items()} == {("a", "b"): 2, ("b", "a"): 1}

@@ -7,7 +7,10 @@ from decimal import Decimal as D
 
 
 from leadflow import rules as R
-from leadflow.plans.funnel import best_outcome, funnel_daily, weekly_rows
+from pyspark.sql import functions as F
+
+from leadflow.plans.funnel import (best_outcome, funnel_daily, funnel_weekly,
+                                   weekly_rows)
 
 LEAD_TS = dt.datetime(2020, 1, 10, 9, 30)
 DATES = {"before": dt.date(2020, 1, 5), "same": dt.date(2020, 1, 10), "after": dt.date(2020, 1, 15)}
@@ -244,6 +247,8 @@ def test_weekly_truth_table(spark):
             rows = weekly_rows(ldf, adf, rules)
             per_row = {(r["ssn"], r["task_refno"]): r.asDict() for r in rows.collect()}
             best = {r["ssn"]: r.asDict() for r in best_outcome(rows, rules).collect()}
+            at_once = {r["ssn"]: r.asDict() for r in funnel_weekly(ldf, adf, rules).collect()}
+            assert best == at_once                      # one aggregate gives the same rows
             bad = []
             for lead in leads:
                 exp_rows, exp_best = weekly_model(lead, by_person.get(lead["ssn"]), rules)
@@ -261,3 +266,19 @@ def test_weekly_truth_table(spark):
             assert any(r["APP_BEFORE_LEAD"] == 1 for r in rs) and any(r["IS_FUNDED"] == 1 for r in rs)
             carried = [k for k, r in per_row.items() if r["IS_PREQUAL"] == 1 and r["IS_APPL"] == 0]
             assert carried                              # carry-over (E4) happens
+
+
+def test_weekly_missing_key_and_exchanges(spark):
+    """The missing key is one person like any other, and after the match
+    join one exchange gives flag and best row."""
+    rules = R.PROFILES["weekly"]
+    leads, _, ldf, adf = _weekly_case(spark, rules)
+    none = lambda df: df.withColumn("ssn", F.when(F.col("ssn") < "000000040", F.col("ssn")))
+    one_lead = none(ldf).dropDuplicates(["ssn"])
+    apps = none(adf)
+    rows = weekly_rows(one_lead, apps, rules)
+    want = {r["ssn"]: r.asDict() for r in best_outcome(rows, rules).collect()}
+    got = funnel_weekly(one_lead, apps, rules)
+    assert {r["ssn"]: r.asDict() for r in got.collect()} == want and None in want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan.split("Aggregate")[0]
