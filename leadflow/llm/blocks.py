@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadflow.llm.common import stage_by_key
 from leadflow.operators.stage import stage
 
 BLOCK_WORDS = 1 << 20       # words after which a block is closed (a longer text is a block of its own)
@@ -101,11 +102,12 @@ def _encode(lower: bool, block_words: int):
 
 def word_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lower: bool = False,
                 block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Block table of the documents, written to the shared folder.  ``lower``
+    """Block table of the documents, written to the shared folder in buckets
+    of the block number, so that answers come to the blocks.  ``lower``
     maps A-Z to a-z.  Words are maximal runs outside ``[\\x20\\x09-\\x0D]``;
     a null text has none."""
     d = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return stage(d.mapInArrow(_encode(lower, block_words), BLOCK_SCHEMA), "word_blocks")
+    return stage_by_key(d.mapInArrow(_encode(lower, block_words), BLOCK_SCHEMA), "word_blocks", "block")
 
 
 @dataclass

@@ -5,12 +5,14 @@ Words everywhere are maximal runs of characters outside ``[\\x20\\x09-\\x0D]``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadflow.operators.stage import stage
+from leadflow.session import scratch_path
 
 WORD_SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -34,6 +36,20 @@ def stage_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def stage_by_key(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``df`` written to the shared folder in buckets of ``key``, as many as
+    the session has reducers, and read back: joins on ``key`` then shuffle
+    only their other side.  The table name serves to declare the buckets and
+    is given up at once; the files stay like those of ``stage``."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    (df.write.bucketBy(stage_parallelism(spark), key).option("path", scratch_path(spark, "stage", table))
+     .saveAsTable(table))
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")        # an external table: its files are kept
+    return out
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
                          max_rounds: int = 60) -> DataFrame:
     """(node, comp): the smallest node reachable over undirected ``edges``.

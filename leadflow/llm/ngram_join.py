@@ -405,7 +405,9 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
                  "nj_candidates")
     # representatives that share a first shingle: each with the least of them
     at = cand.select("uid", F.explode("first").alias("t"))
-    least = at.groupBy("t").agg(F.min("uid").alias("m"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # (written first, so the rows of a frequent shingle can be split in the join)
+    least = stage(at.groupBy("t").agg(F.min("uid").alias("m"), F.count(F.lit(1)).alias("n")).filter("n > 1"),
+                  "nj_least")
     near = at.join(least, "t").filter("uid <> m").select(F.col("uid").alias("src"), F.col("m").alias("dst")).distinct()
     cluster = connected_components(near)
     members = cand.join(cluster, cand["uid"] == cluster["node"]).select(
@@ -431,8 +433,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     documents of their own.  Shingles are compared by 64 bits of hash.  Empty
     input gives an empty result; only the id and text columns are read."""
     rows = stage(_classes(docs, id_col, text_col, shingle, percent), "nj_rows")
-    least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(least, "root").select("doc_id", "n_shingles", "component_id")
+    # written, so that the join below has a plain exchange on either side and
+    # the rows of a large class can be split over tasks
+    least = stage(rows.groupBy("root").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+                  .filter("n > 1").drop("n"), "nj_least")
+    return rows.join(least, "root", "left").select(
+        "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
