@@ -5,12 +5,15 @@ many words.  A window and a template that agree in one band of MinHash values
 become a candidate; the number of bands is chosen so that a window with the
 least similarity that can matter is missed with probability ``MISS`` at most.
 A candidate counts when the window holds at least ``containment`` of the
-template's shingles, counted exactly.
+template's shingles, counted exactly.  Windows with fewer shingles of a
+length's templates than that, repeats included, cannot count and are left
+out before any MinHash value is taken.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from math import ceil, log
@@ -23,13 +26,30 @@ from pyspark.sql import functions as F
 
 from leadflow.llm.blocks import Block, fold, windows, word_blocks
 
-# Short license notices as they stand in texts.
+_GNU = ("free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free "
+        "Software Foundation, either version {1} of the License")
+_GNU_ONLY = "GNU {0} version {1} as published"
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted "
+        "provided that the following conditions are met")
+_BSD_TWO = (_BSD + ": 1. Redistributions of source code must retain the above copyright notice, this list of conditions "
+            "and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+            "this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+            "with the distribution.")
+_BSD_NAMES = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+              "promote products derived from this software without specific prior written permission.")
+_CC = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+_FEE = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted")
+_SPDX = ("0BSD", "AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "BSL-1.0", "CC-BY-4.0",
+         "CC-BY-NC-4.0", "CC-BY-NC-SA-4.0", "CC-BY-ND-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-1.0", "EPL-2.0", "GPL-2.0",
+         "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-1.1", "MPL-2.0", "Unlicense", "WTFPL", "Zlib")
+
+# One-line notices, usual notices, titles and distinguishing clauses.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("All-Rights-Reserved", "All rights reserved."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                     "provided that the following conditions are met"),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("BSD-3-Clause", _BSD),
+    ("CC-BY-4.0", _CC.format("")),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -37,6 +57,59 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
             "associated documentation files"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("0BSD", _FEE + '. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES'),
+    ("AGPL-3.0", _GNU.format("Affero General Public License", "3")),
+    ("AGPL-3.0", _GNU_ONLY.format("Affero General Public License", "3")),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("BSD-2-Clause", _BSD_TWO),
+    ("BSD-3-Clause", _BSD_TWO + " 3. " + _BSD_NAMES),
+    ("BSD-3-Clause", _BSD_NAMES),
+    ("BSD-4-Clause", _BSD_TWO + " 3. All advertising materials mentioning features or use of this software must display "
+                     "the following acknowledgement: This product includes software developed by the organization. 4. "
+                     + _BSD_NAMES),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the "
+                "software and accompanying documentation covered by this license"),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-NC-4.0", _CC.format("-NonCommercial")),
+    ("CC-BY-NC-SA-4.0", _CC.format("-NonCommercial-ShareAlike")),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-ND-4.0", _CC.format("-NoDerivatives")),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-SA-4.0", _CC.format("-ShareAlike")),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    ("EPL-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License v1.0 which accompanies this distribution"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License 2.0 which is available at"),
+    ("GPL-2.0", _GNU.format("General Public License", "2")),
+    ("GPL-2.0", _GNU_ONLY.format("General Public License", "2")),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", _GNU.format("General Public License", "3")),
+    ("GPL-3.0", _GNU_ONLY.format("General Public License", "3")),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("ISC", _FEE + ", provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1", _GNU.format("Lesser General Public License", "2.1")),
+    ("LGPL-2.1", _GNU_ONLY.format("Lesser General Public License", "2.1")),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", _GNU.format("Lesser General Public License", "3")),
+    ("LGPL-3.0", _GNU_ONLY.format("Lesser General Public License", "3")),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("MIT", "Licensed under the MIT License."),
+    ("MPL-1.1", 'The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License"); you may '
+                "not use this file except in compliance with the License."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("WTFPL", "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE"),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors "
+             "be held liable for any damages arising from the use of this software."),
+    *((name, f"SPDX-License-Identifier: {name}{end}") for name in _SPDX
+      for end in (("", "-only", "-or-later", "+") if "GPL" in name else ("",))),
 )
 SHINGLE = 2
 CONTAINMENT = 0.8
@@ -63,12 +136,15 @@ def bands_for(similarity: float, rows: int = ROWS, miss: float = MISS) -> int:
     return 1 if similarity >= 1 else ceil(log(miss) / log(1 - similarity ** rows))
 
 
-def least_similarity(length: int, containment: float = CONTAINMENT, shingle: int = SHINGLE) -> float:
+def least_similarity(length: int, containment: float = CONTAINMENT, shingle: int = SHINGLE,
+                     distinct: int | None = None) -> float:
     """Least Jaccard similarity of a window of ``length`` words that holds
-    ``containment`` of the shingles of a template as long."""
+    ``containment`` of the shingles of a template as long, ``distinct`` of
+    them (all, if not given)."""
     n = max(1, length - shingle + 1)
-    inside = ceil(containment * n)
-    return inside / (2 * n - inside)
+    m = n if distinct is None else distinct
+    inside = ceil(containment * m)
+    return inside / (n + m - inside)
 
 
 @dataclass(frozen=True)
@@ -80,6 +156,8 @@ class TemplateClass:
     bands: int
     names: list[str]
     sets: list[np.ndarray]          # sorted distinct shingle hashes
+    needed: int                     # shingles that the least demanding of them needs
+    known: np.ndarray               # sorted distinct shingle hashes of all of them
     keys: list[dict[int, list[int]]]  # per band: key -> templates
 
 
@@ -118,14 +196,29 @@ def compile_templates(templates: Sequence[tuple[str, str]] = TEMPLATES, containm
     out = []
     for length, group in sorted(by_length.items()):
         k = min(SHINGLE, length)
-        bands = bands_for(least_similarity(length, containment, k), rows)
-        sets, keys = [], [{} for _ in range(bands)]
-        for i, (_, ws) in enumerate(group):
-            sh = windows(_hashes(ws), k)
-            sets.append(np.unique(sh))
+        runs = [windows(_hashes(ws), k) for _, ws in group]
+        sets = [np.unique(sh) for sh in runs]
+        few = min(map(len, sets))
+        bands = bands_for(least_similarity(length, containment, k, few), rows)
+        keys = [{} for _ in range(bands)]
+        for i, sh in enumerate(runs):
             for band, key in zip(keys, _band_keys(sh, len(sh), bands, rows)):
                 band.setdefault(int(key[0]), []).append(i)
-        out.append(TemplateClass(length, k, bands, [n for n, _ in group], sets, keys))
+        out.append(TemplateClass(length, k, bands, [n for n, _ in group], sets, max(1, ceil(containment * few - 1e-9)),
+                                 np.unique(np.concatenate(sets)), keys))
+    return out
+
+
+def rivals(classes: list[TemplateClass]) -> dict[tuple[int, int], set[tuple[int, int]]]:
+    """Per template (class, number): the templates of other licenses that hold
+    half of its shingles, or of which it holds half."""
+    all_ = [((i, t), c.shingle, c.names[t], c.sets[t]) for i, c in enumerate(classes) for t in range(len(c.sets))]
+    out: dict[tuple[int, int], set[tuple[int, int]]] = {at: set() for at, *_ in all_}
+    for n, (at, k, name, x) in enumerate(all_):
+        for other, k2, name2, y in all_[:n]:
+            if k == k2 and name != name2 and 2 * len(np.intersect1d(x, y)) >= min(len(x), len(y)):
+                out[at].add(other)
+                out[other].add(at)
     return out
 
 
@@ -137,7 +230,56 @@ def _contained(template: np.ndarray, run: np.ndarray) -> int:
     return int(np.isin(template, run).sum())
 
 
-def _scan(classes: list[TemplateClass], containment: float, rows: int):
+def _candidates(c: TemplateClass, sh: np.ndarray, room: np.ndarray, rows: int) -> set[tuple[int, int]]:
+    """Window starts and templates of one length that agree in a band."""
+    width = c.length - c.shingle + 1
+    if len(sh) < width:
+        return set()
+    near = c.known[np.minimum(np.searchsorted(c.known, sh), len(c.known) - 1)] == sh
+    held = np.concatenate([[0], np.cumsum(near)])
+    starts = np.flatnonzero((held[width:] - held[:-width] >= c.needed)
+                            & (room[:len(sh) - width + 1] >= c.length))      # the window ends inside its document
+    if not len(starts):
+        return set()
+    edge = np.zeros(len(sh) + 1, np.int64)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + width, -1)
+    inside = np.cumsum(edge[:-1]) > 0                # shingles of those windows, pushed together
+    place = (np.cumsum(inside) - 1)[starts]
+    out = set()
+    for key, wanted in zip(_band_keys(sh[inside], width, c.bands, rows), c.keys):
+        found = key[place]
+        for i in np.flatnonzero(np.isin(found, np.array(list(wanted), np.uint64))).tolist():
+            out.update((int(starts[i]), t) for t in wanted[int(found[i])])
+    return out
+
+
+def _unrivalled(hits: list[tuple], classes: list[TemplateClass], rival: dict) -> list[tuple]:
+    """Hits (start, class, template, shingles held) without those of which a
+    rival holds more at the same place: windows that overlap by more than
+    half of the shorter one; of as many shingles the greater share wins."""
+    hits = sorted(hits)
+    starts = [h[0] for h in hits]
+    most = max((c.length for c in classes), default=0)
+    share = lambda h: h[3] / len(classes[h[1]].sets[h[2]])
+    out = []
+    for h in hits:
+        mine, size = rival[h[1], h[2]], classes[h[1]].length
+        beaten = False
+        if mine:
+            for o in hits[bisect_left(starts, h[0] - most):bisect_left(starts, h[0] + size)]:
+                if (o[1], o[2]) in mine and (o[3], share(o)) > (h[3], share(h)):
+                    other = classes[o[1]].length
+                    overlap = min(h[0] + size, o[0] + other) - max(h[0], o[0])
+                    if 2 * overlap > min(size, other):
+                        beaten = True
+                        break
+        if not beaten:
+            out.append(h)
+    return out
+
+
+def _scan(classes: list[TemplateClass], containment: float, rows: int, rival: dict | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -145,22 +287,23 @@ def _scan(classes: list[TemplateClass], containment: float, rows: int):
                 h = _hashes([plain(w) for w in b.vocabulary])[b.codes]
                 room, doc = b.room(), b.doc_of_word()
                 start = np.cumsum(b.sizes) - b.sizes
-                best: dict[tuple[int, str], tuple[float, int]] = {}
-                for c in classes:
-                    sh = windows(h, c.shingle)
+                shingles = {k: windows(h, k) for k in {c.shingle for c in classes}}
+                hits = []
+                for i, c in enumerate(classes):
+                    sh = shingles[c.shingle]
                     width = c.length - c.shingle + 1
-                    if len(sh) < width:
-                        continue
-                    fits = room[:len(sh) - width + 1] >= c.length      # the window ends inside its document
-                    for key, wanted in zip(_band_keys(sh, width, c.bands, rows), c.keys):
-                        for at in np.flatnonzero(np.isin(key, np.array(list(wanted), np.uint64)) & fits).tolist():
-                            for t in wanted[int(key[at])]:
-                                share = _contained(c.sets[t], sh[at:at + width]) / len(c.sets[t])
-                                if share >= containment:
-                                    d = int(doc[at])
-                                    found = (-share, at - int(start[d]))
-                                    if found < best.get((d, c.names[t]), (1.0, 0)):
-                                        best[d, c.names[t]] = found
+                    for at, t in _candidates(c, sh, room, rows):
+                        held = _contained(c.sets[t], sh[at:at + width])
+                        if held / len(c.sets[t]) >= containment:
+                            hits.append((at, i, t, held))
+                if rival is not None:
+                    hits = _unrivalled(hits, classes, rival)
+                best: dict[tuple[int, str], tuple[float, int]] = {}
+                for at, i, t, held in hits:
+                    d, c = int(doc[at]), classes[i]
+                    found = (-(held / len(c.sets[t])), at - int(start[d]))
+                    if found < best.get((d, c.names[t]), (1.0, 0)):
+                        best[d, c.names[t]] = found
                 if best:
                     yield pa.RecordBatch.from_arrays([
                         pa.array([b.doc_ids[d] for d, _ in best], pa.int64()), pa.array([n for _, n in best], pa.string()),
@@ -170,7 +313,7 @@ def _scan(classes: list[TemplateClass], containment: float, rows: int):
 
 
 def license_scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT,
-                 rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text", best_only: bool = False) -> DataFrame:
     """doc_id, license, first_word, containment: one row per document and
     license whose template one of its windows holds.
 
@@ -179,9 +322,13 @@ def license_scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLAT
     without marks at their ends.  Texts shorter than a template cannot hold
     it; null and empty texts give no row; rows that share an id, or have
     none, are scanned each and give rows of their own; no documents or no
-    templates give no rows.  Only the id and text columns are read."""
+    templates give no rows.  Only the id and text columns are read.
+
+    Notices of related licenses differ in a word or two, so a text holds
+    enough of several.  With ``best_only`` a place counts only for the one of
+    related templates (``rivals``) that it holds most of."""
     classes = compile_templates(templates, containment, rows)
     blocks = word_blocks(docs, id_col, text_col)
-    found = blocks.mapInArrow(_scan(classes, containment, rows),
+    found = blocks.mapInArrow(_scan(classes, containment, rows, rivals(classes) if best_only else None),
                               "doc_id long, license string, first_word long, containment double")
     return found.select("doc_id", "license", "first_word", F.round("containment", 6).alias("containment"))

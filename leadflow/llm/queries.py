@@ -88,4 +88,4 @@ def op1(spark: SparkSession, d: str) -> DataFrame:
 @query("op9_license_scan")
 def op9(spark: SparkSession, d: str) -> DataFrame:
     from leadflow.llm.license_scan import license_scan
-    return license_scan(table(spark, d, "documents"))
+    return license_scan(table(spark, d, "documents"), best_only=True)

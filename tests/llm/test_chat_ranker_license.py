@@ -169,3 +169,63 @@ def test_license_scan(spark):
     assert (1 - s ** 2) ** bands_for(s) <= 1e-4 < (1 - s ** 2) ** (bands_for(s) - 1)
     with pytest.raises(ValueError):
         license_scan(docs, templates=[("x", "w " * 5000)])
+
+
+BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+       "following conditions are met: {0} Redistributions of source code must retain the above copyright notice, this list "
+       "of conditions and the following disclaimer. {1} Redistributions in binary form must reproduce the above copyright "
+       "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+       "with the distribution. {2} THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY "
+       "EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.")
+NAMES = ("Neither the name of {0} nor the names of its contributors may be used to endorse or promote products derived "
+         "from this software without specific prior written permission.")
+GNU = ("{0} is free software{1} you can redistribute it and/or modify it under the terms of the GNU {2} License as published "
+       "by the Free Software Foundation{3} either version {4} of the License, or (at your option) any later version.")
+USUAL = [
+    ("GPL-3.0", GNU.format("This program", ":", "General Public", ",", "3")),
+    ("GPL-3.0", GNU.format("Foo", ":", "General Public", ",", "3")),
+    ("GPL-2.0", GNU.format("This program", ";", "General Public", ";", "2")),
+    ("LGPL-2.1", GNU.format("This library", ";", "Lesser General Public", ";", "2.1")),
+    ("LGPL-3.0", GNU.format("This program", ":", "Lesser General Public", ",", "3")),
+    ("AGPL-3.0", GNU.format("This program", ":", "Affero General Public", ",", "3")),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                "Public License version 2 as published by the Free Software Foundation."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                "Public License as published by the Free Software Foundation; version 2 of the License."),
+    ("ISC", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("BSD-2-Clause", BSD.format("1.", "2.", "")),
+    ("BSD-2-Clause", BSD.format("*", "*", "")),
+    ("BSD-3-Clause", BSD.format("1.", "2.", "3. " + NAMES.format("the copyright holder"))),
+    ("BSD-3-Clause", BSD.format("*", "*", "* " + NAMES.format("Foo Inc."))),
+    ("BSD-4-Clause", BSD.format("1.", "2.", "3. All advertising materials mentioning features or use of this software must "
+                                "display the following acknowledgement: This product includes software developed by the "
+                                "University. 4. " + NAMES.format("the University"))),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("MIT", "SPDX-License-Identifier: MIT"),
+]
+
+
+def test_usual_notices_are_told_apart(spark):
+    from leadflow.llm.license_scan import license_scan
+    around = "some words of code " * 12
+    rows = [(i, f"{around}{t} {around}") for i, (_, t) in enumerate(USUAL)]
+    rows += [(100 + i, t) for i, (_, t) in enumerate(USUAL)]
+    both = USUAL[2][1] + " " + USUAL[0][1]          # two related notices, one after the other
+    rows.append((200, f"{around}{both} {around}"))
+    got = license_scan(spark.createDataFrame(rows, "doc_id long, text string"), best_only=True).collect()
+    want = Counter((k + i, n) for k in (0, 100) for i, (n, _) in enumerate(USUAL)) + Counter([(200, "GPL-2.0"), (200, "GPL-3.0")])
+    assert Counter((r.doc_id, r.license) for r in got) == want
+
+
+def test_registered_scan_finds_usual_notices(spark, tmpdir_path):
+    from leadflow.llm.queries import QUERIES
+    rows = [(i, t, "en", "s", len(t)) for i, (_, t) in enumerate(USUAL)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.mode(
+        "overwrite").parquet(f"{tmpdir_path}/licenses/documents.parquet")
+    got = QUERIES["op9_license_scan"](spark, f"{tmpdir_path}/licenses").collect()
+    assert Counter((r.doc_id, r.license) for r in got) == Counter((i, n) for i, (n, _) in enumerate(USUAL))
