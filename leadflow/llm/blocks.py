@@ -14,6 +14,7 @@ than the number of blocks, and ranges are sized by the number of words.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -70,44 +71,52 @@ class _Codes(dict):
         return code
 
 
-def _encode(lower: bool, block_words: int):
-    def row(block: int, ids: list, sizes: list[int], codes: list[np.ndarray], vocabulary: _Codes) -> pa.RecordBatch:
+def _encode(lower: bool, block_words: int, digests: bool):
+    schema = _ARROW.append(pa.field("digests", pa.binary())) if digests else _ARROW
+
+    def row(block: int, ids: list, sizes: list[int], codes: list[np.ndarray], vocabulary: _Codes,
+            said: list[bytes]) -> pa.RecordBatch:
         all_codes = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
+        extra = [pa.array([b"".join(said)], pa.binary())] if digests else []
         return pa.RecordBatch.from_arrays([
             pa.array([block], pa.int64()), pa.array([len(all_codes)], pa.int64()),
             pa.array([ids], pa.list_(pa.int64())), pa.array([planes(np.array(sizes, np.uint32))], pa.binary()),
             pa.array([zstandard.ZstdCompressor(level=1).compress(b" ".join(vocabulary))], pa.binary()),
-            pa.array([planes(all_codes)], pa.binary())], schema=_ARROW)
+            pa.array([planes(all_codes)], pa.binary()), *extra], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
-        ids, sizes, codes, vocabulary, held = [], [], [], _Codes(), 0
+        ids, sizes, codes, vocabulary, said, held = [], [], [], _Codes(), [], 0
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
-                ws = (text or b"")
-                ws = (ws.lower() if lower else ws).split()      # bytes: ASCII letters and ASCII space only
+                text = text or b""
+                ws = (text.lower() if lower else text).split()  # bytes: ASCII letters and ASCII space only
                 if ids and (held + len(ws) > block_words or len(ids) == 1 << DOC_BITS):
-                    yield row(part << _SEQ_BITS | seq, ids, sizes, codes, vocabulary)
-                    ids, sizes, codes, vocabulary, held, seq = [], [], [], _Codes(), 0, seq + 1
+                    yield row(part << _SEQ_BITS | seq, ids, sizes, codes, vocabulary, said)
+                    ids, sizes, codes, vocabulary, said, held, seq = [], [], [], _Codes(), [], 0, seq + 1
                     if seq >> _SEQ_BITS:
                         raise ValueError("more blocks in a partition than their numbers can tell apart")
                 ids.append(doc)
                 sizes.append(len(ws))
                 codes.append(np.fromiter(map(vocabulary.__getitem__, ws), np.uint32, len(ws)))
                 held += len(ws)
+                if digests:
+                    said.append(hashlib.sha256(text).digest())
         if ids:
-            yield row(part << _SEQ_BITS | seq, ids, sizes, codes, vocabulary)
+            yield row(part << _SEQ_BITS | seq, ids, sizes, codes, vocabulary, said)
     return run
 
 
 def word_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lower: bool = False,
-                block_words: int = BLOCK_WORDS) -> DataFrame:
+                block_words: int = BLOCK_WORDS, digests: bool = False) -> DataFrame:
     """Block table of the documents, written to the shared folder in buckets
     of the block number, so that answers come to the blocks.  ``lower``
     maps A-Z to a-z.  Words are maximal runs outside ``[\\x20\\x09-\\x0D]``;
-    a null text has none."""
+    a null text has none.  ``digests`` adds a column with the SHA-256 of each
+    text as it stands (a null text as the empty one), one after the other."""
     d = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return stage_by_key(d.mapInArrow(_encode(lower, block_words), BLOCK_SCHEMA), "word_blocks", "block")
+    schema = BLOCK_SCHEMA + (", digests binary" if digests else "")
+    return stage_by_key(d.mapInArrow(_encode(lower, block_words, digests), schema), "word_blocks", "block")
 
 
 @dataclass

@@ -26,12 +26,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadflow.llm.blocks import (DOC_BITS, Block, heard, key_bits, payloads, ranges_for, runs, shared,
                                  windows, word_blocks)
-from leadflow.llm.common import connected_components, internal
+from leadflow.llm.common import WORD, connected_components, internal
 from leadflow.operators.stage import stage
 
 SHINGLE = 4
@@ -74,8 +74,9 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 _SET_INFO = "uid long, doc_id long, n_shingles long, digest binary"
 
 
-def _describe(n: int):
-    """Per document: its number, id, set size and a digest of the set."""
+def _describe(n: int, texts: bool = False):
+    """Per document: its number, id, set size, a digest of the set and, with
+    ``texts``, the one of its text."""
     import xxhash
 
     def run(batches):
@@ -85,10 +86,12 @@ def _describe(n: int):
             ends = np.cumsum(np.bincount(d, minlength=len(b.sizes)))
             raw, at = memoryview(k.tobytes()), np.concatenate([[0], ends])
             digests = [xxhash.xxh3_128_digest(raw[8 * a:8 * z]) for a, z in zip(at[:-1].tolist(), at[1:].tolist())]
+            said = row["digests"] if texts else b""
+            extra = {"text_digest": pa.array([said[i:i + 32] for i in range(0, len(said), 32)], pa.binary())} if texts else {}
             yield pa.RecordBatch.from_pydict({
                 "uid": pa.array((b.block << DOC_BITS) + np.arange(len(b.sizes)), pa.int64()),
                 "doc_id": pa.array(b.doc_ids, pa.int64()), "n_shingles": pa.array(np.diff(at), pa.int64()),
-                "digest": pa.array(digests, pa.binary())})
+                "digest": pa.array(digests, pa.binary()), **extra})
     return run
 
 
@@ -385,11 +388,16 @@ def cluster_links(cand: DataFrame, percent: int, chunk: int = CHUNK) -> DataFram
 
 # ---- the join ---------------------------------------------------------------
 
-def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
-    """uid, doc_id, n_shingles, root (uid of the class) for every document."""
-    blocks = word_blocks(docs, id_col, text_col, lower=True)
-    info = stage(blocks.select("block", "n_words", "doc_ids", "sizes", "vocabulary", "codes")
-                 .mapInArrow(_describe(shingle), _SET_INFO), "nj_sets")
+def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int,
+             texts: bool = False) -> DataFrame:
+    """uid, doc_id, n_shingles, root (uid of the class) for every document;
+    with ``texts`` also text_digest, the SHA-256 of its text."""
+    blocks = word_blocks(docs, id_col, text_col, lower=True, digests=texts)
+    extra = ["text_digest"] if texts else []
+    info = stage(blocks.select("block", "n_words", "doc_ids", "sizes", "vocabulary", "codes",
+                               *(["digests"] if texts else []))
+                 .mapInArrow(_describe(shingle, texts), _SET_INFO + (", text_digest binary" if texts else "")), "nj_sets")
+    blocks = blocks.drop("digests")
     # documents with equal sets: one row per digest; empty sets link with nothing
     reps = (info.filter("n_shingles > 0").groupBy("digest", "n_shingles")
             .agg(F.min("uid").alias("rep")))
@@ -418,7 +426,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     # a class of equal sets may hold a third of all documents; that side of
     # the join is split by the skew handling, as each row needs one match
     return info.join(rooted, ["digest", "n_shingles"], "left").select(
-        "uid", "doc_id", "n_shingles", F.coalesce("root", "uid").alias("root"))
+        "uid", "doc_id", "n_shingles", F.coalesce("root", "uid").alias("root"), *extra)
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -444,10 +452,27 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                      percent: int = 80) -> DataFrame:
     """``docs`` with one document of each class of near duplicates, the one
-    with the smallest id (columns unchanged).  Documents without words all
-    stay.  Ids must be unique: rows that share an id stay or go together."""
-    rows = stage(_classes(docs, id_col, text_col, shingle, percent), "nj_rows")
-    name = internal("_kept_id", docs.columns)
-    least = rows.groupBy("root").agg(F.min("doc_id").alias(name)).select(name).distinct()
-    return (docs.join(least, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(name)), "left_semi")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    with the smallest id (null ids last), then the least text digest; of
+    wholly repeated rows exactly one (columns unchanged).  Documents without
+    words all stay.  Ids may be null or shared: rows are told apart by id and
+    text.  Texts are shuffled once at most."""
+    cols = docs.columns
+    key = [internal(f"_{n}", cols) for n in ("id", "null_id", "digest")]
+    nth = internal("_nth", cols)
+    rows = stage(_classes(docs, id_col, text_col, shingle, percent, texts=True), "nj_rows")
+    # rows of one key have the same text, so the same class: a key wins once at most
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                          F.col("text_digest").alias("digest"), F.col("uid").alias("uid")))
+    winners = (rows.filter("n_shingles > 0").groupBy("root").agg(best.alias("w"))
+               .select(*[F.col(f"w.{c}").alias(f"{k}_w") for c, k in zip(("id", "null_id", "digest"), key)]))
+    number, t = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")
+    has_words = F.coalesce(t.rlike(WORD), F.lit(False))
+    marked = (docs.filter(has_words).withColumn(key[0], F.coalesce(number, F.lit(0))).withColumn(key[1], number.isNull())
+              .withColumn(key[2], F.unhex(F.sha2(t.cast("binary"), 256)))
+              .withColumn(nth, F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
+              .filter(F.col(nth) == 1))
+    same = F.lit(True)
+    for k in key:                                # no key is null: the join keeps the window's partitions
+        same = same & (F.col(k) == F.col(f"{k}_w"))
+    out = [F.col(f"`{c}`") for c in cols]
+    return marked.join(winners, same, "left_semi").select(*out).union(docs.filter(~has_words).select(*out))

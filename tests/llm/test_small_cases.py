@@ -364,6 +364,25 @@ def test_one_of_each_stays(clashing, empty):
     assert keep_one_of_each(empty).count() == 0
 
 
+def test_one_of_each_class_whatever_the_ids(spark):
+    from leadflow.llm.ngram_join import keep_one_of_each
+    texts = {c: passage(200 + i, 90) for i, c in enumerate("abcdef")}
+    near = {c: t + " tail" for c, t in texts.items()}
+    rows = [(None, texts["a"]), (None, near["a"]),          # near copies under a null id
+            (5, texts["b"]), (5, near["b"]),                # and under a shared one
+            (3, texts["c"]), (7, near["c"]), (7, texts["d"]),   # a loser whose id wins elsewhere
+            (None, texts["e"]), (9, near["e"]),             # a null id loses to any other
+            (8, texts["f"]), (8, texts["f"]), (8, texts["f"].upper()),
+            (None, None), (None, None), (5, " "), (5, "")]
+    got = keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    of = {t.lower(): c for d in (texts, near) for c, t in d.items()}
+    assert sorted(of[r.text.lower()] for r in got if (r.text or "").strip()) == list("abcdef")
+    assert {(of[r.text.lower()], r.doc_id) for r in got if (r.text or "").strip()} == {
+        ("a", None), ("b", 5), ("c", 3), ("d", 7), ("e", 9), ("f", 8)}
+    assert Counter((r.doc_id, r.text) for r in got if not (r.text or "").strip()) == Counter(
+        [(None, None), (None, None), (5, " "), (5, "")])
+
+
 def test_components(spark):
     from leadflow.llm.common import connected_components
     chain = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100), (200, 200), (302, 300), (301, 300)]
