@@ -36,9 +36,10 @@ def write_rejects(spark: SparkSession, files, raw, rules: R.FunnelRules, path: s
 
 def daily_job(spark: SparkSession, sf_dir: str, drop_folder: str, out_dir: str,
               run_date: dt.date, rules: R.FunnelRules = R.PROFILES["daily"],
-              servicing: Servicing | None = None) -> dict:
+              servicing: Servicing | None = None, single_file: bool = False) -> dict:
     """The snapshot is written first and read back, and the funnel is staged
-    once, so feed and frequency listing share one derivation."""
+    once, so feed and frequency listing share one derivation.  The feed is a
+    folder of part files; ``single_file`` has one task write one file."""
     files = newest_and_oldest(list_files(spark, drop_folder))
     raw = read_lead_files(spark, files, missing_text=R.PANDAS_MISSING_TEXT)
     first = Run(spark, sf_dir, raw_leads=raw, rules=rules, servicing=servicing)
@@ -51,7 +52,7 @@ def daily_job(spark: SparkSession, sf_dir: str, drop_folder: str, out_dir: str,
         write_snapshot(first.snapshot, out["snapshot"], run_date)
         run = first.with_snapshot(read_snapshot(spark, out["snapshot"], run_date))
         out["feed"] = write_partner_feed(partner_feed(run.staged_funnel), f"{out_dir}/feed", run_date, rules,
-                                         single_file=True)
+                                         single_file=single_file)
         (funnel_frequency(run.staged_funnel).coalesce(1).write.mode("overwrite")
          .option("header", True).csv(out["frequency"]))
     finally:
@@ -70,10 +71,12 @@ def weekly_job(spark: SparkSession, sf_dir: str, lead_paths, out_dir: str,
                run_date: dt.date, rules: R.FunnelRules = R.PROFILES["weekly"],
                snapshot_path: str | None = None,
                snapshot_date: dt.date | None = None,
-               servicing: Servicing | None = None, apps_files=None) -> dict:
+               servicing: Servicing | None = None, apps_files=None,
+               single_file: bool = False) -> dict:
     """The apps come from ``apps_files`` (exported apps files), or from the
     daily job's snapshot of ``snapshot_date`` at ``snapshot_path`` (the
-    weekly_v2 hand-off), or else from the servicing relations."""
+    weekly_v2 hand-off), or else from the servicing relations.  The feed is
+    a folder of part files; ``single_file`` has one task write one file."""
     snap = read_snapshot(spark, snapshot_path, snapshot_date) if snapshot_path else None
     apps = read_apps_file(spark, apps_files, rules) if apps_files else None
     files = list(lead_paths)
@@ -85,7 +88,8 @@ def weekly_job(spark: SparkSession, sf_dir: str, lead_paths, out_dir: str,
     try:
         write_rejects(spark, files, raw, rules, out["rejects"])
         funnel = run.staged_funnel
-        out["feed"] = write_partner_feed(partner_feed(funnel), f"{out_dir}/feed", run_date, rules, single_file=True)
+        out["feed"] = write_partner_feed(partner_feed(funnel), f"{out_dir}/feed", run_date, rules,
+                                         single_file=single_file)
         write_summary(daily_summary(funnel), out["summary"])
         (weekly_summary(funnel).orderBy("IS_TOTAL", "LEAD_WEEK").coalesce(1)
          .write.mode("overwrite").option("header", True).csv(out["weekly_summary"]))

@@ -48,6 +48,26 @@ def test_daily_and_weekly_jobs(spark, tmpdir_path):
     assert spark.read.option("header", True).csv(wk["weekly_summary"]).filter("IS_TOTAL = 1").count() == 1
 
 
+@pytest.mark.parametrize("single", [False, True])
+def test_jobs_write_part_files_unless_asked(spark, tmpdir_path, monkeypatch, single):
+    from leadflow.plans import jobs
+    asked, write = [], jobs.write_partner_feed
+
+    def noted(*args, **kw):
+        asked.append(kw.get("single_file", False))
+        return write(*args, **kw)
+
+    monkeypatch.setattr(jobs, "write_partner_feed", noted)
+    folder, day = lead_drop_folder(spark, SMALL), dt.date(2020, 1, 3)
+    choice = {"single_file": True} if single else {}
+    feeds = [daily_job(spark, SMALL, folder, f"{tmpdir_path}/d", day, **choice)["feed"],
+             weekly_job(spark, SMALL, [p for p, _ in list_files(spark, folder)], f"{tmpdir_path}/w", day, **choice)["feed"]]
+    assert asked == [single, single]
+    for feed in feeds:
+        assert os.path.isfile(feed) is single and os.path.isdir(feed) is not single
+        assert spark.read.option("header", True).csv(feed).count() > 0
+
+
 def test_weekly_v2_hand_off(spark, tmpdir_path):
     """weekly_v2 reading the daily job's snapshot gives the same feed as
     weekly_v2 querying the apps itself (same partner, same persons)."""
