@@ -2,8 +2,8 @@
 
 Windows of ``base`` words are compared first; a window of twice the length is
 a candidate only where both of its halves repeat, and so on up to the window
-length (or, in ``repeat_lengths``, until no candidate survives).  Only at the
-last length does a block send, for each distinct candidate, the document that
+length, where doubling ends: longer repeats are covered by their windows, and
+their own lengths are not found.  Only at the last length does a block send, for each distinct candidate, the document that
 holds it first; the answer says whether that is the first of the corpus.
 """
 
