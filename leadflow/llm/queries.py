@@ -89,3 +89,14 @@ def op1(spark: SparkSession, d: str) -> DataFrame:
 def op9(spark: SparkSession, d: str) -> DataFrame:
     from leadflow.llm.license_scan import license_scan
     return license_scan(table(spark, d, "documents"), best_only=True)
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    from leadflow.llm.periodic import listing, longest, periodic_runs, repeat_tails
+    docs = table(spark, d, "documents").select("doc_id", repeat_tails(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic_runs(docs).withColumn("best", longest(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listing(F.col("runs")), 256).alias("runs_sha256"), F.sha2("kept_text", 256).alias("collapsed_sha256"))
