@@ -100,3 +100,11 @@ def op11(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
         F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
         F.sha2(listing(F.col("runs")), 256).alias("runs_sha256"), F.sha2("kept_text", 256).alias("collapsed_sha256"))
+
+
+@query("op12_document_fingerprints")
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    from leadflow.llm.piecewise import compare_with_next
+    return compare_with_next(table(spark, d, "documents")).select(
+        "doc_id", "n_chars", F.lower(F.hex("edited_sha")).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next")
