@@ -289,6 +289,8 @@ def repeat_tails(text: Column, doc_id: Column) -> Column:
     g, n = F.floor(h / 10).cast("long"), F.size(w).cast("long")
     a = F.pmod(g, n)
     p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8)).cast("long")
-    tail = F.transform(F.sequence(a, n - 1), lambda i: F.element_at(w, (a + (i - a) % p + 1).cast("int")))
+    # whole arrays at a time: a lambda would split the text anew for each word
+    turns = F.array_repeat(F.slice(w, (a + 1).cast("int"), p.cast("int")), F.ceil((n - a) / p).cast("int"))
+    tail = F.slice(F.flatten(turns), F.lit(1), (n - a).cast("int"))
     planted = F.when(n > 0, F.array_join(F.concat(F.slice(w, F.lit(1), a.cast("int")), tail), " ")).otherwise(text)
     return F.when(h % 10 == 0, planted).otherwise(text)
