@@ -36,7 +36,7 @@ def replay(events):
 def formatted(spark, events, block=4096):
     from leadflow.llm.chat import format_events, parse
     got = defaultdict(list)
-    for r in format_events(spark.createDataFrame(events, EVENTS).repartition(3), block).orderBy("conv_id", "message").collect():
+    for r in format_events(spark.createDataFrame(events, EVENTS).repartition(3), block).orderBy("conv_id", F.asc_nulls_last("message"), "nth").collect():
         got[r.conv_id] += parse(r.formatted)
     return dict(got)
 
@@ -57,6 +57,11 @@ def test_log_is_folded(spark, block):
 
 def test_log_edges(spark):
     assert formatted(spark, []) == {}
+    whole = [(1, 4, 9, "whole", "user", "b"), (1, 4, 9, "whole", "user", "b"), (1, 4, 9, "whole", "user", "a"),
+             (1, None, 10, "whole", "user", "z"), (1, 3, 1, "open", "assistant", None), (1, 3, 2, "delta", None, "x"),
+             (1, 3, 11, "regenerate", None, None), (1, 3, 12, "delta", None, "new"), (1, 1 << 40, 13, "whole", None, None)]
+    for block in (4096, 2):
+        assert formatted(spark, whole, block) == {1: [("assistant", "new"), ("", "")]}
     events = [(None, 0, 0, "open", "user", None), (None, 0, 1, None, None, "x"), (5, 0, None, "delta", None, "y"),
               (5, 0, 1, "delta", "user", "z"), (5, 0, 1, "delta", "user", "z")]
     assert formatted(spark, events) == {None: [("user", "x")], 5: [("user", "yzz")]}
@@ -78,7 +83,12 @@ def test_turns(spark):
     rows = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok"),
             (1, 0, "system", None), (1, 2, "assistant", "x" * 5000 + "\U0001F600\n"), (1, 1, "user", ""),
             (1, 3, None, "no role"), (2, 0, "assistant", "a"), (2, 0, "assistant", "a"), (None, 0, "user", "q"),
-            (3, 5, "user", "late"), (3, None, "user", "last"), (3, -1, "user", "first")]
+            (3, 5, "user", "late"), (3, None, "user", "last"), (3, -1, "user", "first"),
+            # the whole range of longs, and the places next to a null turn
+            *((4, t, "assistant", f"turn {t}") for t in (1, 3_000_000_000, 5_000_000_000, -(1 << 63), (1 << 63) - 1,
+                                                       (1 << 62) + 1, 1 << 62, -5_000_000_000, (1 << 53) + 1, 1 << 53)),
+            (5, None, "user", "z"), (5, (1 << 31) - 1, "user", "m"), (5, (1 << 31) - 2, "user", "a"), (5, 1 << 31, "user", "b"),
+            (6, 0, "assistant", "long " * 400_000), (6, None, "assistant", "a"), (6, None, "user", "b")]
     extra = spark.createDataFrame(rows, TURNS).withColumns({c: F.lit(1) for c in ("message", "seq", "kind", "block", "e")})
     got = {r.conv_id: r for r in format_turns(extra.select("conv_id", "turn", "role", "text")).collect()}
     want = defaultdict(list)
