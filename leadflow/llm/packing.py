@@ -80,34 +80,38 @@ class OpenWindows:
         self._place(piece)
 
 
-def _rows(part: int, windows: list[list[Piece]], first: int, leftover: bool) -> list[dict]:
+def _rows(part: int, windows: list[list[Piece]], first: int, leftover: bool) -> list[tuple]:
     out = []
-    for k, pieces in enumerate(windows):
+    for window, pieces in enumerate(windows, first):
         offset = 0
         for doc, start, total, ids in pieces:
-            out.append({"doc_id": doc, "start": start, "length": len(ids), "doc_tokens": total, "part": part,
-                        "window": first + k, "offset": offset, "leftover": leftover, "ids": ids.tobytes()})
+            out.append((doc, start, len(ids), total, part, window, offset, leftover, ids.tobytes()))
             offset += len(ids)
     return out
 
 
-def _pack_partition(vocabulary: str, kind: str, end_id: int, length: int, most: int, min_cut: int):
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [()] * len(_ARROW)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
+
+
+def _pack_partition(vocabulary: str, kind: str, end_id: int, length: int, most: int, min_cut: int, plain: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part = encoder(vocabulary, kind), TaskContext.get().partitionId()
-        end = np.array([end_id], np.uint32)
+        part, end = TaskContext.get().partitionId(), np.array([end_id], np.uint32)
         open_, done = OpenWindows(length, most, min_cut), 0
-        for b in batches:
-            for doc, ids in zip(b.column(0).to_pylist(), enc.encode(texts(b.column(1)))):
-                ids = np.concatenate([ids, end]).astype("<u4")
-                open_.add((doc, 0, len(ids), ids))
-                if len(open_.closed) >= 512:
-                    yield pa.RecordBatch.from_pylist(_rows(part, open_.closed, done, False), schema=_ARROW)
-                    done += len(open_.closed)
-                    open_.closed = []
+        with encoder(vocabulary, kind, plain) as enc:
+            for b in batches:
+                for doc, ids in zip(b.column(0).to_pylist(), enc.encode(texts(b.column(1)))):
+                    ids = np.concatenate([ids, end]).astype("<u4")
+                    open_.add((doc, 0, len(ids), ids))
+                    if len(open_.closed) >= 512:
+                        yield _batch(_rows(part, open_.closed, done, False))
+                        done += len(open_.closed)
+                        open_.closed = []
         rest = [pieces for _, pieces in open_.windows]
         rows = _rows(part, open_.closed, done, False) + _rows(part, rest, done + len(open_.closed), True)
         if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+            yield _batch(rows)
     return run
 
 
@@ -142,17 +146,18 @@ def _merge(length: int, most: int):
                     seq.append((doc, start, total, ids))
                     want -= len(ids)
                 sequences.append(seq)
-        return pa.Table.from_pylist(_rows(group, sequences, 0, True), schema=_ARROW)
+        return pa.Table.from_batches([_batch(_rows(group, sequences, 0, True))])
     return run
 
 
 def pack(docs: DataFrame, vocabulary: str, kind: str = "byte", end_id: int = 0, length: int = LENGTH,
          open_windows: int = OPEN_WINDOWS, min_cut: int = MIN_CUT, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+         text_col: str = "text", plain: bool = False) -> DataFrame:
     """doc_id, start, length, ids, doc_tokens, sequence_id, offset: one row per piece.
 
-    A document is its text's ids (null text: none) and ``end_id``; each id
-    lies in exactly one piece.  Sequences hold at most ``length`` ids.  Both
+    A document is its text's ids (null text: none) and ``end_id``; a special
+    token's string in a text gives its id, or with ``plain`` the ids of
+    ordinary text.  Each id lies in exactly one piece.  Sequences hold at most ``length`` ids.  Both
     phases are written to the shared folder, ids included, so the texts are
     encoded once.  Rows that share an id, or have none, are packed like any
     other; empty input gives an empty result; only the id and text columns
@@ -160,7 +165,7 @@ def pack(docs: DataFrame, vocabulary: str, kind: str = "byte", end_id: int = 0,
     spark = docs.sparkSession
     folder = scratch_path(spark, "packed", unique=True)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    (d.mapInArrow(_pack_partition(vocabulary, kind, end_id, length, open_windows, min_cut), PIECE_SCHEMA)
+    (d.mapInArrow(_pack_partition(vocabulary, kind, end_id, length, open_windows, min_cut, plain), PIECE_SCHEMA)
      .write.option("compression", "zstd").partitionBy("leftover").parquet(f"{folder}/first"))
     first = spark.read.schema(PIECE_SCHEMA).parquet(f"{folder}/first")
     (first.filter("leftover").groupBy(F.floor(F.col("part") / MERGE_PARTITIONS).alias("group"))

@@ -108,3 +108,12 @@ def op12(spark: SparkSession, d: str) -> DataFrame:
     return compare_with_next(table(spark, d, "documents")).select(
         "doc_id", "n_chars", F.lower(F.hex("edited_sha")).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         "near_edited", "near_next")
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers
+
+    from leadflow.llm.alignment import align
+    return align(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                 public_tokenizers.path("piece_bpe_32k.model")).withColumnRenamed("groups", "groups_sha256")

@@ -126,29 +126,32 @@ def _segment(shard: int, seq: int, ids: list[np.ndarray], docs: list[int | None]
         "docs": EliasFano.encode(np.array([x - first for x in known], np.int64)).to_bytes()}], schema=_ARROW)
 
 
-def _write_partition(vocabulary: str, kind: str, end_id: int, width: int, segment_ids: int):
+def _write_partition(vocabulary: str, kind: str, end_id: int, width: int, segment_ids: int, plain: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, shard, seq = encoder(vocabulary, kind), TaskContext.get().partitionId(), 0
+        shard, seq = TaskContext.get().partitionId(), 0
         end = np.array([end_id], np.uint32)
         ids, docs, held = [], [], 0
-        for b in batches:
-            for doc, ids_ in zip(b.column(0).to_pylist(), enc.encode(texts(b.column(1)))):
-                one = np.concatenate([ids_, end])
-                if ids and held + len(one) > segment_ids:
-                    yield _segment(shard, seq, ids, docs, width)
-                    ids, docs, held, seq = [], [], 0, seq + 1
-                ids.append(one)
-                docs.append(doc)
-                held += len(one)
-        if ids:
-            yield _segment(shard, seq, ids, docs, width)
+        with encoder(vocabulary, kind, plain) as enc:
+            for b in batches:
+                for doc, ids_ in zip(b.column(0).to_pylist(), enc.encode(texts(b.column(1)))):
+                    one = np.concatenate([ids_, end])
+                    if ids and held + len(one) > segment_ids:
+                        yield _segment(shard, seq, ids, docs, width)
+                        ids, docs, held, seq = [], [], 0, seq + 1
+                    ids.append(one)
+                    docs.append(doc)
+                    held += len(one)
+            if ids:
+                yield _segment(shard, seq, ids, docs, width)
     return run
 
 
 def write_store(docs: DataFrame, folder: str, vocabulary: str, kind: str = "word", end_id: int = 2,
                 width: int = 2, id_col: str = "doc_id", text_col: str = "text",
-                segment_ids: int = SEGMENT_IDS) -> str:
+                segment_ids: int = SEGMENT_IDS, plain: bool = False) -> str:
     """Encode every whole text (null: empty), add ``end_id``, write the store.
+    A special token's string in a text gives its id, or with ``plain`` the ids
+    of ordinary text.
 
     Documents are range-partitioned by id (a hash of the text orders rows
     that share an id, so a hot id is split too; null ids come last) and each
@@ -158,7 +161,7 @@ def write_store(docs: DataFrame, folder: str, vocabulary: str, kind: str = "word
     d = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
          .withColumn("h", F.xxhash64("text"))
          .repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text"))
-    segments = d.mapInArrow(_write_partition(vocabulary, kind, end_id, width, segment_ids), SEGMENT_SCHEMA)
+    segments = d.mapInArrow(_write_partition(vocabulary, kind, end_id, width, segment_ids, plain), SEGMENT_SCHEMA)
     segments.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/segments")
     spark = docs.sparkSession
     # one row per shard: the window sees as many rows as there were tasks

@@ -1,24 +1,44 @@
-"""Token ids of whole texts, one tokenizer call per distinct piece.
+"""Token ids of whole texts.
 
-Both vocabularies split a text at white space before any merge, so a text's
-ids are the ids of its pieces one after the other.  Each worker remembers the
-ids of pieces it has met (up to ``REMEMBERED``, then it starts anew, which
-changes nothing but speed).
+``ByteEncoder`` is for byte-level vocabularies: the merges of the vocabulary
+file, run by tiktoken, which gives the same ids as the tokenizers library in
+less time and remembers nothing.
+
+``PieceEncoder`` is for a vocabulary that drops white space: a text's ids are
+the ids of its words one after the other, so each word is encoded once.  A
+task remembers the words it has met, up to about ``PIECE_BYTES``, then it
+starts anew, which changes nothing but speed; when the task ends, its worker
+keeps none of them.
+
+A special token's string in a text gives that token's id, as the tokenizers
+library does unless told otherwise; ``plain`` makes it ordinary text.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 
-REMEMBERED = 1_200_000
+PIECE_BYTES = 128 << 20     # memory of remembered pieces, about
+_PIECE_COST = 190           # bytes of one, besides its ids
 # White space beyond ASCII: texts with any of it are encoded in one call.
-_WIDE_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-# byte-level pieces: white space goes with the word after it
-_BYTE_PIECE = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
-_WORD_PIECE = re.compile(r"[^\x20\x09-\x0D]+")
+_WIDE_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_PIECE = re.compile(r"[^\x20\x09-\x0D]+")
+# fixed value: how byte-level vocabularies cut a text before any merge
+_BYTE_LEVEL_CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _tokenizer(path: str, plain: bool):
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark's tasks are the parallelism
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = plain
+    return t, [] if plain else [x.content for x in t.get_added_tokens_decoder().values()]
 
 
 class _Codes(dict):
@@ -42,37 +62,70 @@ def _byte_letters() -> dict[int, str]:
 
 
 _LETTERS = _byte_letters()
-# letters of Latin-1, then marks: two runs that both vocabularies split the same way
-_SIMPLE = re.compile("( ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?]*)")
+_BYTES = {letter: b for b, letter in _LETTERS.items()}
+
+
+def byte_of_letter(letter: str) -> int:
+    """The byte that a byte-level vocabulary writes as ``letter``."""
+    return _BYTES[letter] if letter in _BYTES else ord(letter)
+
+
+class ByteEncoder:
+    """``encode(texts)``: a uint32 array per text, the tokenizer's own ids."""
+
+    def __init__(self, path: str, plain: bool = False):
+        import tiktoken
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        cut = spec["pre_tokenizer"] or {}
+        if spec["normalizer"] or cut.get("type") != "ByteLevel" or not cut.get("use_regex", True) \
+                or cut.get("add_prefix_space"):
+            raise ValueError(f"{path} is no plain byte-level vocabulary")
+        self.tokenizer, self.special = _tokenizer(path, plain)
+        added = set(self.tokenizer.get_added_tokens_decoder())
+        self.entries = {k: e.encode() if k in added else bytes(map(byte_of_letter, e))
+                        for e, k in self.tokenizer.get_vocab().items()}
+        self.merges = tiktoken.Encoding("merges", pat_str=_BYTE_LEVEL_CUTS, special_tokens={},
+                                        mergeable_ranks={e: k for k, e in self.entries.items() if k not in added})
+
+    def encode(self, many: list[str]) -> Iterator[np.ndarray]:
+        for text in many:
+            if any(s in text for s in self.special):
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            else:
+                yield np.array(self.merges.encode_ordinary(text), np.uint32)
+
+    def forget(self) -> None:
+        """Nothing is remembered."""
+
+
+# letters of Latin-1, then marks: two runs that the vocabulary splits
+_SIMPLE = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?]*)")
 
 
 def _as_letters(part: str) -> str:
-    if part.isascii():          # printing ASCII stands for itself, so only the space is written anew
-        return part.replace(" ", _LETTERS[32])
+    if part.isascii():          # printing ASCII stands for itself
+        return part
     return part.encode().decode("latin-1").translate(_LETTERS)
 
 
 class PieceEncoder:
     """``encode(texts)``: a uint32 array per text, the tokenizer's own ids.
 
-    A new piece of Latin letters goes straight to the vocabulary's merges,
-    any other through the whole tokenizer."""
+    A new word of Latin letters goes straight to the vocabulary's merges, any
+    other through the whole tokenizer."""
 
-    def __init__(self, path: str, kind: str):
-        import os
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True                # their strings are ordinary text
+    def __init__(self, path: str, plain: bool = False, piece_bytes: int = PIECE_BYTES):
+        self.tokenizer, self.special = _tokenizer(path, plain)
+        self.piece_bytes = piece_bytes
         self.merges = self.tokenizer.model.tokenize
-        self.lower = kind == "word"
-        self.pieces = (_WORD_PIECE if kind == "word" else _BYTE_PIECE).findall
-        self._forget()
+        self.pieces = _PIECE.findall
+        self.forget()
 
-    def _forget(self):
+    def forget(self) -> None:
         self.code = _Codes()
-        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
-        self.start, self.size = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def _room(self, n_ids: int) -> None:
         while self.used + n_ids > len(self.flat):
@@ -97,8 +150,7 @@ class PieceEncoder:
             before = len(ids)
             for part in m.groups():
                 if part:
-                    part = part.lower() if self.lower else part
-                    ids += [t.id for t in self.merges(_as_letters(part))]
+                    ids += [t.id for t in self.merges(_as_letters(part.lower()))]
             sizes[k] = len(ids) - before
         codes = first + np.arange(len(new))
         simple = np.ones(len(new), bool)
@@ -114,13 +166,20 @@ class PieceEncoder:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def held(self) -> int:
+        """Bytes of remembered pieces, about."""
+        return len(self.code) * _PIECE_COST + self.used * 4
+
+    def _in_pieces(self, text: str) -> bool:
+        return not (any(s in text for s in self.special) or _WIDE_SPACE.search(text))
+
     def encode(self, many: list[str], at_once: int = 64) -> Iterator[np.ndarray]:
         for a in range(0, len(many), at_once):
-            if len(self.code) > REMEMBERED:
-                self._forget()
+            if self.held() > self.piece_bytes:
+                self.forget()
             some, codes = many[a:a + at_once], []
             for text in some:
-                found = [] if _WIDE_SPACE.search(text) else self.pieces(text)
+                found = self.pieces(text) if self._in_pieces(text) else []
                 codes.append(np.fromiter(map(self.code.__getitem__, found), np.int64, len(found)))
             if self.code.new:
                 self._learn()
@@ -133,15 +192,22 @@ class PieceEncoder:
         return self.flat[np.repeat(self.start[codes] - (ends - n), n) + np.arange(ends[-1])]
 
 
-_ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
+_KINDS = {"byte": ByteEncoder, "word": PieceEncoder}
+_ENCODERS: dict[tuple, ByteEncoder | PieceEncoder] = {}
 
 
-def encoder(path: str, kind: str) -> PieceEncoder:
+@contextmanager
+def encoder(path: str, kind: str, plain: bool = False) -> Iterator[ByteEncoder | PieceEncoder]:
     """The worker's encoder for the vocabulary file; kind: byte (byte-level,
-    white space kept) or word (white space dropped)."""
-    if (path, kind) not in _ENCODERS:
-        _ENCODERS[path, kind] = PieceEncoder(path, kind)
-    return _ENCODERS[path, kind]
+    white space kept) or word (white space dropped).  The vocabulary stays
+    with the worker, what was remembered goes with the task."""
+    key = path, kind, plain
+    if key not in _ENCODERS:
+        _ENCODERS[key] = _KINDS[kind](path, plain)
+    try:
+        yield _ENCODERS[key]
+    finally:
+        _ENCODERS[key].forget()
 
 
 def texts(column: Iterable) -> list[str]:

@@ -178,11 +178,11 @@ def test_order_never_changes_the_verdict(docs):
 
 # ---- 5, 6 -------------------------------------------------------------------
 
-def encoded(file, end):
+def encoded(file, end, plain=False):
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(P.path(file))
-    t.encode_special_tokens = True
+    t.encode_special_tokens = plain
     return P.path(file), [t.encode(r[1] or "", add_special_tokens=False).ids + [end] for r in ROWS]
 
 
