@@ -66,26 +66,28 @@ def merge_pieces(a: np.ndarray, b: np.ndarray, steps: int = PIECE_STEPS) -> tupl
     cut = np.append(np.arange(0, n, steps), n)
     i = diagonals(a, b, cut)
     j = cut - i
+    number = np.int32 if int(a[-1]) < 1 << 29 else np.int64
+    a, b, i, j, none = a.astype(number), b.astype(number), i.astype(number), j.astype(number), np.iinfo(number).max
     # a row per piece: its ends of a, then its ends of b (as 2 * end + whose)
     own_a, own_b = np.diff(i), np.diff(j)
     piece_a, piece_b = np.repeat(np.arange(len(own_a)), own_a), np.repeat(np.arange(len(own_b)), own_b)
-    rows = np.full(len(own_a) * steps, np.iinfo(np.int64).max)
+    rows = np.full(len(own_a) * steps, none)
     rows[piece_a * steps + np.arange(len(a)) - i[piece_a]] = a << 1
     rows[piece_b * steps + own_a[piece_b] + np.arange(len(b)) - j[piece_b]] = b << 1 | 1
     rows = np.sort(rows.reshape(-1, steps), axis=1)
     # each piece for itself: ends, whose they are, coordinates, the end before
     end, is_b = rows >> 1, (rows & 1).astype(bool)
-    before_b = np.cumsum(is_b, axis=1) - is_b
+    before_b = np.cumsum(is_b, axis=1, dtype=np.int32) - is_b
     at_b = j[:-1, None] + before_b
-    at_a = i[:-1, None] + np.arange(steps) - before_b
+    at_a = i[:-1, None] + np.arange(steps, dtype=np.int32) - before_b
     earlier = np.maximum(np.where(i[:-1] > 0, a[i[:-1] - 1], 0), np.where(j[:-1] > 0, b[j[:-1] - 1], 0))
     previous = np.concatenate([earlier[:, None], end[:, :-1]], axis=1)
-    real = rows != np.iinfo(np.int64).max
+    real = rows != none
     link = real & (end > previous)
     closes = real & is_b & (end == previous)
     # put together: groups closed before each step, in its piece and in earlier ones
-    inside = np.cumsum(closes, axis=1)
-    group = inside - closes + (np.cumsum(inside[:, -1]) - inside[:, -1])[:, None]
+    inside = np.cumsum(closes, axis=1, dtype=np.int32)
+    group = inside - closes + (np.cumsum(inside[:, -1], dtype=np.int64) - inside[:, -1])[:, None]
     return at_a[link], at_b[link], group[real & ~is_b], group[real & is_b]
 
 
@@ -105,9 +107,8 @@ def _piece_bytes(path: str) -> tuple[list[bytes], np.ndarray]:
     return said, np.array([len(x) for x in said], np.int64)
 
 
-def _entry_bytes(enc: ByteEncoder) -> tuple[list[bytes], np.ndarray]:
-    said = [enc.entries.get(k, b"") for k in range(max(enc.entries) + 1)]
-    return said, np.array([len(x) for x in said], np.int64)
+def _entry_lengths(enc: ByteEncoder) -> np.ndarray:
+    return np.array([len(enc.entries.get(k, b"")) for k in range(max(enc.entries) + 1)], np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -167,7 +168,7 @@ def _encode(a_vocabulary: str, b_model: str, block_tokens: int, listings: bool):
         first, seq = TaskContext.get().partitionId() << _SEQ_BITS, 0
         model, (b_bytes, b_len) = _piece_model(b_model), _piece_bytes(b_model)
         with encoder(a_vocabulary, "byte", plain=True) as enc:
-            a_bytes, a_len = _entry_bytes(enc)
+            a_len = _entry_lengths(enc)
             names = _numbers(len(a_len), len(b_len))
             ids, tokens, held = [], [], 0
             for batch in batches:
@@ -178,9 +179,9 @@ def _encode(a_vocabulary: str, b_model: str, block_tokens: int, listings: bool):
                     coded = zip(some.column(0).to_pylist(), said, spaced, enc.encode(spaced),
                                 model.encode(said, num_threads=1))
                     for doc, text, full, a, b in coded:
+                        # A's entries hold every byte as it stands, so their lengths tell; B may have changed some
                         raw = full.encode()
-                        same = text and b"".join(map(b_bytes.__getitem__, b)) == raw and \
-                            b"".join(map(a_bytes.__getitem__, a.tolist())) == raw
+                        same = text and int(a_len[a].sum()) == len(raw) and b"".join(map(b_bytes.__getitem__, b)) == raw
                         size = len(a) + len(b) if same else 0
                         if ids and (held + size > block_tokens or len(ids) >= block_tokens):
                             yield _block(first | seq, ids, tokens, a_len, b_len, names, listings)
