@@ -21,10 +21,10 @@ from leadflow.functions import (canonical_id, canonical_id_numeric, cents,
                                 text_coercion, to_decimal, to_double)
 from leadflow.operators import (coalesced_key_join, earliest_balance,
                                 history_pivot, left_join_left_pred,
-                                status_codes)
+                                match_merge, status_codes)
 from leadflow.plans.applications import borrowers_for
 from leadflow.plans.funnel import best_outcome, latest_apps, weekly_rows
-from leadflow.plans.leads import partner_filter
+from leadflow.plans.leads import best_leads, partner_filter, typed_leads
 from leadflow.plans.profile_run import Run
 from leadflow.plans.sinks import feed_for_csv
 from leadflow.plans.reports import (daily_summary, daily_summary_total,
@@ -34,8 +34,8 @@ from leadflow.session import scratch_path
 from leadflow.sources import standins as S
 from leadflow.sources.dropfolder import csv_line, write_batched_files
 from leadflow.sources.files import (list_files, newest_and_oldest,
-                                    normalise_headers, read_lenient_csv,
-                                    union_by_name)
+                                    normalise_headers, read_lead_files,
+                                    read_lenient_csv, union_by_name)
 from leadflow.sources.tables import Tables
 from leadflow.streaming import ingest_lead_files
 
@@ -299,6 +299,16 @@ def q_funnel_weekly_v2(spark, d):
     return run(spark, d, "weekly_v2").funnel.select(*FUNNEL_WEEKLY_COLS)
 
 
+def _weekly_intended(profile: str):
+    def q(spark, d):
+        return run(spark, d, profile, "intended").funnel.select(*FUNNEL_WEEKLY_COLS)
+    return q
+
+
+for _p in ("weekly", "weekly_v2"):
+    QUERIES[f"funnel_{_p}_intended"] = _weekly_intended(_p)
+
+
 @query("before_lead_reset")
 def q_before_lead_reset(spark, d):
     return run(spark, d).funnel.select(
@@ -358,6 +368,24 @@ def q_coalesced_key_join(spark, d):
         .select("task_refno", "userdef100", "acctrefno")
 
 
+@query("blank_key_join")
+def q_blank_key_join(spark, d):
+    """C7 where keys carry trailing blanks, as fixed-width columns do, and
+    only the distinct rows matter."""
+    t = Tables(spark, d)
+    k = F.col("o_orderkey")
+    number = F.concat(F.lit("LN"), (k % 5000).cast("string"))
+    left = t.orders.filter(F.col("o_orderpriority").isin(*S.APP_PRIORITIES)).select(
+        k.alias("task_refno"),
+        F.when(k % 7 == 0, F.lit(None).cast("string")).when(k % 7 == 1, F.lit("")).when(k % 7 == 2, F.lit("   "))
+        .when(k % 7 == 3, F.concat(number, F.lit("  "))).otherwise(number).alias("userdef100"))
+    right = t.orders.filter(F.col("o_orderstatus") == "F").select(
+        F.when(k % 11 == 0, F.lit(None).cast("string")).when(k % 11 == 1, F.lit(" "))
+        .when(k % 11 == 2, F.concat(number, F.lit(" "))).otherwise(number).alias("loan_number"),
+        F.when(k % 11 < 2, (k % 3).cast("int")).otherwise((k % 100).cast("int")).alias("loan_group_no"))
+    return coalesced_key_join(left, right, "userdef100", "loan_number", "left", needed=["loan_group_no"]).distinct()
+
+
 def _pivot(spark, d, by_time=False):
     srv = S.stand_in_servicing(Tables(spark, d))
     return history_pivot(srv.task_routing_history, srv.workflow_action, srv.workflow_result,
@@ -379,6 +407,12 @@ def q_earliest_balance(spark, d):
     return earliest_balance(S.aged_balance(Tables(spark, d)))
 
 
+@query("earliest_balance_all")
+def q_earliest_balance_all(spark, d):
+    """The earliest balance over every ``lineitem`` row."""
+    return earliest_balance(S.all_balances(Tables(spark, d)))
+
+
 @query("status_codes")
 def q_status_codes(spark, d):
     srv = S.stand_in_servicing(Tables(spark, d))
@@ -399,6 +433,18 @@ def q_match_merge(spark, d):
         "ssn", "CK_TRACKING_ID", "task_refno", "CustomerType")
 
 
+@query("match_merge_positional")
+def q_match_merge_positional(spark, d):
+    """C17 with several leads and several applications per person: every lead
+    order and every application order; each fiftieth customer has no key."""
+    o = Tables(spark, d).orders.withColumn("ssn", F.when(F.col("o_custkey") % 50 != 0, F.col("o_custkey")))
+    leads = o.filter(F.col("o_orderpriority").isin(*S.LEAD_PRIORITIES)).select(
+        "ssn", F.col("o_orderkey").alias("lead_key"), F.col("o_orderdate").alias("seen"))
+    apps = o.filter(F.col("o_orderpriority").isin(*S.APP_PRIORITIES)).select(
+        "ssn", F.col("o_orderkey").alias("app_key"), F.col("o_orderdate").alias("seen"))
+    return match_merge(leads, apps, "ssn", [F.col("lead_key")], [F.col("seen"), F.col("app_key")])
+
+
 # --------------------------------------------------------------------------
 # Windows (E1-E6)
 # --------------------------------------------------------------------------
@@ -414,6 +460,24 @@ def q_best_lead_weekly(spark, d):
                                                      "AMT_APPLIED", "LEAD_PREQUAL")
 
 
+@query("best_lead_weekly_file_order")
+def q_best_lead_weekly_file_order(spark, d):
+    """E2 on files: one per month of ``orders``, newest order first; ties of
+    the score go to the earlier file and line."""
+    names = list(S.LEAD_FILE_HEADER)
+    score = names.index("Applicant Credit Score")
+    cols = S.lead_file_columns()
+    cols[score] = (600 + F.col("o_orderkey") % 3).cast("string")       # many ties
+    lines = Tables(spark, d).orders.select(F.trunc("o_orderdate", "month").alias("batch"), csv_line(cols).alias("value"),
+                                           "o_orderkey")
+    folder = scratch_path(spark, "fixtures", "ordered_drop", unique=True)
+    write_batched_files(lines, folder, ",".join(names), [-F.col("o_orderkey")])
+    files = sorted(path for path, _ in list_files(spark, folder))
+    raw = read_lead_files(spark, files, with_order=True)
+    rules = R.PROFILES["weekly"]
+    return best_leads(typed_leads(raw, rules), rules).select("ssn", "CK_TRACKING_ID", "LEAD_SCORE")
+
+
 @query("latest_app")
 def q_latest_app(spark, d):
     return latest_apps(run(spark, d).snapshot).select("ssn", "task_refno", "ApplicationEnterDate",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leadflow import rules as R
 from leadflow.functions import customer_type
+from leadflow.operators.keys import broadcast_small, text_key
 
 
 def history_pivot(history: DataFrame, actions: DataFrame, results: DataFrame,
@@ -16,8 +17,9 @@ def history_pivot(history: DataFrame, actions: DataFrame, results: DataFrame,
     Replaces five correlated reads of the history table (credit pulled?,
     latest funded date, earliest application date, "last" action, customer
     types) by one ``groupBy(task_refno)`` with partial aggregation.  The
-    action/result code tables are left-joined (Spark broadcasts them when
-    they are as small as code tables are).
+    action/result code tables are left-joined by broadcast while they are
+    small (``broadcast_small``), so the history is not shuffled by a code.  Texts
+    are compared without their trailing blanks.
 
     * ``WasCreditReportPulled``: 'Yes' if a PULL CREDIT REPORT row has result
       'yes', else 'No' (C8).
@@ -31,9 +33,9 @@ def history_pivot(history: DataFrame, actions: DataFrame, results: DataFrame,
     * ``_types``: distinct customer types of the BOOK LOAN rows (C6), as an
       array of one-field structs so an unmapped (null) type survives.
     """
-    h = (history.join(actions, "workflow_action_id", "left")
-         .join(results, "workflow_result_id", "left"))
-    action, result, created = F.col("action"), F.col("result"), F.col("created_date")
+    h = (history.join(broadcast_small(actions), "workflow_action_id", "left")
+         .join(broadcast_small(results), "workflow_result_id", "left"))
+    action, result, created = text_key(F.col("action")), text_key(F.col("result")), F.col("created_date")
     is_enter = action == R.ACTION_ENTER_APPLICATION
     booked = (action == R.ACTION_BOOK_LOAN) & (result == R.RESULT_YES)
     pulled = (action == R.ACTION_PULL_CREDIT) & (result == R.RESULT_YES)
@@ -71,8 +73,8 @@ def status_codes(statuses: DataFrame, codes: DataFrame,
     with the loan table); when the result is only ever left-joined back to
     that table the restriction is implied and can be skipped.
     """
-    s = statuses.join(codes, "status_code_no", "inner")
-    s = s.filter(F.col("status_code").isNotNull() & (F.col("status_code") != ""))
+    s = statuses.join(broadcast_small(codes), "status_code_no", "inner")
+    s = s.filter(F.col("status_code").isNotNull() & (text_key(F.col("status_code")) != ""))
     if accounts is not None:
         s = s.join(accounts.select("acctrefno"), "acctrefno", "left_semi")
     return s.groupBy("acctrefno").agg(
@@ -80,11 +82,12 @@ def status_codes(statuses: DataFrame, codes: DataFrame,
 
 
 def earliest_balance(balances: DataFrame) -> DataFrame:
-    """Balance of the earliest run date per loan number.
+    """Balance of the earliest run date per loan number (numbers that
+    differ in trailing blanks are one, shown without them).
 
     The reference sorts ascending with nulls first, so a row with no run
     date wins; equal dates take the smaller balance (our tiebreak).
     """
     key = F.struct(F.col("rundate").isNotNull(), F.col("rundate"), F.col("netbalance"))
-    return balances.groupBy("loannumber").agg(
+    return balances.groupBy(text_key(F.col("loannumber")).alias("loannumber")).agg(
         F.min_by("netbalance", key).alias("netbalance"))

@@ -385,14 +385,14 @@ CTES.update(_daily())
 CTES.update(_daily("_intended", intended=True))
 
 
-def _weekly(profile: str) -> dict[str, str]:
+def _weekly(profile: str, snapshot: str | None = None, suffix: str = "") -> dict[str, str]:
     v1 = profile == "weekly"
     null_text = "'NULL'" if v1 else "'None'"
     not_declined = "'NULL'" if v1 else "''"
     none_list = "('NULL', '')" if v1 else "('None', '')"
     key = "SSNo" if v1 else pad("CAST(SSNo AS VARCHAR)")
-    snap = "snapshot_weekly" if v1 else "snapshot_weekly_v2"
-    p = profile
+    snap = snapshot or ("snapshot_weekly" if v1 else "snapshot_weekly_v2")
+    leads, p = f"best_{profile}", profile + suffix
     out = {}
     out[f"apps_{p}"] = f"""
   SELECT * EXCLUDE (ssn, LoanNumber, TaskStatus, ReasonDeclined, lead_app),
@@ -406,7 +406,7 @@ def _weekly(profile: str) -> dict[str, str]:
   SELECT l.*, a.* EXCLUDE (ssn),
          (a.ApplicationEnterDate IS NULL AND l.LEADDATE IS NOT NULL)
            OR COALESCE(a.ApplicationEnterDate < l.LEADDATE, FALSE) AS pre
-  FROM best_{p} l LEFT JOIN apps_{p} a ON l.ssn IS NOT DISTINCT FROM a.ssn"""
+  FROM {leads} l LEFT JOIN apps_{p} a ON l.ssn IS NOT DISTINCT FROM a.ssn"""
     # SAS DATA step, statement by statement (last write wins).
     out[f"rows_{p}"] = f"""
   SELECT *,
@@ -457,6 +457,10 @@ def _weekly(profile: str) -> dict[str, str]:
 
 CTES.update(_weekly("weekly"))
 CTES.update(_weekly("weekly_v2"))
+# the intended rules from the tables on: snapshot, then best outcome
+for _n in ("weekly", "weekly_v2"):
+    CTES[f"snapshot_{_n}_i"] = _snapshot(f"persons_{_n}", "app_table_intended")
+    CTES.update(_weekly(_n, f"snapshot_{_n}_i", "_i"))
 
 
 def with_ctes(select: str) -> str:
@@ -597,6 +601,8 @@ SELECTS: dict[str, str] = {
     "funnel_daily": f"SELECT {FUNNEL_COLS} FROM funnel_daily",
     "funnel_weekly": f"SELECT {FUNNEL_COLS}, task_refno FROM funnel_weekly",
     "funnel_weekly_v2": f"SELECT {FUNNEL_COLS}, task_refno FROM funnel_weekly_v2",
+    "funnel_weekly_intended": f"SELECT {FUNNEL_COLS}, task_refno FROM funnel_weekly_i_intended",
+    "funnel_weekly_v2_intended": f"SELECT {FUNNEL_COLS}, task_refno FROM funnel_weekly_v2_i_intended",
     "before_lead_reset": """
   SELECT ssn, _pre AS APP_BEFORE, ApplicationEnterDate, FundedDate, AMT_APPROVED, TERM_APPROVED, AMOUNT_FUNDED
   FROM funnel_daily""",
@@ -639,6 +645,43 @@ SELECTS: dict[str, str] = {
   SELECT loannumber, netbalance FROM (
     SELECT loannumber, netbalance, row_number() OVER (PARTITION BY loannumber
            ORDER BY rundate NULLS FIRST, netbalance) AS rn FROM aged_balance) WHERE rn = 1""",
+    "earliest_balance_all": f"""
+  SELECT loannumber, netbalance FROM (
+    SELECT 'LN' || CAST(l_orderkey AS VARCHAR) AS loannumber, {money(CENTS.format(x='l_extendedprice'))} AS netbalance,
+           row_number() OVER (PARTITION BY l_orderkey ORDER BY CAST(l_shipdate AS DATE) NULLS FIRST,
+                              {money(CENTS.format(x='l_extendedprice'))}) AS rn FROM lineitem) WHERE rn = 1""",
+    "blank_key_join": f"""
+  SELECT DISTINCT l.task_refno, l.userdef100, r.loan_group_no
+  FROM (SELECT o_orderkey AS task_refno,
+               CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '   '
+                    WHEN 3 THEN 'LN' || CAST(o_orderkey % 5000 AS VARCHAR) || '  '
+                    ELSE 'LN' || CAST(o_orderkey % 5000 AS VARCHAR) END AS userdef100
+        FROM orders WHERE o_orderpriority IN {APP_PRIORITIES}) l
+  LEFT JOIN (SELECT CASE o_orderkey % 11 WHEN 0 THEN NULL WHEN 1 THEN ' '
+                         WHEN 2 THEN 'LN' || CAST(o_orderkey % 5000 AS VARCHAR) || ' '
+                         ELSE 'LN' || CAST(o_orderkey % 5000 AS VARCHAR) END AS loan_number,
+                    CAST(CASE WHEN o_orderkey % 11 < 2 THEN o_orderkey % 3 ELSE o_orderkey % 100 END AS INTEGER) AS loan_group_no
+             FROM orders WHERE o_orderstatus = 'F') r
+    ON rtrim(COALESCE(r.loan_number, ''), ' ') = rtrim(COALESCE(l.userdef100, ''), ' ')""",
+    "match_merge_positional": f"""
+  SELECT * FROM (WITH l AS (SELECT *, row_number() OVER (PARTITION BY ssn ORDER BY lead_key) AS i, count(*) OVER (PARTITION BY ssn) AS m
+             FROM (SELECT CASE WHEN o_custkey % 50 <> 0 THEN o_custkey END AS ssn, o_orderkey AS lead_key, o_orderdate AS seen
+                   FROM orders WHERE o_orderpriority IN {LEAD_PRIORITIES})),
+       r AS (SELECT *, row_number() OVER (PARTITION BY ssn ORDER BY seen, app_key) AS i, count(*) OVER (PARTITION BY ssn) AS n
+             FROM (SELECT CASE WHEN o_custkey % 50 <> 0 THEN o_custkey END AS ssn, o_orderkey AS app_key, o_orderdate AS seen
+                   FROM orders WHERE o_orderpriority IN {APP_PRIORITIES})),
+       g AS (SELECT a.ssn, a.m, COALESCE(b.n, 0) AS n FROM (SELECT DISTINCT ssn, m FROM l) a
+             LEFT JOIN (SELECT DISTINCT ssn, n FROM r) b ON a.ssn IS NOT DISTINCT FROM b.ssn),
+       p AS (SELECT ssn, m, n, unnest(range(1, CAST(greatest(m, n) AS BIGINT) + 1)) AS i FROM g)
+  SELECT p.ssn, l.lead_key, CASE WHEN p.i <= p.n THEN r.seen ELSE l.seen END AS seen, r.app_key
+  FROM p JOIN l ON l.ssn IS NOT DISTINCT FROM p.ssn AND l.i = least(p.i, p.m)
+         LEFT JOIN r ON r.ssn IS NOT DISTINCT FROM p.ssn AND r.i = least(p.i, p.n))""",
+    "best_lead_weekly_file_order": """
+  SELECT ssn, CK_TRACKING_ID, LEAD_SCORE FROM (
+    SELECT o_custkey AS ssn, sub_id AS CK_TRACKING_ID, CAST(600 + o_orderkey % 3 AS INTEGER) AS LEAD_SCORE,
+           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 3 DESC,
+                              date_trunc('month', o_orderdate), o_orderkey DESC) AS rn
+    FROM file_rows) WHERE rn = 1""",
     "status_codes": "SELECT acctrefno, statflags FROM statflags",
     "lead_app_join": """
   SELECT l.ssn, l.CK_TRACKING_ID, a.task_refno, a.ApplicationEnterDate

@@ -9,9 +9,10 @@ from leadflow import rules as R
 from leadflow.functions import (canonical_id, final_loan_amount, parse_dates,
                                 score_parse, text_coercion, to_decimal,
                                 to_double)
-from leadflow.operators import (coalesced_key_join, earliest_balance,
-                                history_pivot, left_join_left_pred, semi_join,
-                                stage, status_codes)
+from leadflow.operators import (blank_key, coalesced_key_join, broadcast_small,
+                                earliest_balance, history_pivot,
+                                left_join_left_pred, semi_join, stage,
+                                status_codes, text_key)
 from leadflow.sources.files import read_delimited
 from leadflow.sources.servicing import Servicing
 
@@ -26,6 +27,11 @@ SNAPSHOT_COLUMNS = (
     "lead_app")
 
 
+# Loan-side columns that an application row is made of.
+LOAN_COLUMNS = ("loan_group_no", "ls_status_code", "statflags", "netbalance", "interest_method",
+                "original_note_amount", "addonint_total", "ld_userdef11")
+
+
 def borrowers_for(srv: Servicing, persons: DataFrame | None) -> DataFrame:
     """Borrower map rows whose canonical person key is among the leads."""
     b = srv.borrower.withColumn("ssn", canonical_id("SSNo"))
@@ -41,7 +47,7 @@ def application_tasks(srv: Servicing, borrowers: DataFrame) -> DataFrame:
     ta = (c.join(links, F.col("cifno") == F.col("child_refno"), "inner")
            .join(srv.task, F.col("parent_refno") == F.col("task_refno"), "inner")
            .drop("child_refno", "parent_refno")
-           .join(srv.task_status_codes.withColumnRenamed("status_code", "TaskStatus"),
+           .join(broadcast_small(srv.task_status_codes).withColumnRenamed("status_code", "TaskStatus"),
                  "status_code_id", "inner"))
     # Only details of candidate tasks can match; the semi-join is pushed
     # below the detail projection, so its text fields are derived for those
@@ -57,10 +63,8 @@ def candidate_loans(srv: Servicing, tasks: DataFrame) -> DataFrame:
     """Loan accounts some candidate task can match (C7): the task's loan
     number, or any loan whose number is missing/'' (those match every task
     without a loan number).  One semi-join on the coalesced number."""
-    keys = (tasks.select(F.coalesce(F.col("userdef100"), F.lit("")).alias("_k"))
-            .distinct())
-    return srv.loanacct.join(
-        keys, F.coalesce(F.col("loan_number"), F.lit("")) == F.col("_k"), "left_semi")
+    keys = tasks.select(blank_key(F.col("userdef100")).alias("_k")).distinct()
+    return srv.loanacct.join(keys, blank_key(F.col("loan_number")) == F.col("_k"), "left_semi")
 
 
 def loan_rows(srv: Servicing, loans: DataFrame) -> DataFrame:
@@ -71,18 +75,17 @@ def loan_rows(srv: Servicing, loans: DataFrame) -> DataFrame:
     """
     accounts = loans.select("acctrefno")
     st = status_codes(semi_join(srv.loanacct_statuses, accounts, "acctrefno"), srv.loan_status_codes)
-    bal = earliest_balance(semi_join(
-        srv.aged_balance, loans.select(F.col("loan_number").alias("loannumber")), "loannumber"))
+    numbers = loans.select(text_key(F.col("loan_number")).alias("_number"))
+    bal = earliest_balance(srv.aged_balance.join(
+        numbers, text_key(F.col("loannumber")) == F.col("_number"), "left_semi"))
     detail = semi_join(srv.loanacct_detail, accounts, "acctrefno").withColumnRenamed("userdef11", "ld_userdef11")
     return (loans.join(detail, "acctrefno", "left")
             .join(semi_join(srv.loanacct_setup, accounts, "acctrefno"), "acctrefno", "left")
             .join(st, "acctrefno", "left")
-            .join(bal, F.col("loan_number") == F.col("loannumber"), "left")
-            .join(srv.loan_status_codes.withColumnRenamed("status_code", "ls_status_code"),
+            .join(bal, text_key(F.col("loan_number")) == F.col("loannumber"), "left")
+            .join(broadcast_small(srv.loan_status_codes).withColumnRenamed("status_code", "ls_status_code"),
                   "status_code_no", "left")
-            .select("loan_number", "loan_group_no", "ls_status_code", "statflags",
-                    "netbalance", "interest_method", "original_note_amount",
-                    "addonint_total", "ld_userdef11"))
+            .select("loan_number", *LOAN_COLUMNS))
 
 
 def application_snapshot(srv: Servicing, persons: DataFrame | None = None,
@@ -100,7 +103,7 @@ def application_snapshot(srv: Servicing, persons: DataFrame | None = None,
     intended = mode == "intended"
     borrowers = borrowers_for(srv, persons)
     tasks = stage(application_tasks(srv, borrowers).filter(
-        F.coalesce(F.col("userdef100"), F.lit("")) != R.LOAN_NUMBER_CLOSED_BRANCH), "tasks", srv.scope)
+        blank_key(F.col("userdef100")) != R.LOAN_NUMBER_CLOSED_BRANCH), "tasks", srv.scope)
     loans = stage(candidate_loans(srv, tasks), "loans", srv.scope)
 
     # All history lookups in one pass, only for the candidate tasks.
@@ -114,7 +117,10 @@ def application_snapshot(srv: Servicing, persons: DataFrame | None = None,
     detail = semi_join(srv.cif_detail, tasks.select("cifno"), "cifno").withColumnRenamed("cifno", "h_cifno")
     rows = rows.join(detail, F.col("cifno") == F.col("h_cifno"), "left")
 
-    rows = coalesced_key_join(rows, loan_rows(srv, loans), "userdef100", "loan_number", "left")
+    # set semantics (a DISTINCT or a total-order pick follows): blank loans
+    # are paired as their distinct rows
+    rows = coalesced_key_join(rows, loan_rows(srv, loans), "userdef100", "loan_number", "left",
+                              needed=LOAN_COLUMNS, scope=srv.scope)
     rows = rows.filter(F.coalesce(F.col("loan_group_no"), F.lit(R.DEFAULT_LOAN_GROUP))
                        != R.EXCLUDED_LOAN_GROUP)
     rows = rows.withColumn("_type", F.explode_outer("_types"))

@@ -22,7 +22,7 @@ from leadflow.plans.reports import (daily_summary, funnel_frequency,
                                     partner_feed, weekly_summary)
 from leadflow.plans.sinks import (write_partner_feed, write_snapshot,
                                   write_summary)
-from leadflow.sources.files import (list_files, newest_and_oldest,
+from leadflow.sources.files import (ORDER_COL, list_files, newest_and_oldest,
                                     read_lead_files, surplus_rows)
 from leadflow.sources.servicing import Servicing
 
@@ -31,7 +31,7 @@ def write_rejects(spark: SparkSession, files, raw, rules: R.FunnelRules, path: s
     """Rows dropped by the reader (more fields than the header) and lead rows
     with no person key or a bad amount, as JSON lines with file and reason."""
     surplus_rows(spark, files).write.mode("overwrite").json(f"{path}/files")
-    lead_rejects(raw, rules).write.mode("overwrite").json(f"{path}/leads")
+    lead_rejects(raw, rules).drop(ORDER_COL).write.mode("overwrite").json(f"{path}/leads")
 
 
 def daily_job(spark: SparkSession, sf_dir: str, drop_folder: str, out_dir: str,
@@ -80,7 +80,7 @@ def weekly_job(spark: SparkSession, sf_dir: str, lead_paths, out_dir: str,
     snap = read_snapshot(spark, snapshot_path, snapshot_date) if snapshot_path else None
     apps = read_apps_file(spark, apps_files, rules) if apps_files else None
     files = list(lead_paths)
-    raw = read_lead_files(spark, files)
+    raw = read_lead_files(spark, files, with_order=True)
     run = Run(spark, sf_dir, raw_leads=raw, rules=rules, snapshot=snap, servicing=servicing, apps=apps)
     out = {"summary": f"{out_dir}/summary_{run_date:%m%d%Y}",
            "rejects": f"{out_dir}/rejects_{run_date:%m%d%Y}",

@@ -10,6 +10,7 @@ from leadflow.functions import (canonical_id, canonical_id_numeric, col_,
                                 int_fill, int_strict, parse_dates, sas_text,
                                 to_double)
 from leadflow.operators import best_per_key
+from leadflow.sources.files import ORDER_COL
 
 TEXT_COLUMNS = ("irpid", "application_number", "applicant_ssn",
                 "applicant_address_zip", "app._cell_phone")
@@ -67,6 +68,7 @@ def typed_leads(raw: DataFrame, rules: R.FunnelRules) -> DataFrame:
         score.alias("LEAD_SCORE"),
         amount.alias("AMT_APPLIED"),
         F.lit("lead").alias("lead_app"),
+        *[F.col(c) for c in (ORDER_COL,) if c in raw.columns],
     )
     if rules.sas:
         out = out.withColumn(
@@ -76,14 +78,18 @@ def typed_leads(raw: DataFrame, rules: R.FunnelRules) -> DataFrame:
 
 def best_leads(leads: DataFrame, rules: R.FunnelRules) -> DataFrame:
     """E1 (daily): latest lead time, then highest score.
-    E2 (weekly): highest score; ties keep file order (tracking id here).
-    Missing values sort last in both (pandas na_position, SAS DESCENDING)."""
+    E2 (weekly): highest score; ties keep the order of the input, the place by
+    file and line (``read_lead_files(with_order=True)``), or where leads have
+    none the tracking id.  Missing values sort last in both (pandas
+    na_position, SAS DESCENDING)."""
+    placed = ORDER_COL in leads.columns
     tie = [F.col("AMT_APPLIED").desc_nulls_last(), F.col("CK_TRACKING_ID").asc_nulls_last()]
     if rules.lead_order == "latest":
         order = [F.col("LEADDATE").desc_nulls_last(), F.col("LEAD_SCORE").desc_nulls_last(), *tie]
     else:
-        order = [F.col("LEAD_SCORE").desc_nulls_last(), F.col("CK_TRACKING_ID").asc_nulls_last()]
-    return best_per_key(leads, ["ssn"], order)
+        first = F.col(ORDER_COL).asc() if placed else F.col("CK_TRACKING_ID").asc_nulls_last()
+        order = [F.col("LEAD_SCORE").desc_nulls_last(), first]
+    return best_per_key(leads, ["ssn"], order).drop(ORDER_COL)
 
 
 def lead_keys(best: DataFrame) -> DataFrame:

@@ -21,25 +21,29 @@ def csv_line(cols: Sequence[Column]) -> Column:
     return F.concat_ws(",", *[csv_field(c) for c in cols])
 
 
-def write_batched_files(lines: DataFrame, folder: str, header_line: str) -> str:
+def write_batched_files(lines: DataFrame, folder: str, header_line: str,
+                        order: Sequence[Column] = ()) -> str:
     """Write ``lines`` (columns ``batch`` date, ``value`` text) as one CSV
     file per batch date, header first, into ``folder/<yyyy-mm-dd>.csv``,
     and stamp each file's modification time with its date (newest batch =
     newest file).  One file per batch is the delivery unit; batches are
-    spread over tasks by the shuffle.  ``folder`` must be a new one.
+    spread over tasks by the shuffle.  ``order``: of the lines in each file,
+    by columns of ``lines``.  ``folder`` must be a new one.
     """
     spark = lines.sparkSession
     staging = f"{folder}/_staging"
     # lines leave as Latin-1 bytes, the encoding that deliveries have
     latin = F.encode(F.col("value"), "ISO-8859-1").cast("string")
-    keyed = lines.select(F.date_format("batch", "yyyy-MM-dd").alias("batch"), latin.alias("value"))
+    places = [c.alias(f"_by{i}") for i, c in enumerate(order)]
+    keyed = lines.select(F.date_format("batch", "yyyy-MM-dd").alias("batch"), latin.alias("value"), *places)
     hdr = keyed.select("batch").distinct().select("batch", F.lit(0).alias("_o"),
                                                   F.lit(header_line).alias("value"))
-    body = keyed.select("batch", F.lit(1).alias("_o"), "value")
+    by = [f"_by{i}" for i in range(len(places))]
+    body = keyed.select("batch", F.lit(1).alias("_o"), "value", *by)
     # Sorted by (batch, _o) before the write, so the writer's own ordering
     # requirement (by batch) is already met and the header stays first.
-    (body.unionByName(hdr).repartition("batch").sortWithinPartitions("batch", "_o")
-     .drop("_o").write.mode("overwrite").partitionBy("batch").text(staging))
+    (body.unionByName(hdr, allowMissingColumns=True).repartition("batch").sortWithinPartitions("batch", "_o", *by)
+     .drop("_o", *by).write.mode("overwrite").partitionBy("batch").text(staging))
     jvm = spark.sparkContext._jvm
     fs, root = _hadoop_fs(spark, staging)
     import datetime as dt

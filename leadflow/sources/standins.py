@@ -51,8 +51,10 @@ LEAD_FILE_HEADER = ("IRMPName", "Applicant SSN", "IRPID", "Application Number",
 
 
 def code_table(spark: SparkSession, rows, key: str, value: str) -> DataFrame:
-    """A fixed lookup table of a few rows."""
-    return spark.createDataFrame(list(rows), f"{key} int, {value} string")
+    """A fixed lookup table of a few rows, inline in the plan, so that the
+    planner knows its size."""
+    listed = ", ".join("({}, '{}')".format(k, v.replace("\\", "\\\\").replace("'", "\\'")) for k, v in rows)
+    return spark.sql(f"SELECT * FROM VALUES {listed} AS codes({key}, {value})")
 
 
 # SQL snippets shared by the stand-in definitions (exact integer cents).
@@ -232,13 +234,22 @@ def task_routing_history(t: Tables) -> DataFrame:
         "l_shipdate AS created_date")
 
 
-def aged_balance(t: Tables) -> DataFrame:
-    return t.lineitem.filter(F.col("l_returnflag") == "R").selectExpr(
+def _balances(lines: DataFrame) -> DataFrame:
+    return lines.selectExpr(
         "concat('LN', CAST(l_orderkey AS STRING)) AS loannumber",
         f"{_money(CENTS.format(x='l_extendedprice'))} AS netbalance",
         "to_date(l_shipdate) AS rundate")
 
 
+def aged_balance(t: Tables) -> DataFrame:
+    return _balances(t.lineitem.filter(F.col("l_returnflag") == "R"))
+
+
+def all_balances(t: Tables) -> DataFrame:
+    """A balance for every ``lineitem`` row, whatever its return flag."""
+    return _balances(t.lineitem)
+
+
 def task_status_codes(spark: SparkSession) -> DataFrame:
     return code_table(spark, TASK_STATUS_CODES, "status_code_id", "status_code")
 

@@ -1,9 +1,13 @@
 """Join shapes: coalesced-key hot bucket, left-only ON term, match-merge."""
 
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 from leadflow.operators import (best_per_key, coalesced_key_join,
-                                left_join_left_pred, match_merge, sticky_flag)
+                                left_join_left_pred, match_merge, number_rows,
+                                sticky_flag)
 
 
 def test_coalesced_key_join_null_matches_empty(spark):
@@ -60,3 +64,112 @@ def test_match_merge_shared_column_app_wins(spark):
     got = sorted((r.ssn, r.src) for r in match_merge(leads, apps, "ssn").collect())
     # an app row exists for 1: its (missing) value wins; none for 2: lead value
     assert got == [(1, None), (2, "lead")]
+
+
+# ---- several rows per key on both sides ------------------------------------
+
+def record_merge(leads, apps):
+    """The DATA step record by record: (key, lead, app, src) rows."""
+    out = []
+    for key in {k for k, *_ in leads}:
+        ls, rs = ([r for r in side if r[0] == key] for side in (leads, apps))
+        lead = app = src = None
+        for i in range(max(len(ls), len(rs))):
+            if i < len(ls):
+                lead, src = ls[i][1], ls[i][2]
+            if i < len(rs):
+                app, src = rs[i][1], rs[i][2]
+            out.append((key, lead, app, src))
+    return Counter(out)
+
+
+def test_positional_merge_is_the_data_step(spark):
+    leads, apps = [], []
+    keys = {(m, n): 10 * m + n for m in range(4) for n in range(4)} | {("null", 2): None}
+    for (m, n), key in keys.items():
+        for i in range(2 if m == "null" else m):
+            leads.append((key, f"L{key}.{i}", f"lead {i}"))
+        for i in range(n if m != "null" else 3):
+            apps.append((key, f"A{key}.{i}", f"app {i}" if i != 1 else None))
+    leads += [(99, f"hot {i:05}", "l") for i in range(3000)]
+    apps += [(99, f"app {i:05}", "a") for i in range(2000)]
+    l = spark.createDataFrame(leads, "ssn long, lead string, src string").repartition(5)
+    a = spark.createDataFrame(apps, "ssn long, app string, src string").repartition(7)
+    out = match_merge(l, a, "ssn", [F.col("lead")], [F.col("app")])
+    assert out.columns == ["ssn", "lead", "src", "app"]
+    assert Counter((r.ssn, r.lead, r.app, r.src) for r in out.collect()) == record_merge(leads, apps)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cartesian" not in plan and "Join Cross" not in plan and "rightHint=(strategy=broadcast)" not in plan
+    none = match_merge(l.limit(0), a, "ssn", [F.col("lead")], [F.col("app")])
+    assert none.count() == 0
+    assert match_merge(l, a.limit(0), "ssn", [F.col("lead")], [F.col("app")]).count() == len(leads)
+
+
+def test_number_rows_over_partitions(spark):
+    rows = [(k, i) for k in (None, 1, 2) for i in range(700 if k == 1 else 40)]
+    df = spark.createDataFrame(rows, "k int, i int").repartition(6)
+    got = number_rows(df, ["k"], [F.col("i").desc()], "nth").collect()
+    for k in (None, 1, 2):
+        assert [r.i for r in sorted((r for r in got if r.k == k), key=lambda r: r.nth)] == \
+            sorted((i for q, i in rows if q == k), reverse=True)
+        assert sorted(r.nth for r in got if r.k == k) == list(range(1, sum(q == k for q, _ in rows) + 1))
+
+
+def test_match_merge_refuses_several_null_leads(spark):
+    leads = spark.createDataFrame([(None, "L1"), (None, "L2")], "ssn long, lead string")
+    apps = spark.createDataFrame([(None, "A")], "ssn long, app string")
+    with pytest.raises(Exception, match="several leads without a key"):
+        match_merge(leads, apps, "ssn").collect()
+
+
+# ---- blank keys -------------------------------------------------------------
+
+LEFT = [(1, None), (2, ""), (3, "K"), (4, "Z"), (5, "  "), (6, "K  "), (7, " K"), (8, "k")]
+RIGHT = [(10, "", "x"), (11, None, "x"), (12, "K", "y"), (13, "K ", "z"), (14, " ", "w"), (15, "K", "y")]
+
+
+def pairs(how):
+    key = lambda k: (k or "").rstrip(" ")
+    out = []
+    for i, k in LEFT:
+        m = [(r, v) for r, q, v in RIGHT if key(q) == key(k)]
+        out += [(i, k, r, v) for r, v in m] or ([(i, k, None, None)] if how == "left" else [])
+    return out
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_trailing_blanks_and_factorised_join(spark, how, monkeypatch):
+    left = spark.createDataFrame(LEFT, "id int, k string")
+    right = spark.createDataFrame(RIGHT, "rid int, rk string, v string")
+    out = coalesced_key_join(left, right, "k", "rk", how).select("id", "k", "rid", "v")
+    assert Counter(map(tuple, out.collect())) == Counter(pairs(how))
+    want = {(i, k, v) for i, k, _, v in pairs(how)}
+    small = coalesced_key_join(left, right, "k", "rk", how, needed=["v"])
+    assert small.columns == ["id", "k", "v"] and set(map(tuple, small.collect())) == want
+    monkeypatch.setattr("leadflow.operators.joins.PAIRED_BYTES", 0)     # the other way, beyond the size
+    large = coalesced_key_join(left, right, "k", "rk", how, needed=["v"])
+    assert set(map(tuple, large.select("id", "k", "v").collect())) == want
+
+
+def test_many_blank_rows_on_both_sides(spark):
+    """100,000 x 100,000 blank rows with few distinct loan columns."""
+    left = spark.range(100_000).select("id", F.when(F.col("id") % 2 == 0, F.lit(" ")).alias("k"))
+    right = spark.range(100_000).select(F.lit("").alias("rk"), (F.col("id") % 3).alias("v"))
+    out = coalesced_key_join(left, right, "k", "rk", needed=["v"])
+    assert out.count() == 300_000
+    assert "sequence" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_history_is_not_shuffled_by_a_code(spark, tmpdir_path):
+    """Code tables of known and of unknown size."""
+    from leadflow.operators import history_pivot, status_codes
+    from leadflow.sources import standins as S
+    from leadflow.sources.tables import Tables
+    t = Tables(spark, "/root/testdata/sf0.001")
+    inline = (S.workflow_action(spark), S.workflow_result(spark), S.loan_status_codes(spark))
+    unknown = tuple(spark.createDataFrame(x.rdd, x.schema) for x in inline)
+    for a, r, c in (inline, unknown):
+        for df in (history_pivot(S.task_routing_history(t), a, r), status_codes(S.loanacct_statuses(t), c)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan
+            assert not any(f"hashpartitioning({c}" in plan for c in ("workflow", "status_code_no"))

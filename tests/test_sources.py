@@ -91,3 +91,64 @@ def test_files_of_one_header_are_one_scan(spark, tmpdir_path):
     write(os.path.join(tmpdir_path, "empty.csv"), "")
     groups = by_header(spark, [os.path.join(tmpdir_path, n) for n in ("0.csv", "1.csv", "2.csv", "empty.csv")])
     assert {k: len(v) for k, v in groups.items()} == {("a", "b"): 2, ("b", "a"): 1}
+
+
+# ---- files in splits, and the order of their lines -------------------------
+
+def test_order_of_lines_over_splits_and_files(spark, tmpdir_path):
+    """Ties of the weekly pick follow file and line, in files of many splits."""
+    import dataclasses
+    from pathlib import Path
+
+    from leadflow import rules as R
+    from leadflow.plans.leads import best_leads, typed_leads
+    from leadflow.sources.files import read_lead_files
+    head = "IRMPName,Applicant SSN,IRPID,Application Number,Applicant Address Zip,App. Cell Phone,Decision Status," \
+           "Loan Type,Applicant Address State,Sub ID,Application Date,Decision Date/Time,Applicant Credit Score,Amt. Fin."
+    lines = [f'P,{k % 97},I,N,Z,,"Auto Approved",L,S,id{(k * 7919) % 6000:05},1/2/2020 3:04,1/2/2020 3:04,{600 + k % 3},10.5'
+             for k in range(6000)]
+    files = [f"{tmpdir_path}/{n}" for n in ("z first+1.csv", "a second.csv", "m, third.csv")]
+    for i, f in enumerate(files):
+        Path(f).write_text("\n".join([head, *lines[2000 * i:2000 * i + 2000]]) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        raw = read_lead_files(spark, files, with_order=True)
+        assert raw.rdd.getNumPartitions() > 20
+        assert [r.sub_id for r in raw.orderBy("_order").select("sub_id").collect()] == [x.split(",")[9] for x in lines]
+        rules = dataclasses.replace(R.PROFILES["weekly"], partner=None)
+        best = best_leads(typed_leads(raw, rules), rules)
+        assert "_order" not in best.columns
+        got = {r.ssn: r.CK_TRACKING_ID for r in best.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = {}
+    for k, x in enumerate(lines):
+        f = x.split(",")
+        p = int(f[1])
+        if p not in want or int(f[12]) > want[p][0]:
+            want[p] = int(f[12]), f[9]
+    assert got == {p: t for p, (_, t) in want.items()}
+
+
+def test_only_files_with_open_quotes_are_read_whole(spark, tmpdir_path):
+    from pathlib import Path
+
+    from leadflow.sources.files import open_quote_files, read_lead_files, scans
+    plain, spans, doubled = (f"{tmpdir_path}/{n}.csv" for n in ("plain", "spans", "doubled"))
+    Path(plain).write_text("A,B\n" + "".join(f"{i},x\n" for i in range(4000)))
+    Path(spans).write_text('A,B\n1,"two\nlines"\n2,y\n')
+    Path(doubled).write_text('A,B\n1,"say ""hi"", twice"\n')
+    files = [plain, spans, doubled]
+    assert open_quote_files(spark, files) == {1}
+    assert scans(spark, files) == [(("A", "B"), [plain, doubled], False), (("A", "B"), [spans], True)]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        df = read_lead_files(spark, files)
+        assert df.rdd.getNumPartitions() > 5
+        got = sorted((r.a, r.b) for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == sorted([(str(i), "x") for i in range(4000)] + [("1", "two\nlines"), ("2", "y"), ("1", 'say "hi", twice')])
+    assert sorted((r.a, r.b) for r in read_lead_files(spark, files, multi_line=True).collect()) == got
