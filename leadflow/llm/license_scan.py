@@ -21,6 +21,7 @@ from math import ceil, log
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,7 +116,7 @@ SHINGLE = 2
 CONTAINMENT = 0.8
 ROWS = 2                # MinHash values per band
 MISS = 1e-4
-_MAX_WORDS = 4_000      # words of all templates together: they travel with each task
+PORTION_WORDS = 200_000  # words of the templates that one pass over the documents looks for, about
 
 _EDGE = re.compile(rb"^[^0-9a-z]+|[^0-9a-z]+$")
 
@@ -186,8 +187,6 @@ def _band_keys(shingles: np.ndarray, width: int, bands: int, rows: int) -> Itera
 
 def compile_templates(templates: Sequence[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT,
                       rows: int = ROWS) -> list[TemplateClass]:
-    if sum(len(t.split()) for _, t in templates) > _MAX_WORDS:
-        raise ValueError(f"templates of more than {_MAX_WORDS} words together do not travel with the tasks")
     by_length: dict[int, list[tuple[str, list[bytes]]]] = {}
     for name, text in templates:
         ws = [plain(w) for w in text.encode().split()]
@@ -222,6 +221,34 @@ def rivals(classes: list[TemplateClass]) -> dict[tuple[int, int], set[tuple[int,
     return out
 
 
+def portions(templates: Sequence[tuple[str, str]], containment: float, rows: int, related: bool,
+             words: int = PORTION_WORDS) -> Iterator[tuple[list[TemplateClass], dict | None]]:
+    """The templates in portions of about ``words`` words, compiled.  Those of
+    one license stay together and, with ``related``, those of rivals too,
+    which then come with the portion."""
+    group = {name: name for name, _ in templates}
+    if related:
+        classes = compile_templates(templates, containment, rows)
+        for (i, t), others in rivals(classes).items():
+            for j, u in others:
+                a, b = group[classes[i].names[t]], group[classes[j].names[u]]
+                if a != b:
+                    group = {n: a if g == b else g for n, g in group.items()}
+    sets: dict[str, list[tuple[str, str]]] = {}
+    for t in templates:
+        sets.setdefault(group[t[0]], []).append(t)
+    held: list[tuple[str, str]] = []
+    size = 0
+    for g in [*sets.values(), None]:
+        more = sum(len(t.split()) for _, t in g or [])
+        if held and (g is None or size + more > words):
+            classes = compile_templates(held, containment, rows)
+            yield classes, rivals(classes) if related else None
+            held, size = [], 0
+        held, size = held + (g or []), size + more
+
+
+_ROW = "doc_id long, license string, first_word long, containment double"
 _FOUND = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("first_word", pa.int64()),
                     ("containment", pa.float64())])
 
@@ -279,8 +306,9 @@ def _unrivalled(hits: list[tuple], classes: list[TemplateClass], rival: dict) ->
     return out
 
 
-def _scan(classes: list[TemplateClass], containment: float, rows: int, rival: dict | None):
+def _scan(sent: Broadcast, containment: float, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, rival = sent.value
         for batch in batches:
             for row in batch.to_pylist():
                 b = Block.of(row)
@@ -313,7 +341,8 @@ def _scan(classes: list[TemplateClass], containment: float, rows: int, rival: di
 
 
 def license_scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT,
-                 rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text", best_only: bool = False) -> DataFrame:
+                 rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text", best_only: bool = False,
+                 portion_words: int = PORTION_WORDS) -> DataFrame:
     """doc_id, license, first_word, containment: one row per document and
     license whose template one of its windows holds.
 
@@ -326,9 +355,15 @@ def license_scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLAT
 
     Notices of related licenses differ in a word or two, so a text holds
     enough of several.  With ``best_only`` a place counts only for the one of
-    related templates (``rivals``) that it holds most of."""
-    classes = compile_templates(templates, containment, rows)
+    related templates (``rivals``) that it holds most of.
+
+    Templates may be of any length and number: each pass over the blocks of
+    words looks for about ``portion_words`` words of them."""
+    spark = docs.sparkSession
     blocks = word_blocks(docs, id_col, text_col)
-    found = blocks.mapInArrow(_scan(classes, containment, rows, rivals(classes) if best_only else None),
-                              "doc_id long, license string, first_word long, containment double")
-    return found.select("doc_id", "license", "first_word", F.round("containment", 6).alias("containment"))
+    out = spark.createDataFrame([], _ROW)
+    # a portion's size is bounded, a longer single text being its own: it goes to each worker once
+    for classes, rival in portions(templates, containment, rows, best_only, portion_words):
+        sent = spark.sparkContext.broadcast((classes, rival))
+        out = out.union(blocks.mapInArrow(_scan(sent, containment, rows), _ROW))
+    return out.select("doc_id", "license", "first_word", F.round("containment", 6).alias("containment"))

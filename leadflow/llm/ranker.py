@@ -103,11 +103,19 @@ def fit_pairs(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, seed: int = 1
 def train(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
           max_rows: int = MAX_TRAIN_ROWS) -> Ranker:
     """Learn from labels 0/1 of rows that are not held out.  Of more than
-    ``max_rows`` such rows, those with the least hash of their id are taken."""
+    ``max_rows`` such labels, those with the least hash of their id are taken:
+    the labels are counted, and a hash limit that about ``max_rows`` of them
+    stay below is put before the join, so no task sorts or gathers all."""
+    place = F.xxhash64("l_id")
     lab = (labels.select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("l"))
            .filter(F.col("l").isin(0, 1) & ~held_out(F.col("l_id"))))
-    rows = (feats.join(lab, F.col("doc_id") == F.col("l_id")).select("doc_id", "l", *FEATURES)
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "l").limit(max_rows).collect())
+    n = lab.count()
+    if n > max_rows:
+        lab = lab.filter(place < int(-2.0**63 + 2.0**64 * max_rows / n))
+    found = (feats.join(lab, F.col("doc_id") == F.col("l_id")).select(place.alias("place"), "doc_id", "l", *FEATURES)
+             .collect())
+    # the limit lets a few more than max_rows through now and then, or ids shared by several rows
+    rows = [r[1:] for r in sorted(found, key=lambda r: (r.place, r.doc_id, r.l, r[3:]))[:max_rows]]
     if not rows:
         return Ranker([0.0] * len(FEATURES), [0.0] * len(FEATURES), 0.0, 1.0)
     x = np.array([r[2:] for r in rows], float)

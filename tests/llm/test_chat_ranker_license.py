@@ -117,6 +117,23 @@ def test_pairs_are_ranked():
     assert (fit_pairs(x, np.ones(600, bool))[1] == 0).all()
 
 
+def test_training_rows_are_bounded(spark):
+    """Of many labels those below a hash limit are taken: at most max_rows,
+    nearly as many, the same at every run; few labels are all taken."""
+    from leadflow.llm import ranker as R
+    feats = spark.range(5000).select(F.col("id").alias("doc_id"), *[(F.col("id") % (7 + k)).cast("double").alias(n)
+                                                                    for k, n in enumerate(R.FEATURES)])
+    labels = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 7 > 3).cast("int").alias("quality"))
+    seen = []
+    real, R.fit_pairs = R.fit_pairs, lambda x, good, **kw: (seen.append(x.shape[0]), real(x, good, **kw))[1]
+    try:
+        models = [R.train(feats, labels, max_rows=m) for m in (700, 700, 100_000)]
+    finally:
+        R.fit_pairs = real
+    assert models[0] == models[1] and seen[0] == seen[1] and 600 < seen[0] <= 700
+    assert seen[2] == 5000 - feats.filter(R.held_out(F.col("doc_id"))).count()
+
+
 def test_classifier(spark):
     from leadflow.llm.ranker import classify
     docs = spark.createDataFrame(
@@ -177,8 +194,30 @@ def test_license_scan(spark):
     assert license_scan(docs.limit(0)).count() == license_scan(docs, templates=()).count() == 0
     s = 0.5
     assert (1 - s ** 2) ** bands_for(s) <= 1e-4 < (1 - s ** 2) ** (bands_for(s) - 1)
-    with pytest.raises(ValueError):
-        license_scan(docs, templates=[("x", "w " * 5000)])
+
+
+def test_long_and_many_templates(spark):
+    """Texts of licenses, longer than any notice, in one and in several
+    portions; related ones told apart by what a text holds most of."""
+    from leadflow.llm.license_scan import license_scan
+    rng = random.Random(5)
+    words = lambda n: ["w%d" % rng.randrange(3000) for _ in range(n)]
+    long = {"L1": words(6000), "L2": words(2500), "L3": words(40)}
+    near = list(long["L2"])
+    for i in range(0, 400, 3):
+        near[i] = "other"
+    templates = [*((n, " ".join(w)) for n, w in long.items()), ("L2-variant", " ".join(near)), ("L3", "short title of it")]
+    worn = [w if rng.random() > .05 else "typo" for w in long["L1"]]
+    rows = [(1, " ".join(words(50) + long["L1"] + words(50))), (2, " ".join(worn)), (3, " ".join(long["L2"])),
+            (4, " ".join(words(9) + near)), (5, " ".join(long["L1"][:3000])), (6, "see the short title of it here"), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_scan(rows, templates, 0.8)
+    assert {(d, n) for d, n, *_ in want} == {(1, "L1"), (2, "L1"), (3, "L2"), (3, "L2-variant"), (4, "L2"),
+                                             (4, "L2-variant"), (6, "L3")}
+    for words_at_once in (200_000, 3000, 1):
+        assert Counter(tuple(r) for r in license_scan(docs, templates, portion_words=words_at_once).collect()) == want
+        best = license_scan(docs, templates, best_only=True, portion_words=words_at_once)
+        assert {(r.doc_id, r.license) for r in best.collect()} == {(1, "L1"), (2, "L1"), (3, "L2"), (4, "L2-variant"), (6, "L3")}
 
 
 BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
