@@ -167,32 +167,32 @@ def _encode(a_vocabulary: str, b_model: str, block_tokens: int, listings: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, seq = TaskContext.get().partitionId() << _SEQ_BITS, 0
         model, (b_bytes, b_len) = _piece_model(b_model), _piece_bytes(b_model)
-        with encoder(a_vocabulary, "byte", plain=True) as enc:
-            a_len = _entry_lengths(enc)
-            names = _numbers(len(a_len), len(b_len))
-            ids, tokens, held = [], [], 0
-            for batch in batches:
-                for k in range(0, batch.num_rows, 64):
-                    some = batch.slice(k, 64)
-                    said = [t or "" for t in some.column(1).to_pylist()]
-                    spaced = [" " + t for t in said]
-                    coded = zip(some.column(0).to_pylist(), said, spaced, enc.encode(spaced),
-                                model.encode(said, num_threads=1))
-                    for doc, text, full, a, b in coded:
-                        # A's entries hold every byte as it stands, so their lengths tell; B may have changed some
-                        raw = full.encode()
-                        same = text and int(a_len[a].sum()) == len(raw) and b"".join(map(b_bytes.__getitem__, b)) == raw
-                        size = len(a) + len(b) if same else 0
-                        if ids and (held + size > block_tokens or len(ids) >= block_tokens):
-                            yield _block(first | seq, ids, tokens, a_len, b_len, names, listings)
-                            ids, tokens, held, seq = [], [], 0, seq + 1
-                            if seq >> _SEQ_BITS:
-                                raise ValueError("more blocks in a partition than their numbers can tell apart")
-                        ids.append(doc)
-                        tokens.append((a, np.array(b, np.int64)) if same else None)
-                        held += size
-            if ids:
-                yield _block(first | seq, ids, tokens, a_len, b_len, names, listings)
+        enc = encoder(a_vocabulary, "byte", plain=True)
+        a_len = _entry_lengths(enc)
+        names = _numbers(len(a_len), len(b_len))
+        ids, tokens, held = [], [], 0
+        for batch in batches:
+            for k in range(0, batch.num_rows, 64):
+                some = batch.slice(k, 64)
+                said = [t or "" for t in some.column(1).to_pylist()]
+                spaced = [" " + t for t in said]
+                coded = zip(some.column(0).to_pylist(), said, spaced, enc.encode(spaced),
+                            model.encode(said, num_threads=1))
+                for doc, text, full, a, b in coded:
+                    # A's entries hold every byte as it stands, so their lengths tell; B may have changed some
+                    raw = full.encode()
+                    same = text and int(a_len[a].sum()) == len(raw) and b"".join(map(b_bytes.__getitem__, b)) == raw
+                    size = len(a) + len(b) if same else 0
+                    if ids and (held + size > block_tokens or len(ids) >= block_tokens):
+                        yield _block(first | seq, ids, tokens, a_len, b_len, names, listings)
+                        ids, tokens, held, seq = [], [], 0, seq + 1
+                        if seq >> _SEQ_BITS:
+                            raise ValueError("more blocks in a partition than their numbers can tell apart")
+                    ids.append(doc)
+                    tokens.append((a, np.array(b, np.int64)) if same else None)
+                    held += size
+        if ids:
+            yield _block(first | seq, ids, tokens, a_len, b_len, names, listings)
     return run
 
 

@@ -99,15 +99,15 @@ def _pack_partition(vocabulary: str, kind: str, end_id: int, length: int, most:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, end = TaskContext.get().partitionId(), np.array([end_id], np.uint32)
         open_, done = OpenWindows(length, most, min_cut), 0
-        with encoder(vocabulary, kind, plain) as enc:
-            for b in batches:
-                for doc, ids in zip(b.column(0).to_pylist(), enc.encode(texts(b.column(1)))):
-                    ids = np.concatenate([ids, end]).astype("<u4")
-                    open_.add((doc, 0, len(ids), ids))
-                    if len(open_.closed) >= 512:
-                        yield _batch(_rows(part, open_.closed, done, False))
-                        done += len(open_.closed)
-                        open_.closed = []
+        enc = encoder(vocabulary, kind, plain)
+        for b in batches:
+            for doc, ids in zip(b.column(0).to_pylist(), enc.encode(texts(b.column(1)))):
+                ids = np.concatenate([ids, end]).astype("<u4")
+                open_.add((doc, 0, len(ids), ids))
+                if len(open_.closed) >= 512:
+                    yield _batch(_rows(part, open_.closed, done, False))
+                    done += len(open_.closed)
+                    open_.closed = []
         rest = [pieces for _, pieces in open_.windows]
         rows = _rows(part, open_.closed, done, False) + _rows(part, rest, done + len(open_.closed), True)
         if rows:

@@ -131,18 +131,18 @@ def _write_partition(vocabulary: str, kind: str, end_id: int, width: int, segmen
         shard, seq = TaskContext.get().partitionId(), 0
         end = np.array([end_id], np.uint32)
         ids, docs, held = [], [], 0
-        with encoder(vocabulary, kind, plain) as enc:
-            for b in batches:
-                for doc, ids_ in zip(b.column(0).to_pylist(), enc.encode(texts(b.column(1)))):
-                    one = np.concatenate([ids_, end])
-                    if ids and held + len(one) > segment_ids:
-                        yield _segment(shard, seq, ids, docs, width)
-                        ids, docs, held, seq = [], [], 0, seq + 1
-                    ids.append(one)
-                    docs.append(doc)
-                    held += len(one)
-            if ids:
-                yield _segment(shard, seq, ids, docs, width)
+        enc = encoder(vocabulary, kind, plain)
+        for b in batches:
+            for doc, ids_ in zip(b.column(0).to_pylist(), enc.encode(texts(b.column(1)))):
+                one = np.concatenate([ids_, end])
+                if ids and held + len(one) > segment_ids:
+                    yield _segment(shard, seq, ids, docs, width)
+                    ids, docs, held, seq = [], [], 0, seq + 1
+                ids.append(one)
+                docs.append(doc)
+                held += len(one)
+        if ids:
+            yield _segment(shard, seq, ids, docs, width)
     return run
 
 

@@ -6,9 +6,8 @@ less time and remembers nothing.
 
 ``PieceEncoder`` is for a vocabulary that drops white space: a text's ids are
 the ids of its words one after the other, so each word is encoded once.  A
-task remembers the words it has met, up to about ``PIECE_BYTES``, then it
-starts anew, which changes nothing but speed; when the task ends, its worker
-keeps none of them.
+worker remembers the words it has met, up to about ``PIECE_BYTES`` of memory,
+then it starts anew, which changes nothing but speed.
 
 A special token's string in a text gives that token's id, as the tokenizers
 library does unless told otherwise; ``plain`` makes it ordinary text.
@@ -20,7 +19,6 @@ import json
 import os
 import re
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 
@@ -95,9 +93,6 @@ class ByteEncoder:
             else:
                 yield np.array(self.merges.encode_ordinary(text), np.uint32)
 
-    def forget(self) -> None:
-        """Nothing is remembered."""
-
 
 # letters of Latin-1, then marks: two runs that the vocabulary splits
 _SIMPLE = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?]*)")
@@ -196,18 +191,13 @@ _KINDS = {"byte": ByteEncoder, "word": PieceEncoder}
 _ENCODERS: dict[tuple, ByteEncoder | PieceEncoder] = {}
 
 
-@contextmanager
-def encoder(path: str, kind: str, plain: bool = False) -> Iterator[ByteEncoder | PieceEncoder]:
+def encoder(path: str, kind: str, plain: bool = False) -> ByteEncoder | PieceEncoder:
     """The worker's encoder for the vocabulary file; kind: byte (byte-level,
-    white space kept) or word (white space dropped).  The vocabulary stays
-    with the worker, what was remembered goes with the task."""
+    white space kept) or word (white space dropped)."""
     key = path, kind, plain
     if key not in _ENCODERS:
         _ENCODERS[key] = _KINDS[kind](path, plain)
-    try:
-        yield _ENCODERS[key]
-    finally:
-        _ENCODERS[key].forget()
+    return _ENCODERS[key]
 
 
 def texts(column: Iterable) -> list[str]:

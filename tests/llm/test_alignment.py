@@ -143,28 +143,21 @@ def test_ids_are_the_tokenizers_own(file, kind):
     for plain in (False, True):
         t = Tokenizer.from_file(P.path(file))
         t.encode_special_tokens = plain
-        with encoder(P.path(file), kind, plain) as enc:
-            for text, got in zip(many, enc.encode(many)):
-                assert got.tolist() == t.encode(text, add_special_tokens=False).ids, text
+        for text, got in zip(many, encoder(P.path(file), kind, plain).encode(many)):
+            assert got.tolist() == t.encode(text, add_special_tokens=False).ids, text
 
 
-def test_worker_keeps_no_pieces():
-    """What a task remembered is gone when it ends, also when it ends early,
-    and stays within its bytes before."""
+def test_what_a_worker_keeps_is_bounded():
+    """Packing's encoder keeps nothing of the texts; the other one keeps words
+    up to its bytes, then starts anew with the same ids."""
     import leadflow.llm.tokens as T
-    path = P.path("word_bpe_49k.json")
     many = [" ".join(f"w{k}x{j}" for j in range(50)) for k in range(200)]
-
-    def task():
-        with T.encoder(path, "word") as enc:
-            yield from enc.encode(many)
-    rows = task()
-    next(rows)
-    kept = T._ENCODERS[path, "word", False]
-    assert kept.held() > 0
-    rows.close()
-    assert kept.held() == 0
-    assert len(list(task())) == 200 and kept.held() == 0
-    small = T.PieceEncoder(path, piece_bytes=100_000)
-    for _ in small.encode(many, at_once=4):
-        assert small.held() < 200_000
+    packing = T.ByteEncoder(P.path("byte_bpe_50k.json"))
+    before = {k: len(v) for k, v in vars(packing).items() if hasattr(v, "__len__")}
+    ids = list(packing.encode(many))
+    assert {k: len(v) for k, v in vars(packing).items() if hasattr(v, "__len__")} == before and len(ids) == 200
+    path = P.path("word_bpe_49k.json")
+    small, large = T.PieceEncoder(path, piece_bytes=100_000), T.PieceEncoder(path)
+    for a, b in zip(small.encode(many, at_once=4), large.encode(many)):
+        assert small.held() < 200_000 and a.tolist() == b.tolist()
+    assert large.held() > 1_000_000

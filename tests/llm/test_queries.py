@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.exists(SMALL), reason="driver tables
 def test_names_and_sql():
     import __spark_entry__ as E
     q, sql = E.queries(), E.oracle_sql()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in q) == 1
     assert "pipeline" in q and set(sql) <= set(q)
 
