@@ -19,6 +19,7 @@ from leadflow.functions import (canonical_id, canonical_id_numeric, cents,
                                 int_strict, money, money_text, parse_dates,
                                 row_max, score_parse, sentinel_to_null,
                                 text_coercion, to_decimal, to_double)
+from leadflow.functions.dates import date_evidence, guess_dates
 from leadflow.operators import (coalesced_key_join, earliest_balance,
                                 history_pivot, left_join_left_pred,
                                 match_merge, status_codes)
@@ -182,6 +183,36 @@ def q_parse_dates(spark, d):
     return o.select(F.col("o_orderkey"), txt.alias("date_text"), parse_dates(txt).alias("LEADDATE"))
 
 
+def _date_texts(spark, d):
+    """Every order's date as files of different origin write it."""
+    day, key = F.col("o_orderdate"), F.col("o_orderkey")
+    kinds = (F.when(key % 5 == 0, F.date_format(day, "yyyy-MM-dd HH:mm:ss"))
+             .when(key % 5 == 1, F.date_format(day, "d MMM yyyy")).when(key % 5 == 2, F.date_format(day, "MMMM d, yyyy"))
+             .when(key % 5 == 3, F.date_format(day, "yyyyMMdd")).otherwise(F.lit("not a date")))
+    early = F.make_date(F.year(day), F.month(day), (1 + key % 12).cast("int"))
+    return Tables(spark, d).orders.select(
+        "o_orderkey", F.date_format(day, "M/d/yyyy h:mm a").alias("month_first"),
+        F.date_format(day, "dd/MM/yyyy H:mm").alias("day_first"), F.date_format(day, "d.M.yyyy").alias("dotted"),
+        kinds.alias("many"), F.date_format(early, "M/d/yy").alias("open"),
+        F.when(F.col("o_totalprice") < 50000, F.date_format(day, "MM-dd-yyyy"))
+        .otherwise(F.date_format(day, "dd-MM-yyyy")).alias("two_kinds"))
+
+
+_DATE_TEXTS = ("month_first", "day_first", "dotted", "many", "open", "two_kinds")
+
+
+@query("guess_dates")
+def q_guess_dates(spark, d):
+    rows = _date_texts(spark, d)
+    guesses = guess_dates(rows, _DATE_TEXTS)
+    return rows.select("o_orderkey", *[guesses[c].parse().alias(c) for c in _DATE_TEXTS])
+
+
+@query("date_evidence")
+def q_date_evidence(spark, d):
+    return date_evidence(_date_texts(spark, d), _DATE_TEXTS)
+
+
 @query("int_fill")
 def q_int_fill(spark, d):
     return _edge_rows(spark, d).select("o_orderkey", "edge_text", int_fill("edge_text").alias("LEAD_SCORE"))

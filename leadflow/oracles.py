@@ -53,6 +53,39 @@ CTES["edge_rows"] = """
          WHEN 7 THEN '-17.9' WHEN 8 THEN NULL WHEN 9 THEN CAST(o_custkey AS VARCHAR) || 'X'
          ELSE CAST(o_custkey AS VARCHAR) END AS edge_text FROM orders"""
 
+CTES["date_texts"] = """
+  SELECT o_orderkey, o_orderdate,
+         strftime(o_orderdate, '%-m/%-d/%Y %-I:%M %p') AS month_first,
+         strftime(o_orderdate, '%d/%m/%Y %-H:%M') AS day_first,
+         strftime(o_orderdate, '%-d.%-m.%Y') AS dotted,
+         CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+              WHEN 1 THEN strftime(o_orderdate, '%-d %b %Y') WHEN 2 THEN strftime(o_orderdate, '%B %-d, %Y')
+              WHEN 3 THEN strftime(o_orderdate, '%Y%m%d') ELSE 'not a date' END AS many,
+         strftime(make_date(year(o_orderdate), month(o_orderdate), 1 + o_orderkey % 12), '%-m/%-d/%y') AS open,
+         CASE WHEN o_totalprice < 50000 THEN strftime(o_orderdate, '%m-%d-%Y')
+              ELSE strftime(o_orderdate, '%d-%m-%Y') END AS two_kinds
+  FROM orders"""
+
+# the numbers with the year last, read either way
+_DATE_READINGS = (("month_first", "/", "%m/%d/%Y %I:%M %p", "%d/%m/%Y %I:%M %p"),
+                  ("day_first", "/", "%m/%d/%Y %H:%M", "%d/%m/%Y %H:%M"), ("dotted", ".", "%m.%d.%Y", "%d.%m.%Y"),
+                  ("open", "/", "%m/%d/%y", "%d/%m/%y"), ("two_kinds", "-", "%m-%d-%Y", "%d-%m-%Y"))
+CTES["date_long"] = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{sep}' AS separator, o_orderkey,
+         try_strptime({c}, '{mdy}') AS m, try_strptime({c}, '{dmy}') AS d FROM date_texts"""
+    for c, sep, mdy, dmy in _DATE_READINGS)
+
+CTES["date_counts"] = """
+  SELECT c."column", s.separator, (SELECT count(*) FROM orders) AS n_text,
+         CASE WHEN c."column" = 'many' THEN (SELECT count(*) FROM orders WHERE o_orderkey % 5 = 4) ELSE 0 END AS n_unparsed,
+         count(*) FILTER (WHERE m IS NOT NULL AND d IS NULL) AS n_month_first,
+         count(*) FILTER (WHERE m IS NULL AND d IS NOT NULL) AS n_day_first,
+         count(*) FILTER (WHERE m = d) AS n_same, count(*) FILTER (WHERE m <> d) AS n_open
+  FROM (SELECT unnest(['month_first', 'day_first', 'dotted', 'many', 'open', 'two_kinds']) AS "column") c
+  CROSS JOIN (SELECT unnest(['/', '-', '.']) AS separator) s
+  LEFT JOIN date_long l ON l."column" = c."column" AND l.separator = s.separator
+  GROUP BY c."column", s.separator"""
+
 CTES["leads_daily"] = f"""
   SELECT {pad('applicant_ssn')} AS ssn, decision_status AS PQ_DECISION, 'Personal' AS LEAD_TYPE,
          'SC' AS LEAD_STATE, sub_id AS CK_TRACKING_ID, o_orderdate AS LEADDATE,
@@ -554,6 +587,21 @@ SELECTS: dict[str, str] = {
          ELSE strftime(o_orderdate, '%-m/%-d/%Y') END AS date_text,
     CASE WHEN o_totalprice < 5000 THEN NULL ELSE o_orderdate END AS LEADDATE
   FROM file_rows""",
+    "guess_dates": f"""
+  SELECT o_orderkey, {", ".join(f"max({c}) AS {c}" for c in ("month_first", "day_first", "dotted", "many", "open", "two_kinds"))}
+  FROM (
+    SELECT o_orderkey, {", ".join(f"CASE WHEN l.column = '{c}' THEN CASE WHEN n_day_first > n_month_first THEN COALESCE(d, m) ELSE COALESCE(m, d) END END AS {c}" for c in ("month_first", "day_first", "dotted", "open", "two_kinds"))},
+           CAST(NULL AS TIMESTAMP) AS many
+    FROM date_long l JOIN date_counts USING ("column", separator)
+    UNION ALL BY NAME
+    SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN date_trunc('second', o_orderdate)
+                            WHEN o_orderkey % 5 < 4 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS many
+    FROM orders)
+  GROUP BY o_orderkey""",
+    "date_evidence": """
+  SELECT *, n_day_first > n_month_first AS day_first, n_day_first > 0 AND n_month_first > 0 AS mixed,
+         n_open > 0 AND n_day_first = n_month_first AS ambiguous
+  FROM date_counts""",
     "int_fill": """
   SELECT o_orderkey, edge_text,
          COALESCE(TRY_CAST(trunc(TRY_CAST(trim(edge_text) AS DOUBLE)) AS INTEGER), 0) AS LEAD_SCORE FROM edge_rows""",

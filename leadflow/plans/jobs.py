@@ -15,8 +15,10 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from leadflow import rules as R
+from leadflow.functions.dates import guess_dates
 from leadflow.plans.applications import read_apps_file
-from leadflow.plans.leads import lead_rejects
+from leadflow.plans.leads import (DATE_COLUMNS, lead_rejects,
+                                  partner_filter)
 from leadflow.plans.profile_run import Run
 from leadflow.plans.reports import (daily_summary, funnel_frequency,
                                     partner_feed, weekly_summary)
@@ -27,11 +29,12 @@ from leadflow.sources.files import (ORDER_COL, list_files, newest_and_oldest,
 from leadflow.sources.servicing import Servicing
 
 
-def write_rejects(spark: SparkSession, files, raw, rules: R.FunnelRules, path: str) -> None:
+def write_rejects(spark: SparkSession, files, raw, rules: R.FunnelRules, path: str, guesses=None) -> None:
     """Rows dropped by the reader (more fields than the header) and lead rows
-    with no person key or a bad amount, as JSON lines with file and reason."""
+    with no person key, a bad amount or a date that cannot be read, as JSON
+    lines with file and reason."""
     surplus_rows(spark, files).write.mode("overwrite").json(f"{path}/files")
-    lead_rejects(raw, rules).drop(ORDER_COL).write.mode("overwrite").json(f"{path}/leads")
+    lead_rejects(raw, rules, guesses).drop(ORDER_COL).write.mode("overwrite").json(f"{path}/leads")
 
 
 def daily_job(spark: SparkSession, sf_dir: str, drop_folder: str, out_dir: str,
@@ -39,16 +42,21 @@ def daily_job(spark: SparkSession, sf_dir: str, drop_folder: str, out_dir: str,
               servicing: Servicing | None = None, single_file: bool = False) -> dict:
     """The snapshot is written first and read back, and the funnel is staged
     once, so feed and frequency listing share one derivation.  The feed is a
-    folder of part files; ``single_file`` has one task write one file."""
+    folder of part files; ``single_file`` has one task write one file.
+
+    The date columns are read as the files' rows themselves suggest (B4);
+    ``date_guesses`` of the result says how, and which are ambiguous."""
     files = newest_and_oldest(list_files(spark, drop_folder))
     raw = read_lead_files(spark, files, missing_text=R.PANDAS_MISSING_TEXT)
-    first = Run(spark, sf_dir, raw_leads=raw, rules=rules, servicing=servicing)
+    guesses = guess_dates(partner_filter(raw, rules.partner), DATE_COLUMNS)
+    first = Run(spark, sf_dir, raw_leads=raw, rules=rules, servicing=servicing, guesses=guesses)
     out = {"files": files,
+           "date_guesses": guesses,
            "snapshot": f"{out_dir}/app_snapshot",
            "rejects": f"{out_dir}/rejects_{run_date:%m%d%Y}",
            "frequency": f"{out_dir}/frequency_{run_date:%m%d%Y}"}
     try:
-        write_rejects(spark, files, raw, rules, out["rejects"])
+        write_rejects(spark, files, raw, rules, out["rejects"], guesses)
         write_snapshot(first.snapshot, out["snapshot"], run_date)
         run = first.with_snapshot(read_snapshot(spark, out["snapshot"], run_date))
         out["feed"] = write_partner_feed(partner_feed(run.staged_funnel), f"{out_dir}/feed", run_date, rules,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from leadflow import rules as R
 from leadflow.functions import (canonical_id, canonical_id_numeric, col_,
                                 int_fill, int_strict, parse_dates, sas_text,
                                 to_double)
+from leadflow.functions.dates import DateGuess
 from leadflow.operators import best_per_key
 from leadflow.sources.files import ORDER_COL
 
@@ -31,21 +34,35 @@ def person_key(rules: R.FunnelRules) -> Column:
             "number_text": canonical_id(number)}[rules.person_key]
 
 
-def lead_rejects(raw: DataFrame, rules: R.FunnelRules) -> DataFrame:
+DATE_COLUMNS = ("application_date", "decision_date/time")
+Guesses = Mapping[str, DateGuess]
+
+
+def _date(name: str, guesses: Guesses | None) -> Column:
+    return guesses[name].parse() if guesses and name in guesses else parse_dates(name)
+
+
+def lead_rejects(raw: DataFrame, rules: R.FunnelRules, guesses: Guesses | None = None) -> DataFrame:
     """The partner's lead rows that a profile cannot use as they are, with a
-    ``reject_reason``: no person key, or an amount that is no number."""
+    ``reject_reason``: no person key, an amount that is no number, or a date
+    that cannot be read."""
     df = partner_filter(raw, rules.partner)
     amount = col_("amt._fin.").cast("string")
     reason = F.when(person_key(rules).isNull(), F.lit("no person key")).when(
         (F.trim(amount) != "") & int_strict("amt._fin.").isNull(), F.lit("amount is not a number"))
+    for name in DATE_COLUMNS:
+        text = F.trim(col_(name).cast("string"))
+        reason = reason.when((text != "") & _date(name, guesses).isNull(), F.lit(f"{name} is not a date"))
     return df.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull())
 
 
-def typed_leads(raw: DataFrame, rules: R.FunnelRules) -> DataFrame:
-    """Normalised lead text columns -> typed lead rows of one profile."""
+def typed_leads(raw: DataFrame, rules: R.FunnelRules, guesses: Guesses | None = None) -> DataFrame:
+    """Normalised lead text columns -> typed lead rows of one profile.
+    ``guesses``: how its date columns are read (``guess_dates``), else by the
+    named formats."""
     df = partner_filter(raw, rules.partner)
     key = person_key(rules)
-    lead_ts = parse_dates("application_date")
+    lead_ts = _date("application_date", guesses)
     keep = [col_(c).cast("string").alias(c) for c in TEXT_COLUMNS if c in raw.columns]
     if not rules.sas:
         score = int_fill("applicant_credit_score")
@@ -64,7 +81,7 @@ def typed_leads(raw: DataFrame, rules: R.FunnelRules) -> DataFrame:
         col_("applicant_address_state").alias("LEAD_STATE"),
         col_("sub_id").alias("CK_TRACKING_ID"),
         lead_date.alias("LEADDATE"),
-        parse_dates("decision_date/time").alias("DECISION_TS"),
+        _date("decision_date/time", guesses).alias("DECISION_TS"),
         score.alias("LEAD_SCORE"),
         amount.alias("AMT_APPLIED"),
         F.lit("lead").alias("lead_app"),

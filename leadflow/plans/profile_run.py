@@ -20,7 +20,8 @@ from leadflow.operators.stage import drop_scope
 from leadflow.plans.applications import application_snapshot
 from leadflow.plans.funnel import (funnel_daily, funnel_weekly, weekly_apps,
                                    weekly_apps_of)
-from leadflow.plans.leads import best_leads, lead_keys, typed_leads
+from leadflow.plans.leads import (Guesses, best_leads, lead_keys,
+                                  typed_leads)
 from leadflow.sources.servicing import Servicing
 from leadflow.sources.standins import (APP_DATE_FLOOR, normalised_lead_rows,
                                        stand_in_servicing)
@@ -31,10 +32,12 @@ class Run:
     def __init__(self, spark: SparkSession, sf_dir: str, profile: str = "daily",
                  mode: str = "faithful", raw_leads: DataFrame | None = None,
                  rules: R.FunnelRules | None = None, snapshot: DataFrame | None = None,
-                 servicing: Servicing | None = None, apps: DataFrame | None = None):
+                 servicing: Servicing | None = None, apps: DataFrame | None = None,
+                 guesses: Guesses | None = None):
         """``servicing``: the loan-servicing relations, by default the stand-ins
         of ``sf_dir``; ``snapshot``: application rows written earlier; ``apps``:
-        application rows of an apps file (weekly profiles)."""
+        application rows of an apps file (weekly profiles); ``guesses``: how
+        the leads' dates are read."""
         self.spark, self.sf_dir = spark, sf_dir
         self.tables = Tables(spark, sf_dir)
         self.scope = uuid.uuid4().hex[:12]
@@ -43,7 +46,7 @@ class Run:
         if rules is None and raw_leads is None and base.app_date_floor is not None:
             base = base.with_floor(APP_DATE_FLOOR)   # stand-in data (see standins)
         self.rules = base.with_mode(mode)
-        self._raw = raw_leads
+        self._raw, self._guesses = raw_leads, guesses
         self._snapshot, self._apps = snapshot, apps
 
     @cached_property
@@ -52,7 +55,7 @@ class Run:
 
     @cached_property
     def leads(self) -> DataFrame:
-        return typed_leads(self.raw_leads, self.rules)
+        return typed_leads(self.raw_leads, self.rules, self._guesses)
 
     @cached_property
     def best_leads(self) -> DataFrame:
@@ -108,7 +111,7 @@ class Run:
         """This run on application rows written earlier: same leads, same
         staging scope."""
         other = Run(self.spark, self.sf_dir, mode=self.rules.mode, raw_leads=self.raw_leads, rules=self.rules,
-                    snapshot=snapshot, servicing=self.srv)
+                    snapshot=snapshot, servicing=self.srv, guesses=self._guesses)
         other.scope = self.scope
         other.best_leads = self.best_leads          # staged already
         return other
