@@ -22,15 +22,18 @@ from leadflow.functions import (canonical_id, canonical_id_numeric, cents,
 from leadflow.functions.dates import date_evidence, guess_dates
 from leadflow.operators import (coalesced_key_join, earliest_balance,
                                 history_pivot, left_join_left_pred,
-                                match_merge, status_codes)
+                                match_merge, stage, status_codes)
 from leadflow.plans.applications import borrowers_for
-from leadflow.plans.funnel import best_outcome, latest_apps, weekly_rows
+from leadflow.plans.funnel import (best_outcome, funnel_daily, latest_apps,
+                                   weekly_rows)
 from leadflow.plans.leads import best_leads, partner_filter, typed_leads
 from leadflow.plans.profile_run import Run
 from leadflow.plans.sinks import feed_for_csv
-from leadflow.plans.reports import (daily_summary, daily_summary_total,
+from leadflow.plans.reports import (corrected_summary, daily_summary,
+                                    daily_summary_total,
                                     funnel_frequency, funnel_gaps,
-                                    partner_feed, weekly_summary)
+                                    partner_feed, summary_changes,
+                                    weekly_summary)
 from leadflow.session import scratch_path
 from leadflow.sources import standins as S
 from leadflow.sources.dropfolder import csv_line, write_batched_files
@@ -38,7 +41,7 @@ from leadflow.sources.files import (list_files, newest_and_oldest,
                                     normalise_headers, read_lead_files,
                                     read_lenient_csv, union_by_name)
 from leadflow.sources.tables import Tables
-from leadflow.streaming import ingest_lead_files
+from leadflow.streaming import BestLeads, ingest_lead_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -126,6 +129,39 @@ def q_ingest_stream(spark, d):
     return hist.select("irmpname", "applicant_ssn", "sub_id", "application_date")
 
 
+def _lead_deliveries(spark, d, per_batch: int):
+    """The lead rows as monthly files, taken in ``per_batch`` files at a time;
+    the table of best leads after the last one."""
+    lines = S.lead_orders(Tables(spark, d)).select(F.trunc("o_orderdate", "month").alias("batch"),
+                                                   csv_line(S.lead_file_columns()).alias("value"))
+    folder = scratch_path(spark, "fixtures", "lead_deliveries", unique=True)
+    write_batched_files(lines, folder, ",".join(S.LEAD_FILE_HEADER))
+    work = scratch_path(spark, "stream", unique=True)
+    best = BestLeads(spark, f"{work}/best", R.PROFILES["daily"], buckets=8)
+    ingest_lead_files(spark, folder, f"{work}/history", f"{work}/checkpoint", max_files_per_trigger=per_batch,
+                      missing_text=R.PANDAS_MISSING_TEXT, on_batch=best.update)
+    return best
+
+
+@query("best_lead_incremental")
+def q_best_lead_incremental(spark, d):
+    return _lead_deliveries(spark, d, 17).read().select("ssn", "CK_TRACKING_ID", "LEADDATE", "LEAD_SCORE",
+                                                        "AMT_APPLIED", "PQ_DECISION")
+
+
+@query("daily_summary_corrected")
+def q_daily_summary_corrected(spark, d):
+    """D3 from signed changes: each delivery's replaced and new best leads
+    against the same application rows."""
+    best = _lead_deliveries(spark, d, 17)
+    apps = stage(latest_apps(run(spark, d).snapshot_rows), "latest_apps")
+    parts = []
+    for batch in best.log.batches():
+        before, after = best.changes(batch)
+        parts.append(summary_changes(funnel_daily(before, apps), funnel_daily(after, apps)))
+    return corrected_summary(union_by_name(parts))
+
+
 @query("partner_filter")
 def q_partner_filter(spark, d):
     raw = S.normalised_lead_rows(Tables(spark, d))

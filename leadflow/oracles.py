@@ -752,6 +752,10 @@ SELECTS: dict[str, str] = {
     "daily_summary": f"""
   SELECT CAST(LEADDATE AS DATE) AS LEADDATE, {SUMMARY_AGGS}
   FROM funnel_weekly WHERE LEADDATE IS NOT NULL GROUP BY CAST(LEADDATE AS DATE)""",
+    "daily_summary_corrected": f"""
+  SELECT CAST(LEADDATE AS DATE) AS LEADDATE, {SUMMARY_AGGS}
+  FROM funnel_daily WHERE LEADDATE IS NOT NULL GROUP BY CAST(LEADDATE AS DATE)""",
+    "best_lead_incremental": "SELECT ssn, CK_TRACKING_ID, LEADDATE, LEAD_SCORE, AMT_APPLIED, PQ_DECISION FROM best_daily",
     "daily_summary_total": f"""
   SELECT d AS LEADDATE, {SUMMARY_AGGS}, CAST(GROUPING(d) AS INTEGER) AS IS_TOTAL
   FROM (SELECT *, CAST(LEADDATE AS DATE) AS d FROM funnel_weekly WHERE LEADDATE IS NOT NULL)

@@ -93,20 +93,24 @@ def typed_leads(raw: DataFrame, rules: R.FunnelRules, guesses: Guesses | None =
     return out
 
 
-def best_leads(leads: DataFrame, rules: R.FunnelRules) -> DataFrame:
+def lead_order(rules: R.FunnelRules, columns, batch: str | None = None) -> list[Column]:
     """E1 (daily): latest lead time, then highest score.
     E2 (weekly): highest score; ties keep the order of the input, the place by
-    file and line (``read_lead_files(with_order=True)``), or where leads have
-    none the tracking id.  Missing values sort last in both (pandas
-    na_position, SAS DESCENDING)."""
-    placed = ORDER_COL in leads.columns
+    file and line (``read_lead_files(with_order=True)``, after ``batch`` where
+    leads come in batches), or where leads have none the tracking id.  Missing
+    values sort last in both (pandas na_position, SAS DESCENDING)."""
     tie = [F.col("AMT_APPLIED").desc_nulls_last(), F.col("CK_TRACKING_ID").asc_nulls_last()]
     if rules.lead_order == "latest":
-        order = [F.col("LEADDATE").desc_nulls_last(), F.col("LEAD_SCORE").desc_nulls_last(), *tie]
-    else:
-        first = F.col(ORDER_COL).asc() if placed else F.col("CK_TRACKING_ID").asc_nulls_last()
-        order = [F.col("LEAD_SCORE").desc_nulls_last(), first]
-    return best_per_key(leads, ["ssn"], order).drop(ORDER_COL)
+        return [F.col("LEADDATE").desc_nulls_last(), F.col("LEAD_SCORE").desc_nulls_last(), *tie]
+    score = F.col("LEAD_SCORE").desc_nulls_last()
+    if ORDER_COL not in columns:
+        return [score, F.col("CK_TRACKING_ID").asc_nulls_last()]
+    return [score, *[F.col(c).asc() for c in (batch, ORDER_COL) if c in columns]]
+
+
+def best_leads(leads: DataFrame, rules: R.FunnelRules) -> DataFrame:
+    """The best lead of each person by ``lead_order``."""
+    return best_per_key(leads, ["ssn"], lead_order(rules, leads.columns)).drop(ORDER_COL)
 
 
 def lead_keys(best: DataFrame) -> DataFrame:

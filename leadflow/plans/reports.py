@@ -34,6 +34,40 @@ def daily_summary(funnel: DataFrame) -> DataFrame:
             .groupBy(F.to_date("LEADDATE").alias("LEADDATE")).agg(*_summary_aggs()))
 
 
+_SUMMARY_OF = {"NUM_LEADS": "IS_PREQUAL", "NUM_PQ": "IS_PREQUAL", "NUM_APPS": "IS_APPL", "NUM_APPR": "IS_APPROVE",
+               "NUM_BOOKED": "IS_FUNDED", "DOLLARS_BOOKED": "AMOUNT_FUNDED", "LEAD_COST": "COST"}
+_MEASURES = tuple(dict.fromkeys(_SUMMARY_OF.values()))
+
+
+def summary_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What the funnel rows ``after`` in place of ``before`` change in the
+    daily summary: per lead date, signed sums (``s_``) and signed numbers of
+    values (``n_``) of each measure.  One partial aggregate over the changed
+    rows alone; a row that is in both cancels out."""
+    cols = ["LEADDATE", *_MEASURES]
+    rows = before.select(*cols, F.lit(-1).alias("_sign")).unionByName(after.select(*cols, F.lit(1).alias("_sign")))
+    sign = F.col("_sign")
+    return (rows.filter(F.col("LEADDATE").isNotNull()).groupBy(F.to_date("LEADDATE").alias("LEADDATE"))
+            .agg(F.sum(sign).alias("n_rows"),
+                 *[F.sum(F.when(sign > 0, F.col(c)).otherwise(-F.col(c))).alias(f"s_{c}") for c in _MEASURES],
+                 *[F.sum(F.when(F.col(c).isNotNull(), sign)).alias(f"n_{c}") for c in _MEASURES]))
+
+
+def corrected_summary(changes: DataFrame) -> DataFrame:
+    """``daily_summary`` of the rows left after all ``changes`` (the rows of
+    ``summary_changes`` of any number of batches, the first against nothing).
+    A date without rows goes; a measure without values is null, as in a sum
+    over them."""
+    sums = changes.groupBy("LEADDATE").agg(F.sum("n_rows").alias("n_rows"), *[
+        F.sum(f"{k}_{c}").alias(f"{k}_{c}") for c in _MEASURES for k in "sn"]).filter(F.col("n_rows") > 0)
+    out = []
+    for name, c in _SUMMARY_OF.items():
+        n = F.coalesce(F.col(f"n_{c}"), F.lit(0))
+        kind = "decimal(18,2)" if name == "DOLLARS_BOOKED" else "bigint"
+        out.append((n if name == "NUM_LEADS" else F.when(n > 0, F.col(f"s_{c}"))).cast(kind).alias(name))
+    return sums.select("LEADDATE", *out)
+
+
 def daily_summary_total(funnel: DataFrame, keep_total: bool = True) -> DataFrame:
     """Per-date rows plus the grand-total row (``IS_TOTAL`` = 1).
 
