@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadflow import rules as R
+from leadflow.plans.one_file import write_one_csv
 
 
 def write_snapshot(snapshot: DataFrame, path: str, run_date: dt.date) -> None:
@@ -46,7 +47,7 @@ def write_partner_feed(feed: DataFrame, folder: str, run_date: dt.date, rules: R
                        single_file: bool = False) -> str:
     """UTF-8 CSV, funded rows first, as the folder ``feed_MMDDYYYY`` of
     part files that follow each other in order, or, if asked for, as one
-    file ``feed_MMDDYYYY.csv`` (one task then writes all of it).
+    file ``feed_MMDDYYYY.csv`` put together from such parts.
 
     The new feed is complete before the old one is touched, and the old one
     is deleted only after the new one has its name."""
@@ -54,14 +55,14 @@ def write_partner_feed(feed: DataFrame, folder: str, run_date: dt.date, rules: R
     staging, target = f"{name}._new", f"{name}.csv" if single_file else name
     rows = feed_for_csv(feed, rules)
     order = [F.col("IS_FUNDED").desc(), F.col("CK_TRACKING_ID").asc()]
-    rows = rows.repartition(1).sortWithinPartitions(*order) if single_file else rows.orderBy(*order)
-    (rows.write.mode("overwrite").option("header", True)
-     .option("encoding", "UTF-8").option("nullValue", "").csv(staging))
     from leadflow.sources.files import _hadoop_fs
     fs, root = _hadoop_fs(feed.sparkSession, staging)
-    new = root
     if single_file:
-        new = next(st.getPath() for st in fs.listStatus(root) if st.getPath().getName().startswith("part-"))
+        new = write_one_csv(rows, staging, order)
+    else:
+        (rows.orderBy(*order).write.mode("overwrite").option("header", True)
+         .option("encoding", "UTF-8").option("nullValue", "").csv(staging))
+        new = root
     replace_path(feed.sparkSession, fs, new, target)
     if single_file:
         fs.delete(root, True)
