@@ -1,10 +1,13 @@
 """Substring dedup by level-wise doubling.
 
 Windows of ``base`` words are compared first; a window of twice the length is
-a candidate only where both of its halves repeat, and so on up to the window
-length, where doubling ends: longer repeats are covered by their windows, and
-their own lengths are not found.  Only at the last length does a block send, for each distinct candidate, the document that
-holds it first; the answer says whether that is the first of the corpus.
+a candidate only where both of its halves repeat, and so on.
+
+``substring_dedup`` doubles up to its window, whose repeats it removes: longer
+ones are covered by their windows.  Only at that length does a block send, for
+each distinct candidate, the document that holds it first; the answer says
+whether that is the first of the corpus.  ``repeat_lengths`` goes on until no
+candidate survives and tells how long the repeated passages are.
 """
 
 from __future__ import annotations
@@ -175,3 +178,121 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     asked = _ask(blocks, levels, bits, ranges_for(total))
     kind = "doc_id long, n_words long, n_removed long, kept_text string, removed array<struct<start:int,end:int>>"
     return asked.mapInArrow(_remove(levels, bits), kind)
+
+
+# ---- doubling until no candidate survives -----------------------------------
+
+def _pairs(s: _Search) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (key, check) of the candidates, ascending; the candidates'
+    index into them; counts."""
+    key = s.h[s.at]
+    check = windows(np.ascontiguousarray(s.hash[:, 1]), s.size)[s.at] >> np.uint64(32)
+    order = np.lexsort((check, key))
+    k, c = key[order], check[order]
+    lead = np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])]) if len(k) else np.zeros(0, bool)
+    which = np.empty(len(k), np.int64)
+    which[order] = np.cumsum(lead) - 1
+    return k[lead], c[lead].astype(np.uint32), which, np.bincount(which, minlength=int(lead.sum()))
+
+
+def _reached(row: dict, base: int, answered: int) -> tuple[_Search, np.ndarray]:
+    """The search after ``answered`` levels, and per place the length of the
+    longest window from it that was found to repeat (0: none)."""
+    s = _Search(Block.of(row), base, 64)
+    reached = np.zeros(len(s.room), np.int64)
+    for level in range(answered):
+        _, _, which, count = _pairs(s)
+        said = heard(row[f"said{level}"])
+        if not len(said):                       # no candidate was left in this block
+            break
+        repeats = (count[which] > 1) | (said[which] > 0)
+        s.at = s.at[repeats]
+        reached[s.at] = s.size
+        found = np.zeros(len(s.room), bool)
+        found[s.at] = True
+        n = s.size
+        s.h = fold(s.h[:-n], s.h[n:]) if len(s.h) > n else s.h[:0]
+        s.size = 2 * n
+        places = s.at[s.room[s.at] >= s.size]
+        s.at = places[found[places + n]]
+    return s, reached
+
+
+def _send_pairs(base: int, answered: int, ranges: int):
+    def run(batches):
+        for row in _rows(batches):
+            s, _ = _reached(row, base, answered)
+            if len(s.at) and s.size == base << answered:
+                keys, check, _, _ = _pairs(s)
+                yield payloads(row["block"], keys, 64, ranges, check=check)
+    return run
+
+
+def _pair_elsewhere(keys: np.ndarray, source: np.ndarray, check: np.ndarray) -> np.ndarray:
+    change = (keys[1:] != keys[:-1]) | (check[1:] != check[:-1])
+    first = np.flatnonzero(np.concatenate([[True], change]))
+    size = np.diff(np.concatenate([first, [len(keys)]]))
+    return np.repeat((size > 1).astype(np.uint8), size)
+
+
+def passages(reached: np.ndarray) -> list[dict]:
+    """Spans (start, end, window) of one document: consecutive places that
+    reached the same window, to the end of the last one's window; a span
+    that lies in another one is left out."""
+    edge = np.flatnonzero(np.concatenate([[True], reached[1:] != reached[:-1]])) if len(reached) else np.zeros(0, int)
+    out, far = [], 0
+    for a, z in zip(edge.tolist(), [*edge[1:].tolist(), len(reached)]):
+        n = int(reached[a])
+        if n and z - 1 + n > far:
+            far = z - 1 + n
+            out.append({"start": a, "end": far, "window": n})
+    return out
+
+
+_LENGTHS = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("longest", pa.int64()),
+                      ("repeats", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()),
+                                                      ("window", pa.int32())])))])
+
+
+def _tell(base: int, answered: int):
+    def run(batches):
+        for row in _rows(batches):
+            s, reached = _reached(row, base, answered)
+            rows, start = [], 0
+            for doc, n in zip(s.block.doc_ids, s.block.sizes.tolist()):
+                spans = passages(reached[start:start + n])
+                rows.append({"doc_id": doc, "n_words": n, "longest": max((p["end"] - p["start"] for p in spans), default=0),
+                             "repeats": spans})
+                start += n
+            yield pa.RecordBatch.from_pylist(rows, schema=_LENGTHS)
+    return run
+
+
+def repeat_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base: int = BASE) -> DataFrame:
+    """doc_id, n_words, longest, repeats for every row of ``docs``.
+
+    Windows of ``base`` words found at another place too (of any document,
+    the same one included) are doubled for as long as a candidate survives.
+    repeats: spans of word numbers whose windows of ``window`` words, the
+    longest doubling that repeats there, all occur elsewhere; a passage of G
+    words that repeats as a whole is one span of G words (spans that adjoin
+    run together, and a span inside another is left out).  longest: words of
+    the longest span, 0 without any.  First occurrences are told as well as
+    later ones.  Null and empty texts have no words; rows with a null id or
+    the id of another row are told each by itself; a text repeated as a row
+    repeats wholly.  Windows are compared by 96 bits of hash.  Empty input
+    gives an empty result; only the id and text columns are read.  A text of
+    2^k times ``base`` words takes at most k + 1 levels; each reads the blocks
+    once more and sends only what is still a candidate."""
+    blocks = word_blocks(docs, id_col, text_col)
+    ranges = ranges_for(blocks.agg(F.sum("n_words")).first()[0] or 0)
+    answered = 0
+    while True:
+        sent = blocks.mapInArrow(_send_pairs(base, answered, ranges), "range long, block long, keys binary, check binary")
+        said = shared(sent, {"check": np.uint32}, _pair_elsewhere, f"said{answered}")
+        if said.isEmpty():
+            break
+        blocks = blocks.join(said, "block", "left")
+        answered += 1
+    kind = "doc_id long, n_words long, longest long, repeats array<struct<start:int,end:int,window:int>>"
+    return blocks.mapInArrow(_tell(base, answered), kind)
