@@ -182,48 +182,59 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 # ---- doubling until no candidate survives -----------------------------------
 
-def _pairs(s: _Search) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (key, check) of the candidates, ascending; the candidates'
-    index into them; counts."""
-    key = s.h[s.at]
-    check = windows(np.ascontiguousarray(s.hash[:, 1]), s.size)[s.at] >> np.uint64(32)
-    order = np.lexsort((check, key))
-    k, c = key[order], check[order]
-    lead = np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])]) if len(k) else np.zeros(0, bool)
-    which = np.empty(len(k), np.int64)
-    which[order] = np.cumsum(lead) - 1
-    return k[lead], c[lead].astype(np.uint32), which, np.bincount(which, minlength=int(lead.sum()))
-
-
-def _reached(row: dict, base: int, answered: int) -> tuple[_Search, np.ndarray]:
-    """The search after ``answered`` levels, and per place the length of the
-    longest window from it that was found to repeat (0: none)."""
-    s = _Search(Block.of(row), base, 64)
-    reached = np.zeros(len(s.room), np.int64)
+class _Doubling:
+    """Candidates of one block with both hashes, kept at the places that are
+    still candidates, so a level costs what is left of the one before."""
+
+    def __init__(self, block: Block, base: int):
+        self.block, self.size, self.room = block, base, block.room()
+        word = block.word_hashes()
+        self.key, self.check = (windows(np.ascontiguousarray(word[:, i]), base) for i in (0, 1))
+        self.at = np.flatnonzero(self.room >= base)
+        self.reached = np.zeros(len(self.room), np.int64)   # longest window from a place that repeats
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct (key, check) of the candidates, ascending; the candidates'
+        index into them; counts."""
+        key, check = self.key[self.at], (self.check[self.at] >> np.uint64(32)).astype(np.uint32)
+        order = np.lexsort((check, key))
+        k, c = key[order], check[order]
+        lead = np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])]) if len(k) else np.zeros(0, bool)
+        which = np.empty(len(k), np.int64)
+        which[order] = np.cumsum(lead) - 1
+        return k[lead], c[lead], which, np.bincount(which, minlength=int(lead.sum()))
+
+    def double(self, said: np.ndarray) -> None:
+        """Note what repeats, here or elsewhere; go to twice the length."""
+        _, _, which, count = self.pairs()
+        self.at = self.at[(count[which] > 1) | (said[which] > 0)]
+        n = self.size
+        self.reached[self.at] = n
+        there = self.at[self.room[self.at] >= 2 * n]
+        self.at = there[self.reached[there + n] == n]
+        for name in ("key", "check"):
+            old = getattr(self, name)
+            new = np.zeros_like(old)
+            new[self.at] = fold(old[self.at], old[self.at + n])
+            setattr(self, name, new)
+        self.size = 2 * n
+
+
+def _doubled(row: dict, base: int, answered: int) -> _Doubling:
+    d = _Doubling(Block.of(row), base)
     for level in range(answered):
-        _, _, which, count = _pairs(s)
-        said = heard(row[f"said{level}"])
-        if not len(said):                       # no candidate was left in this block
+        if not len(d.at):
             break
-        repeats = (count[which] > 1) | (said[which] > 0)
-        s.at = s.at[repeats]
-        reached[s.at] = s.size
-        found = np.zeros(len(s.room), bool)
-        found[s.at] = True
-        n = s.size
-        s.h = fold(s.h[:-n], s.h[n:]) if len(s.h) > n else s.h[:0]
-        s.size = 2 * n
-        places = s.at[s.room[s.at] >= s.size]
-        s.at = places[found[places + n]]
-    return s, reached
+        d.double(heard(row[f"said{level}"]))
+    return d
 
 
 def _send_pairs(base: int, answered: int, ranges: int):
     def run(batches):
         for row in _rows(batches):
-            s, _ = _reached(row, base, answered)
-            if len(s.at) and s.size == base << answered:
-                keys, check, _, _ = _pairs(s)
+            d = _doubled(row, base, answered)
+            if len(d.at):
+                keys, check, _, _ = d.pairs()
                 yield payloads(row["block"], keys, 64, ranges, check=check)
     return run
 
@@ -257,10 +268,10 @@ _LENGTHS = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("longest
 def _tell(base: int, answered: int):
     def run(batches):
         for row in _rows(batches):
-            s, reached = _reached(row, base, answered)
+            d = _doubled(row, base, answered)
             rows, start = [], 0
-            for doc, n in zip(s.block.doc_ids, s.block.sizes.tolist()):
-                spans = passages(reached[start:start + n])
+            for doc, n in zip(d.block.doc_ids, d.block.sizes.tolist()):
+                spans = passages(d.reached[start:start + n])
                 rows.append({"doc_id": doc, "n_words": n, "longest": max((p["end"] - p["start"] for p in spans), default=0),
                              "repeats": spans})
                 start += n
