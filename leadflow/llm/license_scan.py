@@ -351,7 +351,8 @@ def license_scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLAT
     without marks at their ends.  Texts shorter than a template cannot hold
     it; null and empty texts give no row; rows that share an id, or have
     none, are scanned each and give rows of their own; no documents or no
-    templates give no rows.  Only the id and text columns are read.
+    templates give no rows.  A very long text is a block of its own, scanned
+    whole by one task.  Only the id and text columns are read.
 
     Notices of related licenses differ in a word or two, so a text holds
     enough of several.  With ``best_only`` a place counts only for the one of

@@ -127,8 +127,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     taken = copies * size.  A source without words has target 0 and no
     copies.  Null sources form one source.  The result depends only on the
     rows (ids break ties of size, wholly equal rows are interchangeable), so
-    reruns agree; documents with null ids come last among their size.  Empty
-    input gives an empty result."""
+    reruns agree; documents with null ids come last among their size.  A very
+    long text is one document like any other: a number after its words are
+    counted.  Empty input gives an empty result; only the three named columns
+    are read."""
     return _mix_rows(docs, id_col, text_col, source_col, weights, max_copies, seed).drop("digest")
 
 
@@ -140,7 +142,9 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows are matched to their copies by id and text; rows equal in both are
     interchangeable, so per such key only the number of rows with 0, 1, ...
     copies travels, and the n-th of them takes the n-th number.  The texts
-    are shuffled once."""
+    are shuffled once.  Null ids, texts and sources match null; a null or
+    wordless text has size 0 and is in the mix if ``mix`` gives it a copy.
+    Other columns may have any name.  Empty input gives an empty result."""
     top = int(kw.get("max_copies", MAX_COPIES))
     key, digest, source, nth, copies, each, *upto = (
         internal(n, docs.columns) for n in ("_mix_id", "_mix_text", "_mix_source", "_mix_nth", "_mix_copies",

@@ -438,8 +438,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     has the empty set and links with nothing.  Two documents link when
     100 * intersection >= percent * union.  component_id is the smallest
     doc_id of the class (null if it has none).  Rows that share an id are
-    documents of their own.  Shingles are compared by 64 bits of hash.  Empty
-    input gives an empty result; only the id and text columns are read."""
+    documents of their own.  Shingles are compared by 64 bits of hash.  A very
+    long text is a block of its own, held whole by one task.  Empty input
+    gives an empty result; only the id and text columns are read."""
     rows = stage(_classes(docs, id_col, text_col, shingle, percent), "nj_rows")
     # written, so that the join below has a plain exchange on either side and
     # the rows of a large class can be split over tasks

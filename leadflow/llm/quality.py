@@ -172,8 +172,12 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           rules: Sequence[Rule] = FURTHER, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, the measures, base_failed and kept for every row.
 
-    A null text has no words: base_failed.  The base rules read measures
-    that are reported anyway; the cascade runs on what they leave."""
+    A null or empty text has no words: base_failed.  The base rules read
+    measures that are reported anyway; the cascade runs on what they leave.
+    Each row is judged by its own text, rows that repeat or share an id
+    alike; a text exactly at a limit passes.  A very long text is judged
+    whole, by the one task that reads it.  An empty table gives an empty
+    result; only the id and text columns are read."""
     order = cascade_order(rules, estimate(docs, text_col, rules, sample_rows))
     t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
@@ -193,7 +197,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_good(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES,
               sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` (columns unchanged) without the documents that a rule rejects;
-    base and further rules form one cascade."""
+    base and further rules form one cascade.  Verdicts are those of
+    ``judge``: null and empty texts go, repeated rows stay or go together, a
+    very long text is judged whole by one task, an empty table stays empty;
+    of the columns only the text is looked at, others may have any name."""
     order = cascade_order(rules, estimate(docs, text_col, rules, sample_rows))
     t = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     return docs.filter(let(words(t), lambda w: first_rejection(order, t, w)).isNull())

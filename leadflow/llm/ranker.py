@@ -132,8 +132,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     Scores depend on the text alone.  Null and empty texts are scored alike;
     rows that share an id are scored each by its text (a null id is not held
-    out); without usable labels every score is 0.5.  Only the named columns
-    are read; empty input gives an empty result."""
+    out); without usable labels every score is 0.5.  A very long text
+    is measured whole by the task that reads it.  Only the named columns are
+    read; empty input gives an empty result."""
     feats = features(docs, id_col, text_col)
     model = train(feats, labels, "doc_id", label_col, max_rows)
     s = feats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), model.score().alias("score"))

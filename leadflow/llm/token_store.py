@@ -234,7 +234,7 @@ def read_slice(spark: SparkSession, folder: str, doc_id: int) -> np.ndarray | No
 def token_output(docs: DataFrame, vocabulary: str, **kw) -> DataFrame:
     """Write a store under the shared folder and read it back.  Null texts
     hold the end id only; null ids come last; rows that share an id are each
-    a document; empty input gives an empty result; only the id and text
-    columns are read."""
+    a document; a very long text is encoded whole by its task; empty input
+    gives an empty result; only the id and text columns are read."""
     folder = scratch_path(docs.sparkSession, "token_store", unique=True)
     return read_store(docs.sparkSession, write_store(docs, folder, vocabulary, **kw))
