@@ -42,7 +42,7 @@ def daily_job(spark: SparkSession, sf_dir: str, drop_folder: str, out_dir: str,
               servicing: Servicing | None = None, single_file: bool = False) -> dict:
     """The snapshot is written first and read back, and the funnel is staged
     once, so feed and frequency listing share one derivation.  The feed is a
-    folder of part files; ``single_file`` has one task write one file.
+    folder of part files; ``single_file`` makes one file of them.
 
     The date columns are read as the files' rows themselves suggest (B4);
     ``date_guesses`` of the result says how, and which are ambiguous."""
@@ -84,7 +84,7 @@ def weekly_job(spark: SparkSession, sf_dir: str, lead_paths, out_dir: str,
     """The apps come from ``apps_files`` (exported apps files), or from the
     daily job's snapshot of ``snapshot_date`` at ``snapshot_path`` (the
     weekly_v2 hand-off), or else from the servicing relations.  The feed is
-    a folder of part files; ``single_file`` has one task write one file."""
+    a folder of part files; ``single_file`` makes one file of them."""
     snap = read_snapshot(spark, snapshot_path, snapshot_date) if snapshot_path else None
     apps = read_apps_file(spark, apps_files, rules) if apps_files else None
     files = list(lead_paths)
