@@ -160,6 +160,26 @@ def test_many_blank_rows_on_both_sides(spark):
     assert "sequence" not in out._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_blank_left_rows_are_dealt_over_all_reducers(spark):
+    """The keyed part of the factorised join: no reducer gets all blank rows."""
+    left = spark.range(20_000).select("id", F.when(F.col("id") % 4 == 0, F.lit("K1 "))
+                                      .when(F.col("id") % 4 == 1, F.lit("")).alias("k"))
+    right = spark.createDataFrame([("K1", 1), ("", 2), (None, 3), ("5 ", 4)], "rk string, v int")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {c: spark.conf.get(c) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
+    try:
+        out = coalesced_key_join(left, right, "k", "rk", needed=["v"])
+        got = out.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count_distinct(F.when(F.trim("k").isNull() | (F.trim("k") == ""), F.col("id"))).alias("n")).collect()
+        assert out.count() == 5_000 + 2 * 15_000
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert sum(r.n for r in got) == 15_000 and max(r.n for r in got) < 4_000
+
+
 def test_history_is_not_shuffled_by_a_code(spark, tmpdir_path):
     """Code tables of known and of unknown size."""
     from leadflow.operators import history_pivot, status_codes
