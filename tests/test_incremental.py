@@ -158,3 +158,22 @@ def test_corrected_summary_equals_the_recomputed_one(spark):
             assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     gone = corrected_summary(changes.unionByName(summary_changes(frame(list(state.values())), frame([]))))
     assert gone.collect() == []
+
+
+def test_corrected_summary_joins_all_deliveries_at_once(spark):
+    """One join with the applications a side, however many deliveries, and
+    each delivery's changes as found alone."""
+    from leadflow.catalog import QUERIES
+    plan = QUERIES["daily_summary_corrected"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("Join LeftOuter") == 2
+
+    cols = ("LEADDATE date, IS_PREQUAL int, IS_APPL int, IS_APPROVE int, IS_FUNDED int, AMOUNT_FUNDED decimal(18,2), "
+            "COST int, delivery int")
+    rows = [(dt.date(2020, 1, 1 + i % 3), 1, i % 2, None if i % 4 else 1, 0, Decimal(i), i, i % 2) for i in range(12)]
+    before, after = (spark.createDataFrame(x, cols) for x in (rows[:4], rows[2:]))
+    together = summary_changes(before, after, by=["delivery"])
+    for n in (0, 1):
+        alone = summary_changes(*(x.filter(F.col("delivery") == n) for x in (before, after)))
+        got = together.filter(F.col("delivery") == n).drop("delivery")
+        assert got.columns == alone.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, alone.collect()))
