@@ -49,6 +49,24 @@ def test_feed_layout_and_rerun_equal(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+@pytest.mark.parametrize("profile, mode", [("weekly", "faithful"), ("weekly", "intended"), ("weekly_v2", "faithful"),
+                                           ("daily", "faithful"), ("daily", "intended")])
+def test_tasks_without_loan_number_are_dealt_over_all_reducers(spark, profile, mode):
+    """Of every profile: no reducer gets all application rows without a loan number."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {c: spark.conf.get(c) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
+    try:
+        blank = F.trim(F.coalesce("LoanNumber", F.lit(""))) == ""
+        got = [r.n for r in Run(spark, SMALL, profile, mode).snapshot_rows.groupBy(
+            F.spark_partition_id().alias("p")).agg(F.count_if(blank).alias("n")).collect()]
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert sum(got) > 100 and max(got) < sum(got) / 3
+
+
 def test_snapshot_sink_and_feed_sink(spark, tmpdir_path):
     import datetime as dt
     from leadflow.plans.sinks import write_partner_feed, write_snapshot
